@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import lookalikes
+from paperloom.llm import lookalikes, neardup
 from paperloom.session import materialize, table
 
 
@@ -26,4 +26,10 @@ def p1_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _forms(spark, sf_dir).select("field_name", F.col("id").cast("bigint").alias("id"), "form").distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_forms": p1_forms}
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of control records whose texts are at least as alike as the threshold."""
+    pairs = neardup.similar_records(neardup.control_texts(table(spark, sf_dir, "control_row")))
+    return pairs.select(neardup.field_name(), F.col("key_1").alias("row_id_1"), F.col("key_2").alias("row_id_2")).distinct()
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_forms": p1_forms, "p2_found": p2_found}
