@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import lookalikes, neardup
+from paperloom.llm import bpe, lookalikes, mixing, neardup, splitting, terms
 from paperloom.session import materialize, table
 
 
@@ -32,4 +32,46 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(neardup.field_name(), F.col("key_1").alias("row_id_1"), F.col("key_2").alias("row_id_2")).distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_forms": p1_forms, "p2_found": p2_found}
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents over the limit with the coarsest boundary that suffices."""
+    return splitting.found_boundaries(table(spark, sf_dir, "documents"), table(spark, sf_dir, "section_info"))
+
+
+def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pieces of all documents."""
+    return splitting.split_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "section_info"))
+
+
+def p6_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every acronym with its occurrences, documents and band."""
+    return terms.acronym_counts(table(spark, sf_dir, "acronym_per_document"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Acronyms that are too rare or too common."""
+    return p6_counts(spark, sf_dir).where("band in ('rare', 'common')").select("acronym", "band")
+
+
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document."""
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), ["doc_id"], "text")
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    counted = bpe.count_tokens(table(spark, sf_dir, "documents"), ["doc_id", "source"], "text")
+    return mixing.mix(counted, table(spark, sf_dir, "mix_target"))
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is taken into the mix."""
+    return _mixed(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each source holds of the mix."""
+    return _mixed(spark, sf_dir)[1]
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (p1_found, p1_forms, p2_found, p4_found, p4_pieces, p6_found, p6_counts, p7_ids, p8_mix, p8_shares)
+}
