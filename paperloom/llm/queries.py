@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, lookalikes, mixing, neardup, splitting, terms
-from paperloom.session import materialize, table
+from paperloom.llm import bpe, language, lookalikes, mixing, neardup, splitting, terms
+from paperloom.session import table
 
 
 def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +72,17 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixed(spark, sf_dir)[1]
 
 
+def p9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document and of every line in another one, with its confidence."""
+    return language.detect_languages(table(spark, sf_dir, "documents"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a missing or wrong label, and lines in another language."""
+    return language.found_languages(p9_languages(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_forms, p2_found, p4_found, p4_pieces, p6_found, p6_counts, p7_ids, p8_mix, p8_shares)
+    f.__name__: f
+    for f in (p1_found, p1_forms, p2_found, p4_found, p4_pieces, p6_found, p6_counts, p7_ids, p8_mix, p8_shares, p9_found, p9_languages)
 }
