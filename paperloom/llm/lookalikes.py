@@ -41,30 +41,45 @@ _CLEAN = {
     **{a: chr(a - 0xFEE0) for a in range(0xFF01, 0xFF5F)}, **LIGATURES, **SYMBOLS,
     **dict.fromkeys(BLANKS, " "), **dict.fromkeys(HYPHENS, "-"), **dict.fromkeys(INVISIBLE),
 }
-_LATIN = {ord(a): b for a, b in LOOKALIKES.items()}
-#: A text of these characters only is in its form already.
-_PLAIN = re.compile("[ -~¡-¬®-´¶-ıĴ-ɏ\n\r]*").fullmatch
-_FOREIGN = re.compile("[^\x00-ɏ]").search
-_TOKEN = re.compile("[\\ẁ-ͯ]+")
+_FOREIGN = re.compile(f"[^{chr(0)}-{chr(0x24F)}]").search
+_TOKEN = re.compile(rf"[\w{chr(0x300)}-{chr(0x36F)}]+")  # combining marks belong to their letter
 _ASCII_TOKEN = re.compile(r"\w+")
+_UNCLEAN = re.compile("[" + "".join(map(re.escape, map(chr, _CLEAN))) + "]")
+_SIMILAR = re.compile("[" + "".join(LOOKALIKES) + "]")
+_CLEANED = {chr(a): b or "" for a, b in _CLEAN.items()}
+_LATIN_1_UNCLEAN = [chr(a) for a in _CLEAN if a <= 0xFF]
+
+
+def is_plain(text: str) -> bool:
+    """Whether a text of the first 256 characters has none that cleaning replaces: it is in its form already."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return not any(c in text for c in _LATIN_1_UNCLEAN)
+
 
 #: Distinct tokens that a task holds before it hands them on.
 VOCABULARY_BLOCK = 400_000
 
 
+def _swept(text: str) -> str:
+    return _UNCLEAN.sub(lambda m: _CLEANED[m[0]], text)
+
+
 def clean(text: str) -> str:
     """The text with every character that stands for a plain one replaced by it, accents composed."""
-    return text if _PLAIN(text) else unicodedata.normalize("NFC", text.translate(_CLEAN))
+    return text if is_plain(text) else unicodedata.normalize("NFC", _swept(text))
 
 
 def latin(token: str) -> str:
     """The token with every look-alike letter replaced by the Latin letter that it looks like."""
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", token).translate(_LATIN))
+    return unicodedata.normalize("NFC", _SIMILAR.sub(lambda m: LOOKALIKES[m[0]], unicodedata.normalize("NFD", token)))
 
 
 def visible(text: str) -> str:
     """A text's form without the help of a corpus: equal for two texts exactly if they look the same."""
-    return text if _PLAIN(text) else latin(unicodedata.normalize("NFD", text.translate(_CLEAN)))
+    return text if is_plain(text) else latin(_swept(text))
 
 
 def script(letter: str) -> str:
@@ -113,7 +128,7 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in batch.column(0).to_pylist():
             if text:
-                if _PLAIN(text):
+                if is_plain(text):
                     seen.update(_ASCII_TOKEN.findall(text))
                 else:
                     seen.update(_TOKEN.findall(clean(text)))
@@ -164,8 +179,8 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repair_texts(texts: DataFrame, keys: list[str], text: str, form: str = "form") -> DataFrame:
     """Add ``form`` to (keys..., text): the one form of each text, by cleaning and script-aware repair.
 
-    ``keys`` must name a row. Null stays null, an empty text stays empty; a text without look-alikes is cleaned
-    within its task and never shuffled. Other columns are dropped; repeated rows should be removed before.
+    ``keys`` must name a text; repeated rows keep their repeats. Null stays null, an empty text stays empty; a text without look-alikes is cleaned
+    within its task and never shuffled. Other columns are dropped.
     """
     rows = texts.select(*keys, F.col(text).alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
@@ -173,7 +188,7 @@ def repair_texts(texts: DataFrame, keys: list[str], text: str, form: str = "form
     plain = cut.where(F.col("_cut").isNull()).select(*keys, F.col("_text").alias(text), F.col("_clean").alias(form))
     odd = cut.where(F.col("_cut").isNotNull())
     tokens = odd.select(*keys, F.explode(F.array_distinct(F.transform("_cut", lambda s: s["form"]))).alias("form")).where(F.col("form").isNotNull())
-    known = tokens.join(corpus_spellings(texts, text), "form").groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("form", "spelling"))).alias("_known"))
+    known = tokens.join(corpus_spellings(texts, text), "form").groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("form", "spelling"))).alias("_known"))
     mended = F.array_join(F.transform("_cut", lambda s: F.concat(s["lit"], F.coalesce(F.try_element_at("_known", s["form"]), s["form"], F.lit("")))), "")
     joined = odd.join(known, keys, "left").select(*keys, F.col("_text").alias(text), mended.alias(form))
     return plain.unionByName(joined)

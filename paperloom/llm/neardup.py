@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.lookalikes import visible
+from paperloom.session import materialize
 
 #: Segments and symbols in each: at similarity 0.6 a segment differs in at most one of 4 symbols with probability
 #: 0.475, so that 12 segments miss a pair with probability 0.0005 (0.000003 at 0.7).
@@ -33,45 +34,56 @@ SKETCH, AGREE = 64, 28
 ID_BYTES, VARIANT_BYTES = 5, 3
 #: Bits of the filter that keeps texts without candidates out of the verification; its size never grows.
 FILTER_BITS = 1 << 25
+#: Parts over which the members of texts are spread.
+MEMBER_PARTS = 960
 #: Candidate pairs handed on at once.
 PAIR_BLOCK = 400_000
 
 _WORDS = re.compile(r"[^\W_]+").findall
+#: Letters and digits of the first 256 characters as they are, a blank for any other.
+_LATIN_1 = bytes(k if chr(k).isalnum() else 32 for k in range(256))
 _RNG = np.random.default_rng(20_240_117)
 _XOR = _RNG.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + _RNG.integers(0, 2, SKETCH, dtype=np.uint64)
 _MUL = _RNG.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_POWERS = np.cumprod(np.full(4096, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-def words_of(text: str | None, least: int) -> list[str] | None:
-    """The words of a text as it looks, in lower case; None for texts of fewer than ``least`` words."""
-    found = _WORDS(visible(text).lower()) if text else []
-    return found if len(found) >= least else None
+def words_of(text: str | None, least: int) -> str | None:
+    """The words of a text as it looks, in lower case, with one blank between; None for fewer than ``least`` words."""
+    if not text:
+        return None
+    low = visible(text).lower()
+    try:
+        found = low.encode("latin-1").translate(_LATIN_1).decode("latin-1").split()
+    except UnicodeEncodeError:
+        found = _WORDS(low)
+    return " ".join(found) if len(found) >= least else None
 
 
-def text_digest(words: list[str]) -> bytes:
+def text_digest(words: str) -> bytes:
     """128 bits that stand for a sequence of words; the first ``ID_BYTES`` are its id in the index."""
-    return xxhash.xxh3_128_digest(" ".join(words))
+    return xxhash.xxh3_128_digest(words)
 
 
 def _id(digest: bytes) -> int:
     return int.from_bytes(digest[:ID_BYTES], "little")
 
 
-def _sequences(texts: list[list[str]], size: int, cache: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all sequences of ``size`` words of all texts, and where each text starts."""
-    if len(cache) > 2_000_000:
-        cache.clear()
-    flat: list[int] = []
-    for words in texts:
-        for w in words:
-            h = cache.get(w)
-            if h is None:
-                h = cache[w] = xxhash.xxh3_64_intdigest(w)
-            flat.append(h)
-    h = np.array(flat, dtype=np.uint64)
-    counts = np.fromiter(map(len, texts), np.int64, len(texts))
-    starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
+def _sequences(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all sequences of ``size`` words of all texts, and where each text starts.
+
+    The words of all texts lie in one row of bytes; a word's hash is a polynomial of its bytes.
+    """
+    row = np.frombuffer("\n".join(texts).encode("utf-8", "surrogatepass"), np.uint8)
+    gap = row <= 32
+    begins = np.flatnonzero(np.concatenate(([True], gap[:-1])))
+    inside = np.arange(len(row)) - np.repeat(begins, np.diff(np.append(begins, len(row))))
+    letters = np.where(gap, np.uint64(0), row.astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(inside, len(_POWERS) - 1)]
+    h = np.add.reduceat(letters, begins)
+    h = (h ^ (h >> np.uint64(31))) * _MIX[2]
+    counts = np.fromiter((t.count(" ") + 1 for t in texts), np.int64, len(texts))
+    starts = np.cumsum(counts) - counts
     n = len(h) - size + 1
     mixed = np.zeros(n, np.uint64)
     for k in range(size):
@@ -120,30 +132,30 @@ def _variants(symbols: np.ndarray, segment: int) -> np.ndarray:
 
 
 def _index(least: int, size: int, buckets: int):
-    """Texts (field, text) to rows (part, bytes): ids, sketches and variants of the texts of one task and part."""
+    """Texts (field, text, key) to rows (part, bytes).
+
+    Parts from 0 hold ids, sketches and variants of the texts of one task; negative parts hold the texts' members:
+    field, key and digest of every row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, int] = {}
         seen: set[tuple[int, bytes]] = set()
         for batch in batches:
-            fields, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            words, ids, kinds = [], [], []
-            for field, text in zip(fields, texts, strict=True):
-                w = words_of(text, least)
-                if w is None:
-                    continue
-                d = text_digest(w)
-                if (field, d) in seen:
-                    continue
-                if len(seen) < 1_000_000:  # beyond that, copies are found where the parts of the index meet
-                    seen.add((field, d))
-                words.append(w)
-                ids.append(_id(d))
-                kinds.append(field)
-            for at in range(0, len(words), 2_000):
-                kind = np.array(kinds[at : at + 2_000])
-                symbols = _symbols(*_sequences(words[at : at + 2_000], size, cache))
-                yield from _parts(kind, np.array(ids[at : at + 2_000], np.uint64), symbols, buckets)
+            fields, texts, keys = (batch.column(k).to_pylist() for k in range(3))
+            rows = [(f, w, k) for f, t, k in zip(fields, texts, keys, strict=True) if (w := words_of(t, least)) is not None]
+            if not rows:
+                continue
+            digests = [text_digest(w) for _, w, _ in rows]
+            packed = np.array([f for f, _, _ in rows], np.int64).tobytes() + np.array([k for _, _, k in rows], np.int64).tobytes() + b"".join(digests)
+            part = [-1 - xxhash.xxh3_64_intdigest(digests[0]) % MEMBER_PARTS]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([packed], pa.binary())], names=["part", "payload"])
+            new = [(f, w, d) for (f, w, _), d in zip(rows, digests, strict=True) if (f, d) not in seen]
+            if len(seen) < 1_000_000:  # beyond that, copies are found where the parts of the index meet
+                seen.update((f, d) for f, _, d in new)
+            for at in range(0, len(new), 1_000):
+                block = new[at : at + 1_000]
+                symbols = _symbols(*_sequences([w for _, w, _ in block], size))
+                yield from _parts(np.array([f for f, _, _ in block]), np.array([_id(d) for _, _, d in block], np.uint64), symbols, buckets)
 
     return run
 
@@ -151,18 +163,20 @@ def _index(least: int, size: int, buckets: int):
 def _parts(kind: np.ndarray, ids: np.ndarray, symbols: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     planes = _planes(symbols)
     part, payload = [], []
+    all_here = np.ones((SYMBOLS, len(ids)), bool)
+    fields = [(int(f), np.flatnonzero(kind == f)) for f in np.unique(kind)]
     for segment in range(SEGMENTS):
         variants = _variants(symbols, segment)
-        bucket = (variants >> np.uint64(8)) % np.uint64(buckets)
         short = (variants >> np.uint64(40)).astype(np.uint32)
-        for field in np.unique(kind):
-            mine = kind == field
+        bucket = (variants >> np.uint64(8)) % np.uint64(buckets) if buckets > 1 else None
+        for field, mine in fields:
             for b in range(buckets):
-                hit = (bucket == b) & mine
-                here = np.flatnonzero(hit.any(axis=0))
-                if len(here):
-                    part.append((int(field) * SEGMENTS + segment) * buckets + b)
-                    payload.append(_packed(ids[here], planes[here], short[:, here], hit[:, here]))
+                hit = all_here[:, mine] if bucket is None else bucket[:, mine] == b
+                here = slice(None) if bucket is None else np.flatnonzero(hit.any(axis=0))
+                own = mine[here]
+                if len(own):
+                    part.append((field * SEGMENTS + segment) * buckets + b)
+                    payload.append(_packed(ids[own], planes[own], short[:, own], hit[:, here]))
     yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(payload, pa.binary())], names=["part", "payload"])
 
 
@@ -193,44 +207,60 @@ def _unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return ids.view(np.uint64).ravel(), planes, short, hit
 
 
-def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = a ^ b
-    return SKETCH - np.bitwise_count(x[:, 0] | x[:, 1] | x[:, 2])
-
-
 def _meetings(payloads: list[bytes]) -> Iterator[np.ndarray]:
     """Pairs of ids of one part that share a variant and whose sketches agree, in blocks."""
     pieces = [_unpacked(p) for p in payloads]
     ids, planes, short, hit = (np.concatenate([p[k] for p in pieces]) for k in range(4))
     ids, first = np.unique(ids, return_index=True)
-    planes, short, hit = planes[first], short[first], hit[first]
+    planes, short, hit = np.ascontiguousarray(planes[first].T), short[first], hit[first]
     for gone in range(SYMBOLS):
         mine = np.flatnonzero(hit[:, gone])
         order = mine[np.argsort(short[mine, gone], kind="stable")]
         key = short[order, gone]
         if len(key) < 2:
             continue
+        x, y, z = planes[0][order], planes[1][order], planes[2][order]  # in the order of the runs, so that runs lie together
         last = np.flatnonzero(np.append(key[1:] != key[:-1], True))
         left = np.repeat(last, np.diff(np.concatenate(([-1], last)))) - np.arange(len(key))  # entries of the run that follow
         active, step = np.flatnonzero(left > 0), 1
         while len(active):
             for at in range(0, len(active), PAIR_BLOCK):
-                a, b = order[active[at : at + PAIR_BLOCK]], order[active[at : at + PAIR_BLOCK] + step]
-                good = _agreeing(planes[a], planes[b]) >= AGREE
+                a = active[at : at + PAIR_BLOCK]
+                b = a + step
+                differ = x[a] ^ x[b]
+                differ |= y[a] ^ y[b]
+                differ |= z[a] ^ z[b]
+                good = np.bitwise_count(differ) <= SKETCH - AGREE
                 if good.any():
-                    yield np.stack([ids[a[good]], ids[b[good]]], axis=1)
+                    yield np.stack([ids[order[a[good]]], ids[order[b[good]]]], axis=1)
             step += 1
             active = active[left[active] >= step]
 
 
+_FOUND = "field int, a bigint, b bigint, digest binary"
+
+
+def _batch(field: np.ndarray, a: np.ndarray, b: np.ndarray, digests: list[bytes] | None = None) -> pa.RecordBatch:
+    column = pa.nulls(len(field), pa.binary()) if digests is None else pa.array(digests, pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(field.astype(np.int32)), pa.array(a), pa.array(b), column], names=["field", "a", "b", "digest"])
+
+
+def _members(payload: bytes) -> pa.RecordBatch:
+    n = len(payload) // 32
+    field, key = np.frombuffer(payload, np.int64, n), np.frombuffer(payload, np.int64, n, 8 * n)
+    return _batch(field, key, np.full(n, -1, np.int64), [payload[16 * n + 16 * k : 16 * n + 16 * k + 16] for k in range(n)])
+
+
 def _candidates(per_field: int):
+    """Rows (part, bytes), sorted by part, to candidate pairs (field, a, b, null) and members (field, key, -1, digest)."""
+
     def rows(part: int, payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
             pairs = np.unique(np.sort(np.concatenate(kept), axis=1), axis=0).astype(np.int64)
             kept.clear()
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), part // per_field, np.int32)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["field", "a", "b"])
+            return _batch(np.full(len(pairs), part // per_field), pairs[:, 0], pairs[:, 1])
 
         for block in _meetings(payloads):
             kept.append(block)
@@ -243,6 +273,9 @@ def _candidates(per_field: int):
         at, payloads = None, []
         for batch in batches:
             for part, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if part < 0:
+                    yield _members(payload)
+                    continue
                 if part != at and payloads:
                     yield from rows(at, payloads)
                     payloads = []
@@ -254,58 +287,47 @@ def _candidates(per_field: int):
     return run
 
 
-def candidate_pairs(texts: DataFrame, least: int, size: int) -> DataFrame:
-    """Rows (field, a, b), a < b: ids of texts of one field that share a deletion variant and agree in their sketch.
+def indexed(texts: DataFrame, least: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """(candidates, members) of ``texts`` (field int, text string, key bigint), from one pass over the texts.
 
-    ``texts`` has (field int, text string). One part of the index is one segment of one field, or a bucket of its
-    variants' hashes where the session has more shuffle partitions than segments.
+    Candidates (field, a, b), a < b, are ids of texts of one field that share a deletion variant and agree in their
+    sketch; members (field, key, digest) have every row that has enough words. One part of the index is one segment
+    of one field, or a bucket of its variants where the session has more shuffle partitions than segments. Both are
+    written once into the shared folder, as later steps read them more than once.
     """
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(1, -(-partitions // SEGMENTS))
-    index = texts.mapInArrow(_index(least, size, buckets), "part int, payload binary")
+    index = texts.select("field", "text", "key").mapInArrow(_index(least, size, buckets), "part int, payload binary")
     spread = index.repartitionById(partitions, F.pmod("part", F.lit(partitions))).sortWithinPartitions("part")
-    return spread.mapInArrow(_candidates(SEGMENTS * buckets), "field int, a bigint, b bigint").distinct()
-
-
-def _filter_of(pairs: DataFrame) -> bytes:
-    """A bit for each residue of the candidates' ids, in ``FILTER_BITS`` bits."""
-    place = F.pmod("id", F.lit(FILTER_BITS)) + 1  # the bitmap functions count from 1
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
-    rows = ids.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()  # at most FILTER_BITS / 32768 rows of 4 KB
-    out = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
-    for r in rows:
-        start = (r["bucket"] - 1) * 4096
-        out[start : start + 4096] = np.frombuffer(r["bits"], np.uint8)
+    found = materialize(spread.mapInArrow(_candidates(SEGMENTS * buckets), _FOUND))
+    return found.where("b >= 0").select("field", "a", "b").distinct(), found.where("b < 0").select("field", F.col("a").alias("key"), "digest")
+
+
+def _place(field, key):
+    return F.pmod(F.xxhash64(field, key), F.lit(FILTER_BITS)).cast("bigint")
+
+
+def _filter_of(rows: DataFrame) -> bytes:
+    """A bit for the place of each row (field, key), in ``FILTER_BITS`` bits whatever the number of rows."""
+    place = _place("field", "key") + 1  # the bitmap functions count from 1
+    bits = rows.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in bits.collect():  # at most FILTER_BITS / 32768 rows of 4 KB
+        out[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
     return out.tobytes()
 
 
-def _digests(least: int, marked=None):
-    """Rows (field, id, key, digest) of all texts, or (field, id, digest, words) of those that the filter has."""
+def _chosen(least: int, marked):
+    """Texts (field, text, place) to (field, digest, words) of those whose place is marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(marked.value, np.uint8) if marked else None
-        seen: set[tuple[int, bytes]] = set()
+        bits = np.frombuffer(marked.value, np.uint8)
         for batch in batches:
-            fields, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows, digests, said = [], [], []
-            for k, (field, text) in enumerate(zip(fields, texts, strict=True)):
-                w = words_of(text, least)
-                if w is None:
-                    continue
-                d = text_digest(w)
-                if bits is not None:
-                    place = _id(d) % FILTER_BITS
-                    if not bits[place >> 3] >> (place & 7) & 1 or (field, d) in seen:
-                        continue
-                    if len(seen) < 500_000:
-                        seen.add((field, d))
-                    said.append(" ".join(w))
-                rows.append(k)
-                digests.append(d)
-            at = pa.array(rows, pa.int64())
-            columns = [batch.column(0).take(at), pa.array([_id(d) for d in digests], pa.int64()), pa.array(digests, pa.binary())]
-            columns.append(pa.array(said, pa.string()) if bits is not None else batch.column(2).take(at))
-            yield pa.RecordBatch.from_arrays(columns, names=["field", "id", "digest", "words" if bits is not None else "key"])
+            place = batch.column(2).to_numpy()
+            mine = batch.filter(pa.array((bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
+            words = [words_of(t, least) for t in mine.column(1).to_pylist()]
+            digests = [w and text_digest(w) for w in words]
+            yield pa.RecordBatch.from_arrays([mine.column(0), pa.array(digests, pa.binary()), pa.array(words, pa.string())], names=["field", "digest", "words"])
 
     return run
 
@@ -318,33 +340,47 @@ def sequences_in(words: str, size: int) -> set[tuple[str, ...]]:
 
 def _verified(size: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, had = None, set()
+        sets: dict[bytes, set] = {}
+
+        def known(digest: bytes, words: str) -> set:
+            found = sets.get(digest)
+            if found is None:
+                if len(sets) > 2_000:
+                    sets.clear()
+                found = sets[digest] = sequences_in(words, size)
+            return found
+
         for batch in batches:
             keep = []
-            for a, b in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                if a != before:
-                    before, had = a, sequences_in(a, size)
-                other = sequences_in(b, size)
-                both = len(had & other)
-                keep.append(both >= threshold * (len(had) + len(other) - both) - 1e-9)
+            for da, db, a, b in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True):
+                one, two = known(da, a), known(db, b)
+                both = len(one & two)
+                keep.append(both >= threshold * (len(one) + len(two) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays(batch.columns[:3], names=["field", "digest_a", "digest_b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def similar_texts(texts: DataFrame, least: int, size: int, threshold: float) -> DataFrame:
-    """Rows (field, digest_a, digest_b): pairs of different texts whose similarity reaches the threshold.
+def _id_column(digest: str):
+    """The id of a digest: its first bytes, the lowest first."""
+    text = F.hex(F.col(digest))
+    return F.conv(F.concat(*[F.substring(text, 2 * k + 1, 2) for k in reversed(range(ID_BYTES))]), 16, 10).cast("bigint")
 
-    The candidates are written once into the shared folder: they are read for the filter and for the verification.
-    """
-    from paperloom.session import materialize
 
-    pairs = materialize(candidate_pairs(texts.select("field", "text"), least, size))
-    marked = texts.sparkSession.sparkContext.broadcast(_filter_of(pairs))
-    said = texts.select("field", "text").mapInArrow(_digests(least, marked), "field int, id bigint, digest binary, words string").dropDuplicates(["field", "digest"])
+def similar_texts(texts: DataFrame, candidates: DataFrame, members: DataFrame, least: int, size: int, threshold: float) -> DataFrame:
+    """Rows (field, digest_a, digest_b): candidates that are different texts whose similarity reaches the threshold.
+
+    For every text that has candidates one row is chosen; a filter of fixed size picks the chosen rows' texts where
+    they are read, so that the other texts are neither shuffled nor parsed again.
+    """
+    ids = candidates.select("field", F.explode(F.array("a", "b")).alias("id")).distinct()
+    chosen = members.groupBy("field", "digest").agg(F.min("key").alias("key")).withColumn("id", _id_column("digest")).join(ids, ["field", "id"], "left_semi")
+    marked = texts.sparkSession.sparkContext.broadcast(_filter_of(chosen))
+    said = texts.select("field", "text", _place("field", "key").alias("place")).mapInArrow(_chosen(least, marked), "field int, digest binary, words string")
+    said = said.where("digest is not null").dropDuplicates(["field", "digest"]).withColumn("id", _id_column("digest"))
     a = said.select("field", F.col("id").alias("a"), F.col("digest").alias("digest_a"), F.col("words").alias("words_a"))
     b = said.select("field", F.col("id").alias("b"), F.col("digest").alias("digest_b"), F.col("words").alias("words_b"))
-    met = pairs.join(a, ["field", "a"]).join(b, ["field", "b"]).select("field", "digest_a", "digest_b", "words_a", "words_b")
+    met = candidates.join(a, ["field", "a"]).join(b, ["field", "b"]).select("field", "digest_a", "digest_b", "words_a", "words_b")
     return met.mapInArrow(_verified(size, threshold), "field int, digest_a binary, digest_b binary")
 
 
@@ -353,16 +389,16 @@ def similar_records(texts: DataFrame, least: int = 8, size: int = 3, threshold:
 
     ``texts`` has (field int, text string, key bigint). The similarity of two texts is the number of distinct
     sequences of ``size`` consecutive words that both have, divided by the number that either has, on the words as
-    they look and in lower case. Null texts and texts of fewer than ``least`` words are in no pair. A record that
-    is delivered twice should be given once.
+    they look and in lower case. Null texts and texts of fewer than ``least`` words (at least ``size``) are in no
+    pair. A record that is delivered twice should be given once.
     """
-    members = texts.select("field", "text", "key").mapInArrow(_digests(least), "field int, id bigint, digest binary, key bigint").select("field", "digest", "key")
-    near = similar_texts(texts, least, size, threshold)
+    candidates, members = indexed(texts, max(least, size), size)
+    near = similar_texts(texts, candidates, members, max(least, size), size, threshold)
     one = members.withColumnsRenamed({"digest": "digest_a", "key": "key_a"})
-    two = members.withColumnsRenamed({"digest": "digest_b", "key": "key_b"})
-    different = near.join(one, ["field", "digest_a"]).join(two, ["field", "digest_b"]).select("field", "key_a", "key_b")
-    equal = one.join(two, (one["field"] == two["field"]) & (one["digest_a"] == two["digest_b"]) & (one["key_a"] < two["key_b"])).select(one["field"], "key_a", "key_b")
-    pairs = different.unionByName(equal)
+    two = members.select(F.col("field").alias("field_b"), F.col("digest").alias("digest_b"), F.col("key").alias("key_b"))
+    different = near.join(one, ["field", "digest_a"]).join(two, (F.col("field") == F.col("field_b")) & (near["digest_b"] == two["digest_b"]))
+    equal = one.join(two, (F.col("field") == F.col("field_b")) & (F.col("digest_a") == F.col("digest_b")) & (F.col("key_a") < F.col("key_b")))
+    pairs = different.select("field", "key_a", "key_b").unionByName(equal.select("field", "key_a", "key_b"))
     return pairs.select("field", F.least("key_a", "key_b").alias("key_1"), F.greatest("key_a", "key_b").alias("key_2"))
 
 
