@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,10 @@ ID_BYTES, VARIANT_BYTES = 5, 3
 FILTER_BITS = 1 << 25
 #: Parts over which the members of texts are spread.
 MEMBER_PARTS = 960
+#: Texts that one row of bytes of the index holds at most.
+BLOCK = 2_000
+#: Of the sketch's first bits, how many may differ: at similarity 0.6 more do with probability 0.00001.
+FIRST_BITS = 26
 #: Candidate pairs handed on at once.
 PAIR_BLOCK = 400_000
 
@@ -45,20 +50,33 @@ _LATIN_1 = bytes(k if chr(k).isalnum() else 32 for k in range(256))
 _RNG = np.random.default_rng(20_240_117)
 _XOR = _RNG.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + _RNG.integers(0, 2, SKETCH, dtype=np.uint64)
 _MUL = _RNG.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_POWERS = np.cumprod(np.full(4096, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
+@lru_cache(maxsize=1)
+def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
+    base = 0xD6E8FEB86659FD93
+    return tuple(np.cumprod(np.full(size, x, np.uint64), dtype=np.uint64) for x in (base, pow(base, -1, 1 << 64)))
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2 to the 64."""
+    return _power_table(1 << max(18, int(size).bit_length()))
+
+
 def words_of(text: str | None, least: int) -> str | None:
     """The words of a text as it looks, in lower case, with one blank between; None for fewer than ``least`` words."""
     if not text:
         return None
     low = visible(text).lower()
     try:
-        found = low.encode("latin-1").translate(_LATIN_1).decode("latin-1").split()
+        row = low.encode("latin-1").translate(_LATIN_1).strip()
+        while b"  " in row:
+            row = row.replace(b"  ", b" ")
+        words = row.decode("latin-1")
     except UnicodeEncodeError:
-        found = _WORDS(low)
-    return " ".join(found) if len(found) >= least else None
+        words = " ".join(_WORDS(low))
+    return words if words and words.count(" ") + 1 >= least else None
 
 
 def text_digest(words: str) -> bytes:
@@ -76,11 +94,12 @@ def _sequences(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     The words of all texts lie in one row of bytes; a word's hash is a polynomial of its bytes.
     """
     row = np.frombuffer("\n".join(texts).encode("utf-8", "surrogatepass"), np.uint8)
-    gap = row <= 32
-    begins = np.flatnonzero(np.concatenate(([True], gap[:-1])))
-    inside = np.arange(len(row)) - np.repeat(begins, np.diff(np.append(begins, len(row))))
-    letters = np.where(gap, np.uint64(0), row.astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(inside, len(_POWERS) - 1)]
-    h = np.add.reduceat(letters, begins)
+    power, inverse = _powers(len(row) + 1)
+    total = np.zeros(len(row) + 1, np.uint64)
+    np.cumsum(row * power[: len(row)], out=total[1:])
+    ends = np.append(np.flatnonzero(row <= 32), len(row))
+    begins = np.concatenate(([0], ends[:-1] + 1))
+    h = (total[ends] - total[begins]) * inverse[begins]
     h = (h ^ (h >> np.uint64(31))) * _MIX[2]
     counts = np.fromiter((t.count(" ") + 1 for t in texts), np.int64, len(texts))
     starts = np.cumsum(counts) - counts
@@ -152,10 +171,10 @@ def _index(least: int, size: int, buckets: int):
             new = [(f, w, d) for (f, w, _), d in zip(rows, digests, strict=True) if (f, d) not in seen]
             if len(seen) < 1_000_000:  # beyond that, copies are found where the parts of the index meet
                 seen.update((f, d) for f, _, d in new)
-            for at in range(0, len(new), 1_000):
-                block = new[at : at + 1_000]
-                symbols = _symbols(*_sequences([w for _, w, _ in block], size))
-                yield from _parts(np.array([f for f, _, _ in block]), np.array([_id(d) for _, _, d in block], np.uint64), symbols, buckets)
+            for at in range(0, len(new), BLOCK):
+                block = new[at : at + BLOCK]
+                pieces = [_symbols(*_sequences([w for _, w, _ in block[k : k + 250]], size)) for k in range(0, len(block), 250)]  # arrays that fit into a cache
+                yield from _parts(np.array([f for f, _, _ in block]), np.array([_id(d) for _, _, d in block], np.uint64), np.concatenate(pieces, axis=1), buckets)
 
     return run
 
@@ -185,8 +204,9 @@ def _packed(ids: np.ndarray, planes: np.ndarray, short: np.ndarray, hit: np.ndar
     head = np.uint32(len(ids)).tobytes()
     id_bytes = ids.view(np.uint8).reshape(-1, 8)[:, :ID_BYTES].tobytes()
     bits = np.packbits(hit.T, axis=1, bitorder="little").tobytes()
-    variants = np.ascontiguousarray(short.T)[hit.T].view(np.uint8).reshape(-1, 4)[:, :VARIANT_BYTES].tobytes()
-    return head + id_bytes + planes.tobytes() + bits + variants
+    rows = np.ascontiguousarray(short.T)
+    variants = (rows if hit.all() else rows[hit.T]).view(np.uint8).reshape(-1, 4)[:, :VARIANT_BYTES].tobytes()
+    return b"".join((head, id_bytes, planes.tobytes(), bits, variants))
 
 
 def _unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -226,10 +246,12 @@ def _meetings(payloads: list[bytes]) -> Iterator[np.ndarray]:
         while len(active):
             for at in range(0, len(active), PAIR_BLOCK):
                 a = active[at : at + PAIR_BLOCK]
+                differ = np.take(x, a) ^ np.take(x, a + step)
+                close = np.flatnonzero(np.bitwise_count(differ) <= FIRST_BITS)
+                a, differ = a[close], differ[close]
                 b = a + step
-                differ = x[a] ^ x[b]
-                differ |= y[a] ^ y[b]
-                differ |= z[a] ^ z[b]
+                differ |= np.take(y, a) ^ np.take(y, b)
+                differ |= np.take(z, a) ^ np.take(z, b)
                 good = np.bitwise_count(differ) <= SKETCH - AGREE
                 if good.any():
                     yield np.stack([ids[order[a[good]]], ids[order[b[good]]]], axis=1)
@@ -248,11 +270,12 @@ def _batch(field: np.ndarray, a: np.ndarray, b: np.ndarray, digests: list[bytes]
 def _members(payload: bytes) -> pa.RecordBatch:
     n = len(payload) // 32
     field, key = np.frombuffer(payload, np.int64, n), np.frombuffer(payload, np.int64, n, 8 * n)
-    return _batch(field, key, np.full(n, -1, np.int64), [payload[16 * n + 16 * k : 16 * n + 16 * k + 16] for k in range(n)])
+    digests = [payload[16 * n + 16 * k : 16 * n + 16 * k + 16] for k in range(n)]
+    return _batch(field, key, -1 - np.array([_id(d) for d in digests], np.int64), digests)
 
 
 def _candidates(per_field: int):
-    """Rows (part, bytes), sorted by part, to candidate pairs (field, a, b, null) and members (field, key, -1, digest)."""
+    """Rows (part, bytes), sorted by part, to candidate pairs (field, a, b, null) and members (field, key, -1 - id, digest)."""
 
     def rows(part: int, payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
@@ -290,8 +313,9 @@ def _candidates(per_field: int):
 def indexed(texts: DataFrame, least: int, size: int) -> tuple[DataFrame, DataFrame]:
     """(candidates, members) of ``texts`` (field int, text string, key bigint), from one pass over the texts.
 
-    Candidates (field, a, b), a < b, are ids of texts of one field that share a deletion variant and agree in their
-    sketch; members (field, key, digest) have every row that has enough words. One part of the index is one segment
+    Candidates (field, a, b), a < b, some of them more than once, are ids of texts of one field that share a deletion variant and agree in their
+    sketch; members (field, key, id, digest) have every row that has
+    enough words, partitioned by field and digest. One part of the index is one segment
     of one field, or a bucket of its variants where the session has more shuffle partitions than segments. Both are
     written once into the shared folder, as later steps read them more than once.
     """
@@ -300,7 +324,8 @@ def indexed(texts: DataFrame, least: int, size: int) -> tuple[DataFrame, DataFra
     index = texts.select("field", "text", "key").mapInArrow(_index(least, size, buckets), "part int, payload binary")
     spread = index.repartitionById(partitions, F.pmod("part", F.lit(partitions))).sortWithinPartitions("part")
     found = materialize(spread.mapInArrow(_candidates(SEGMENTS * buckets), _FOUND))
-    return found.where("b >= 0").select("field", "a", "b").distinct(), found.where("b < 0").select("field", F.col("a").alias("key"), "digest")
+    members = found.where("b < 0").select("field", F.col("a").alias("key"), (-1 - F.col("b")).alias("id"), "digest")
+    return found.where("b >= 0").select("field", "a", "b"), members.repartition("field", "digest")
 
 
 def _place(field, key):
@@ -318,7 +343,7 @@ def _filter_of(rows: DataFrame) -> bytes:
 
 
 def _chosen(least: int, marked):
-    """Texts (field, text, place) to (field, digest, words) of those whose place is marked."""
+    """Texts (field, text, place) to (field, id, digest, words) of those whose place is marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(marked.value, np.uint8)
@@ -327,33 +352,29 @@ def _chosen(least: int, marked):
             mine = batch.filter(pa.array((bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
             words = [words_of(t, least) for t in mine.column(1).to_pylist()]
             digests = [w and text_digest(w) for w in words]
-            yield pa.RecordBatch.from_arrays([mine.column(0), pa.array(digests, pa.binary()), pa.array(words, pa.string())], names=["field", "digest", "words"])
+            yield pa.RecordBatch.from_arrays([mine.column(0), pa.array([d and _id(d) for d in digests], pa.int64()), pa.array(digests, pa.binary()), pa.array(words, pa.string())], names=["field", "id", "digest", "words"])
 
     return run
 
 
-def sequences_in(words: str, size: int) -> set[tuple[str, ...]]:
-    """The distinct sequences of ``size`` consecutive words."""
-    w = words.split(" ")
-    return set(zip(*(w[k:] for k in range(size)), strict=False))
-
-
 def _verified(size: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[bytes, set] = {}
-
-        def known(digest: bytes, words: str) -> set:
-            found = sets.get(digest)
-            if found is None:
-                if len(sets) > 2_000:
-                    sets.clear()
-                found = sets[digest] = sequences_in(words, size)
-            return found
-
+        sets: dict[bytes, set[int]] = {}
         for batch in batches:
+            if len(sets) > 20_000:
+                sets.clear()
+            digests, texts = ([*batch.column(k).to_pylist(), *batch.column(k + 1).to_pylist()] for k in (1, 3))
+            new = {d: t for d, t in zip(digests, texts, strict=True) if d not in sets}
+            names, words = list(new), list(new.values())
+            for at in range(0, len(names), 250):
+                hashes, starts = _sequences(words[at : at + 250], size)
+                ends = np.append(starts[1:], len(hashes)).tolist()
+                flat = hashes.tolist()
+                for name, begin, end in zip(names[at : at + 250], starts.tolist(), ends, strict=True):
+                    sets[name] = set(flat[begin:end])
             keep = []
-            for da, db, a, b in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True):
-                one, two = known(da, a), known(db, b)
+            for da, db in zip(digests[: batch.num_rows], digests[batch.num_rows :], strict=True):
+                one, two = sets[da], sets[db]
                 both = len(one & two)
                 keep.append(both >= threshold * (len(one) + len(two) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays(batch.columns[:3], names=["field", "digest_a", "digest_b"]).filter(pa.array(keep, pa.bool_()))
@@ -361,12 +382,6 @@ def _verified(size: int, threshold: float):
     return run
 
 
-def _id_column(digest: str):
-    """The id of a digest: its first bytes, the lowest first."""
-    text = F.hex(F.col(digest))
-    return F.conv(F.concat(*[F.substring(text, 2 * k + 1, 2) for k in reversed(range(ID_BYTES))]), 16, 10).cast("bigint")
-
-
 def similar_texts(texts: DataFrame, candidates: DataFrame, members: DataFrame, least: int, size: int, threshold: float) -> DataFrame:
     """Rows (field, digest_a, digest_b): candidates that are different texts whose similarity reaches the threshold.
 
@@ -374,13 +389,13 @@ def similar_texts(texts: DataFrame, candidates: DataFrame, members: DataFrame, l
     they are read, so that the other texts are neither shuffled nor parsed again.
     """
     ids = candidates.select("field", F.explode(F.array("a", "b")).alias("id")).distinct()
-    chosen = members.groupBy("field", "digest").agg(F.min("key").alias("key")).withColumn("id", _id_column("digest")).join(ids, ["field", "id"], "left_semi")
+    chosen = members.groupBy("field", "digest").agg(F.min("key").alias("key"), F.first("id").alias("id")).join(ids, ["field", "id"], "left_semi")
     marked = texts.sparkSession.sparkContext.broadcast(_filter_of(chosen))
-    said = texts.select("field", "text", _place("field", "key").alias("place")).mapInArrow(_chosen(least, marked), "field int, digest binary, words string")
-    said = said.where("digest is not null").dropDuplicates(["field", "digest"]).withColumn("id", _id_column("digest"))
+    said = texts.select("field", "text", _place("field", "key").alias("place")).mapInArrow(_chosen(least, marked), "field int, id bigint, digest binary, words string")
+    said = said.where("digest is not null").dropDuplicates(["field", "digest"])
     a = said.select("field", F.col("id").alias("a"), F.col("digest").alias("digest_a"), F.col("words").alias("words_a"))
     b = said.select("field", F.col("id").alias("b"), F.col("digest").alias("digest_b"), F.col("words").alias("words_b"))
-    met = candidates.join(a, ["field", "a"]).join(b, ["field", "b"]).select("field", "digest_a", "digest_b", "words_a", "words_b")
+    met = candidates.repartition("field", "a").distinct().join(a, ["field", "a"]).join(b, ["field", "b"]).select("field", "digest_a", "digest_b", "words_a", "words_b")
     return met.mapInArrow(_verified(size, threshold), "field int, digest_a binary, digest_b binary")
 
 
@@ -394,7 +409,7 @@ def similar_records(texts: DataFrame, least: int = 8, size: int = 3, threshold:
     """
     candidates, members = indexed(texts, max(least, size), size)
     near = similar_texts(texts, candidates, members, max(least, size), size, threshold)
-    one = members.withColumnsRenamed({"digest": "digest_a", "key": "key_a"})
+    one = members.select("field", F.col("digest").alias("digest_a"), F.col("key").alias("key_a"))
     two = members.select(F.col("field").alias("field_b"), F.col("digest").alias("digest_b"), F.col("key").alias("key_b"))
     different = near.join(one, ["field", "digest_a"]).join(two, (F.col("field") == F.col("field_b")) & (near["digest_b"] == two["digest_b"]))
     equal = one.join(two, (F.col("field") == F.col("field_b")) & (F.col("digest_a") == F.col("digest_b")) & (F.col("key_a") < F.col("key_b")))
