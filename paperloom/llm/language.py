@@ -332,17 +332,16 @@ def detect_languages(documents: DataFrame, detector: Detector | None = None) ->
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                rows = [(d, *x) for d, found in zip(docs, tool.value.read([t or "" for t in texts]), strict=True) for x in found]
-                ids, lines, langs, sure = (list(c) for c in zip(*rows, strict=True)) if rows else ([], [], [], [])
+                docs, texts, labels = (batch.column(k).to_pylist() for k in range(3))
+                rows = [(d, *x, l) for d, l, found in zip(docs, labels, tool.value.read([t or "" for t in texts]), strict=True) for x in found]
+                ids, lines, langs, sure, named = (list(c) for c in zip(*rows, strict=True)) if rows else ([], [], [], [], [])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(lines, pa.int64()), pa.array([LANGUAGES[k] for k in langs], pa.string()), pa.array(sure, pa.float64())],
-                    names=["doc_id", "line_no", "lang", "confidence"],
+                    [pa.array(ids, pa.int64()), pa.array(lines, pa.int64()), pa.array([LANGUAGES[k] for k in langs], pa.string()), pa.array(sure, pa.float64()), pa.array(named, pa.string())],
+                    names=["doc_id", "line_no", "lang", "confidence", "label_lang"],
                 )
 
-    found = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, line_no bigint, lang string, confidence double")
-    labels = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), label_language(F.col("lang")).alias("label_lang"))
-    return found.join(labels, "doc_id", "left")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", label_language(F.col("lang")).alias("label"))
+    return rows.mapInArrow(run, "doc_id bigint, line_no bigint, lang string, confidence double, label_lang string")
 
 
 def found_languages(detected: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.session import materialize
@@ -76,8 +76,7 @@ def mix(counted: DataFrame, target: DataFrame, seed: int = 7, total: float | Non
         "source string, target_share double, max_repeats bigint, records bigint, available_tokens bigint, clamped boolean",
     )
     report = report.join(F.broadcast(held), "source", "left").fillna(0, ["taken_tokens"])
-    everything = report.agg(F.sum("taken_tokens").alias("all_tokens"))
-    report = report.crossJoin(F.broadcast(everything))  # one row
+    report = report.withColumn("all_tokens", F.sum("taken_tokens").over(Window.partitionBy()))  # one row for each source of the target
     return records, report.select("source", "target_share", "max_repeats", "records", "available_tokens", "taken_tokens", F.coalesce(F.try_divide("taken_tokens", "all_tokens"), F.lit(0.0)).alias("reached_share"), "clamped")
 
 

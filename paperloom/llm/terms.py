@@ -37,8 +37,8 @@ def dictionary(uses: DataFrame) -> DataFrame:
 
 def encode(uses: DataFrame, terms: DataFrame) -> DataFrame:
     """(term_id, occurrences) of every row of ``uses``; hot terms take a broadcast, the others a shuffled join."""
-    total = terms.agg(F.sum("records").alias("all_records"))
-    hot = terms.crossJoin(F.broadcast(total)).where(F.col("records") * HOT_PART > F.col("all_records")).select("term", "term_id")  # under HOT_PART rows
+    total = terms.agg(F.sum("records")).first()[0] or 0
+    hot = terms.where(F.col("records") * HOT_PART > F.lit(total)).select("term", "term_id")  # under HOT_PART rows
     through = uses.join(F.broadcast(hot), "term", "left")
     direct = through.where(F.col("term_id").isNotNull()).select("term_id", "occurrences")
     rest = through.where(F.col("term_id").isNull()).select("term", "occurrences").join(terms.select("term", "term_id"), "term").select("term_id", "occurrences")
@@ -129,6 +129,6 @@ def acronym_counts(per_document: DataFrame, rare: int = 2, common_part: float =
     """(acronym, occurrences, documents, band): band is ``rare`` up to ``rare`` documents, ``common`` in more than
     ``common_part`` of all distinct documents of the table, else ``kept``. A value that is both is ``rare``."""
     counts = term_counts(acronym_uses(per_document))
-    documents = per_document.agg(F.count_distinct("document").alias("all_documents"))  # one row
-    band = F.when(F.col("records") <= rare, "rare").when(F.col("records") > F.col("all_documents") * common_part, "common").otherwise("kept")
-    return counts.crossJoin(F.broadcast(documents)).select(F.col("term").alias("acronym"), "occurrences", F.col("records").alias("documents"), band.alias("band"))
+    documents = per_document.agg(F.count_distinct("document")).first()[0]
+    band = F.when(F.col("records") <= rare, "rare").when(F.col("records") > F.lit(documents * common_part), "common").otherwise("kept")
+    return counts.select(F.col("term").alias("acronym"), "occurrences", F.col("records").alias("documents"), band.alias("band"))
