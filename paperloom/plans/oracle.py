@@ -1 +1,7 @@
-SQL: dict[str, str] = {}
+"""The SQL that the core queries are held against."""
+
+from __future__ import annotations
+
+from paperloom.plans.queries import _FAMILIES
+
+SQL: dict[str, str] = {name: text for family in _FAMILIES for name, text in family.sql.items()}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paperloom.operators import reconcile, timestamps
+from paperloom.plans import structure
 from paperloom.session import table
 
 
@@ -25,4 +26,8 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.paragraph_differences(table(spark, sf_dir, "paragraph"), table(spark, sf_dir, "paragraph_diff"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found, "p3_dates": p3_dates, "p5_found": p5_found}
+_FAMILIES = (structure.R,)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **{f.__name__: f for f in (p3_found, p3_dates, p5_found)},
+    **{name: f for family in _FAMILIES for name, f in family.queries.items()},
+}
