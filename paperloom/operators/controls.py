@@ -26,7 +26,7 @@ def control_ids(text: Column) -> Column:
 def counted_ids(text: Column, bold_text: Column, bypass: Column, anchor: int | None = None) -> Column:
     """The identifiers that count: in bold (unless bypassed, as in tables and headings) and near the beginning."""
     ids = F.filter(control_ids(text), lambda x: bypass | F.contains(bold_text, x))
-    return ids if anchor is None else F.filter(ids, lambda x: F.locate("", text) >= 0 if anchor < 0 else F.instr(text, x) - 1 <= anchor)
+    return ids if anchor is None else F.filter(ids, lambda x: F.instr(text, x) - 1 <= anchor)
 
 
 def control_blocks(paragraphs: DataFrame, keys: Sequence[str], order: str, text: str = "text", style: Column | None = None, bold: Column | None = None, least_lines: int = 0) -> DataFrame:

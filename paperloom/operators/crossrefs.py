@@ -26,14 +26,13 @@ def reference_patterns(internal: Sequence[str] = INTERNAL_PHRASES, external: Seq
 
 def references(elements: DataFrame, patterns: Sequence[tuple[str, str]], keep: Sequence[str] = ("doc_id", "seq"), text: str = "text") -> DataFrame:
     """(keep..., ord, match_no, reference_type, matched, target): all matches of all patterns of every paragraph."""
-    found = [
-        F.transform(
-            F.arrays_zip(F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0)).alias("m"), F.regexp_extract_all(F.col(text), F.lit(p), F.lit(1)).alias("t")),
-            lambda z, i, k=k, kind=kind: F.struct(F.lit(k).cast("bigint").alias("ord"), i.cast("bigint").alias("match_no"), F.lit(kind).alias("reference_type"), z["m"].alias("matched"), z["t"].alias("target")),
-        )
-        for k, (kind, p) in enumerate(patterns)
-    ]
-    return elements.where(F.col(text).isNotNull()).select(*keep, F.inline(F.concat(*found)))
+    def found(k: int, kind: str, pattern: str) -> Column:
+        whole, target = (F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(g)) for g in (0, 1))
+        as_row = lambda z, i: F.struct(F.lit(k).cast("bigint").alias("ord"), i.cast("bigint").alias("match_no"), F.lit(kind).alias("reference_type"), z["m"].alias("matched"), z["t"].alias("target"))
+        return F.transform(F.arrays_zip(whole.alias("m"), target.alias("t")), as_row)
+
+    rows = F.concat(*[found(k, kind, p) for k, (kind, p) in enumerate(patterns)])
+    return elements.where(F.col(text).isNotNull()).select(*keep, F.inline(rows))
 
 
 def pattern_counts(elements: DataFrame, patterns: Sequence[str] = PROFILE_PATTERNS, key: str = "doc_id", text: str = "text") -> DataFrame:
