@@ -4,4 +4,19 @@ from __future__ import annotations
 
 from paperloom.plans.queries import _FAMILIES
 
-SQL: dict[str, str] = {name: text for family in _FAMILIES for name, text in family.sql.items()}
+_P5_SIDE = "select distinct package_name, location, para_index, accepted, rejected, has_tracked_changes from paragraph where copy_no = {0}"
+P5 = f"""with a as ({_P5_SIDE.format(1)}), b as ({_P5_SIDE.format(2)}),
+j as (select coalesce(a.package_name, b.package_name) as package_name, coalesce(a.location, b.location) as location, coalesce(a.para_index, b.para_index) as para_index, a.package_name is null as no_a, b.package_name is null as no_b,
+  a.accepted is distinct from b.accepted as d1, a.rejected is distinct from b.rejected as d2, a.has_tracked_changes is distinct from b.has_tracked_changes as d3
+  from a full join b on a.package_name = b.package_name and a.location = b.location and a.para_index = b.para_index),
+r as (select distinct package_name, location, index1, index2, text1, text2 from paragraph_diff)
+select package_name, location, para_index, 'row' as field_name, case when no_b then 'only_first' else 'only_second' end as state from j where no_a or no_b
+union select package_name, location, para_index, 'accepted', 'differs' from j where not no_a and not no_b and d1
+union select package_name, location, para_index, 'rejected', 'differs' from j where not no_a and not no_b and d2
+union select package_name, location, para_index, 'has_tracked_changes', 'differs' from j where not no_a and not no_b and d3
+union select r.package_name, r.location, index1, 'text1', case when a.package_name is null then 'only_report' else 'differs' end from r left join a on r.package_name = a.package_name and r.location = a.location and r.index1 = a.para_index
+  where index1 is not null and (a.package_name is null or text1 is distinct from accepted)
+union select r.package_name, r.location, index2, 'text2', case when b.package_name is null then 'only_report' else 'differs' end from r left join b on r.package_name = b.package_name and r.location = b.location and r.index2 = b.para_index
+  where index2 is not null and (b.package_name is null or text2 is distinct from accepted)"""
+
+SQL: dict[str, str] = {"p5_found": P5, **{name: text for family in _FAMILIES for name, text in family.sql.items()}}

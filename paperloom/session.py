@@ -47,15 +47,21 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{base}"
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed by ``cleanup``."""
+    path = f"{shared_dir(spark)}/paperloom-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as parquet into the shared folder and read it back.
 
     The files survive the loss of executors; ``cleanup`` (also run at exit) removes them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/paperloom-{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
