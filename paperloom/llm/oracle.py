@@ -1 +1,38 @@
-SQL: dict[str, str] = {}
+"""The SQL that queries of the corpus operators are held against, where SQL can express them."""
+
+from __future__ import annotations
+
+from paperloom.llm.lookalikes import BLANKS, HYPHENS, INVISIBLE, LIGATURES, LOOKALIKES, SYMBOLS
+from paperloom.llm.splitting import LIMIT
+
+_wide = range(0xFF01, 0xFF5F)
+_FROM = "".join([*map(chr, _wide), *map(chr, BLANKS), *map(chr, HYPHENS), *map(chr, SYMBOLS), *LOOKALIKES])
+_TO = "".join([*(chr(a - 0xFEE0) for a in _wide), " " * len(BLANKS), "-" * len(HYPHENS), *SYMBOLS.values(), *LOOKALIKES.values()])
+_form = f"translate(regexp_replace(x, '[{''.join(map(chr, INVISIBLE))}]', '', 'g'), '{_FROM.replace(chr(39), chr(39) * 2)}', '{_TO.replace(chr(39), chr(39) * 2)}')"
+for _code, _plain in LIGATURES.items():
+    _form = f"replace({_form}, '{chr(_code)}', '{_plain}')"
+
+P1 = f"""with t as (select 'control_description' as field_name, row_id as id, control_description as x from control_row union select 'accepted', para_id, accepted from paragraph),
+f as (select field_name, id, x, nfc_normalize({_form}) as form from t where length(x) > 0)
+select distinct a.field_name, least(a.id, b.id) as id_1, greatest(a.id, b.id) as id_2 from f a join f b on a.field_name = b.field_name and a.form = b.form and a.id < b.id and a.x <> b.x"""
+
+P6 = """with r as (select distinct entry_id, document, acronym, occurrences from acronym_per_document),
+v as (select document, upper(regexp_replace(acronym, '^[\\s/-]+|[\\s/-]+$', '', 'g')) as acronym, occurrences from r),
+c as (select acronym, sum(occurrences)::bigint as occurrences, count(distinct document) as documents from v where acronym <> '' and occurrences > 0 group by 1),
+b as (select *, case when documents <= 2 then 'rare' when documents * 5 > (select count(distinct document) from acronym_per_document) then 'common' else 'kept' end as band from c)"""
+
+_longest = lambda parts: f"list_max(list_transform({parts}, lambda x: length(x)))"
+P4 = f"""with ln as (select doc_id, unnest(l) as text, generate_subscripts(l, 1) - 1 as seq from (select doc_id, string_split(text, chr(10)) as l from documents where length(text) > {LIMIT})),
+hd as (select doc_id, start_para_index as s, min(coalesce(heading_level, 2)) as level from section_info group by 1, 2), el as (select ln.*, hd.level from ln left join hd on ln.doc_id = hd.doc_id and ln.seq = hd.s),
+g as (select doc_id, seq, text, {", ".join(f"count(case when level <= {k} and seq > 0 then 1 end) over (partition by doc_id order by seq) as g{k}" for k in (1, 2, 3, 4))} from el),
+{", ".join(f"m{k} as (select doc_id, max(n) as n from (select doc_id, g{k}, sum(length(text)) + count(*) - 1 as n from g group by 1, 2) group by 1)" for k in (1, 2, 3, 4))},
+t as (select doc_id, {_longest("string_split(text, chr(10))")} as p, {_longest("string_split(regexp_replace(text, '([.!?]) ', chr(92) || '1' || chr(10), 'g'), chr(10))")} as s, {_longest("string_split(replace(text, ' ', chr(10)), chr(10))")} as w from documents where length(text) > {LIMIT})
+select t.doc_id, case {" ".join(f"when m{k}.n <= {LIMIT} then 'heading_{k}'" for k in (1, 2, 3, 4))} when p <= {LIMIT} then 'paragraph' when s <= {LIMIT} then 'sentence' when w <= {LIMIT} then 'word' else 'none' end as boundary
+from t join m1 on t.doc_id = m1.doc_id join m2 on t.doc_id = m2.doc_id join m3 on t.doc_id = m3.doc_id join m4 on t.doc_id = m4.doc_id"""
+
+SQL: dict[str, str] = {
+    "p1_found": P1,
+    "p4_found": P4,
+    "p6_found": P6 + " select acronym, band from b where band <> 'kept'",
+    "p6_counts": P6 + " select acronym, occurrences, documents, band from b",
+}
