@@ -39,7 +39,7 @@ def read_results(spark: SparkSession, folder: str) -> DataFrame:
 
 def tag_lists(rows: DataFrame, name: str, tags: str) -> DataFrame:
     """(name, tags): comma-separated tags as arrays, trimmed, without empty ones."""
-    return rows.select(F.col(name).alias("name"), F.filter(F.transform(F.split(tags, ","), F.trim), lambda t: t != "").alias("tags"))
+    return rows.select(F.col(name).alias("name"), F.filter(F.transform(F.split(tags, ","), lambda t: F.trim(t)), lambda t: t != "").alias("tags"))
 
 
 def acronym_definitions(rows: DataFrame) -> DataFrame:
