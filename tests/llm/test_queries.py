@@ -1,0 +1,25 @@
+"""Every corpus query on the smallest tables, against its SQL where it has one."""
+
+import os
+
+import duckdb
+import pytest
+
+from paperloom.llm.oracle import SQL
+from paperloom.llm.queries import QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, small, name):
+    df = QUERIES[name](spark, small)
+    columns = sorted(df.columns)
+    got = sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())
+    assert got and (name == "p4_pieces" or len(set(got)) == len(got))
+    if name in SQL:
+        with duckdb.connect() as c:
+            for file in os.listdir(small):
+                c.execute(f"create view {file.removesuffix('.parquet')} as select * from '{small}/{file}'")
+            result = c.execute(SQL[name])
+            names = [d[0] for d in result.description]
+            assert sorted(names) == columns
+            assert got == sorted(repr(tuple(r[names.index(k)] for k in columns)) for r in result.fetchall())
