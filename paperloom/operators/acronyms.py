@@ -25,7 +25,8 @@ def acronym_hits(parts: DataFrame, keys: Sequence[str] = ("doc_id", "location"),
     """
     plain = parts.select(*keys, F.explode(F.regexp_extract_all(F.col(text), F.lit(rf"\b[A-Z]{{{MIN_LENGTH},{MAX_LENGTH}}}\b"), F.lit(0))).alias("acronym"), F.lit(None).cast("string").alias("definition"))
     said, short = (F.regexp_extract_all(F.col(text), F.lit(_DEFINED), F.lit(k)) for k in (1, 2))
-    defined = parts.select(*keys, F.explode(F.arrays_zip(said.alias("d"), short.alias("a"))).alias("z")).select(*keys, F.col("z.a").alias("acronym"), F.trim("z.d").alias("definition"))
+    likely = parts.where(F.col(text).rlike(r"\([A-Z][A-Z\-/]{1,9}\)"))  # the longer pattern looks back from every place
+    defined = likely.select(*keys, F.explode(F.arrays_zip(said.alias("d"), short.alias("a"))).alias("z")).select(*keys, F.col("z.a").alias("acronym"), F.trim("z.d").alias("definition"))
     rows = plain.unionByName(defined).withColumn("acronym", F.regexp_replace(F.regexp_replace("acronym", "^-+|-+$", ""), "^/+|/+$", ""))
     kept = rows.where((F.length("acronym") >= MIN_LENGTH) & ~F.col("acronym").isin(list(IGNORED)) & ~F.col("acronym").rlike(r"\d"))
     return kept.withColumn("definition", F.when(F.length("definition") > F.length("acronym"), F.col("definition")))
