@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,8 +14,29 @@ _LOCAL_ONLY = "local"
 _written: list[tuple[SparkSession, str]] = []
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give every Python worker of the session this package, once for each application.
+
+    Functions that run on executors import it there; the workers' search path need not hold the repository.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="paperloom-code-")) / "paperloom.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(target))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table ``name`` of a directory of parquet tables (a file or a directory of files each)."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
