@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.groups import components
 from paperloom.llm.lookalikes import visible
 from paperloom.session import materialize
 
@@ -417,6 +418,25 @@ def similar_records(texts: DataFrame, least: int = 8, size: int = 3, threshold:
     return pairs.select("field", F.least("key_a", "key_b").alias("key_1"), F.greatest("key_a", "key_b").alias("key_2"))
 
 
+def similar_groups(texts: DataFrame, least: int = 8, size: int = 3, threshold: float = 0.6) -> DataFrame:
+    """Rows (field, key, group_key, links): the group of every record that is alike to another, by its least key, and
+    the number of records that it is alike to itself. Records without such a partner have no row; see
+    ``similar_records`` for what is alike.
+    """
+    candidates, members = indexed(texts, max(least, size), size)
+    near = materialize(similar_texts(texts, candidates, members, max(least, size), size, threshold))
+    roots = components(near, "field", "digest_a", "digest_b").withColumnRenamed("node", "digest")
+    copies = members.groupBy("field", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    both = near.unionByName(near.select("field", F.col("digest_b").alias("digest_a"), F.col("digest_a").alias("digest_b")))
+    other = copies.withColumnsRenamed({"digest": "digest_b", "copies": "near"})
+    degree = both.join(other, ["field", "digest_b"]).groupBy("field", F.col("digest_a").alias("digest")).agg(F.sum("near").alias("near"))
+    classes = copies.join(roots, ["field", "digest"], "left").join(degree, ["field", "digest"], "left")
+    classes = classes.select("field", "digest", F.coalesce("root", "digest").alias("root"), (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("links")).where("links > 0")
+    rows = members.select("field", "digest", "key").join(classes, ["field", "digest"])
+    first = rows.groupBy("field", "root").agg(F.min("key").alias("group_key"))
+    return rows.join(first, ["field", "root"]).select("field", "key", "group_key", "links")
+
+
 FIELDS = ("control_description", "supplemental_guidance")
 
 

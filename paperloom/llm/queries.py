@@ -32,6 +32,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(neardup.field_name(), F.col("key_1").alias("row_id_1"), F.col("key_2").alias("row_id_2")).distinct()
 
 
+def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every control record that is alike to another, and how many it is alike to."""
+    groups = neardup.similar_groups(neardup.control_texts(table(spark, sf_dir, "control_row")))
+    return groups.select(neardup.field_name(), F.col("key").alias("row_id"), F.col("group_key").alias("group_id"), "links").distinct()
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents over the limit with the coarsest boundary that suffices."""
     return splitting.found_boundaries(table(spark, sf_dir, "documents"), table(spark, sf_dir, "section_info"))
@@ -84,5 +90,5 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_forms, p2_found, p4_found, p4_pieces, p6_found, p6_counts, p7_ids, p8_mix, p8_shares, p9_found, p9_languages)
+    for f in (p1_found, p1_forms, p2_found, p2_groups, p4_found, p4_pieces, p6_found, p6_counts, p7_ids, p8_mix, p8_shares, p9_found, p9_languages)
 }

@@ -2,6 +2,7 @@
 
 import random
 
+from paperloom.llm import groups as G
 from paperloom.llm import neardup as N
 
 KIND = "field int, text string, key bigint, digest string, words string, part int"
@@ -68,6 +69,33 @@ def test_hot_copies_nulls_short_and_long_texts(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_groups(spark):
+    rows = [*corpus(random.Random(11), 150), (0, "lonely words that no other row has anywhere in this table", 900)]
+    links = brute(rows)
+    root, degree = {}, {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for f, a, b in links:
+        degree[(f, a)] = degree.get((f, a), 0) + 1
+        degree[(f, b)] = degree.get((f, b), 0) + 1
+        x, y = find((f, a)), find((f, b))
+        root[max(x, y)] = min(x, y)
+    want = sorted((f, k, find((f, k))[1], n) for (f, k), n in degree.items())
+    df = spark.createDataFrame([(f, t, k) for f, t, k in rows], "field int, text string, key bigint")
+    assert sorted(map(tuple, N.similar_groups(df).collect())) == want
+    assert N.similar_groups(df.where("false")).count() == 0
+
+
+def test_long_chain_is_one_group(spark):
+    links = spark.createDataFrame([(0, k, k + 1) for k in range(300)], "f int, a bigint, b bigint")
+    got = G.components(links, "f", "a", "b").collect()
+    assert len(got) == 301 and {r["root"] for r in got} == {0}
+
+
 def test_threshold_is_inclusive(spark):
     a = " ".join(f"a{k}" for k in range(10))
     b = " ".join([*(f"a{k}" for k in range(8)), "z1", "z2"])
