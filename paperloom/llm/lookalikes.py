@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.session import materialize
+
 # Letters of other scripts that look like a Latin letter, each beside it.
 LOOKALIKES = dict(
     zip(
@@ -204,8 +206,9 @@ def same_look_pairs(forms: DataFrame, group: str, key: str, text: str, form: str
     Null and empty texts are in no pair. The rows of a form are grouped by stored text; the text with most rows is
     its hub, and only rows of other texts are joined with all rows of the form, so that the copies of one text,
     however many, are never paired with each other. A form with many rows is cut into blocks of ``block`` rows.
+    Digests of texts and forms are written once into the shared folder, so that the texts are repaired once.
     """
-    rows = forms.where(F.length(text) > 0).select(group, F.col(key).cast("bigint").alias("id"), _digest(F.col(text)).alias("stored"), _digest(F.col(form)).alias("look"))
+    rows = materialize(forms.where(F.length(text) > 0).select(group, F.col(key).cast("bigint").alias("id"), _digest(F.col(text)).alias("stored"), _digest(F.col(form)).alias("look")))
     counts = rows.groupBy(group, "look", "stored").agg(F.count(F.lit(1)).alias("n"))
     looks = counts.groupBy(group, "look").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total"), F.max(F.struct("n", "stored"))["stored"].alias("hub"))
     looks = looks.where("kinds > 1").select(group, "look", "hub", F.ceil(F.col("total") / block).cast("int").alias("blocks"))
