@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import pairing_key
+from paperloom.session import materialize
 
 FUZZY, CHANGED = 0.9, 0.6
 #: Paragraphs of one place that are compared as one sequence; a longer place is cut at multiples of it.
@@ -21,15 +22,16 @@ WINDOW = 400
 def pair_files(first: DataFrame, second: DataFrame, name: str = "filename", threshold: float = FUZZY) -> DataFrame:
     """(name1, name2, how): pairs by equal names, then by normalised names, then by likeness; the rest are orphans.
 
-    Within a normalised name, files pair in order. Likeness is compared only among names with the same first word,
+    What each step finds is written into the shared folder, as the next ones work on the rest. Within a normalised name, files pair in order. Likeness is compared only among names with the same first word,
     greedily from the most alike, so that no name is compared with all others.
     """
     a = first.select(F.col(name).alias("name1")).distinct()
     b = second.select(F.col(name).alias("name2")).distinct()
     exact = a.join(b, F.lower("name1") == F.lower("name2")).groupBy("name1").agg(F.min("name2").alias("name2")).withColumn("how", F.lit("exact"))
+    exact = materialize(exact)
     numbered = lambda df, c: df.withColumn("_k", pairing_key(F.col(c))).withColumn("_n", F.row_number().over(Window.partitionBy("_k").orderBy(c)))
-    a1, b1 = numbered(a.join(exact, "name1", "left_anti"), "name1"), numbered(b.join(exact, "name2", "left_anti"), "name2")
-    likely = a1.join(b1, ["_k", "_n"]).select("name1", "name2", F.lit("normalised").alias("how"))
+    a1, b1 = (materialize(numbered(x.join(exact, n, "left_anti"), n)) for x, n in ((a, "name1"), (b, "name2")))
+    likely = materialize(a1.join(b1, ["_k", "_n"]).select("name1", "name2", F.lit("normalised").alias("how")))
     a2, b2 = a1.join(likely, "name1", "left_anti"), b1.join(likely, "name2", "left_anti")
     word = F.split("_k", " ")[0]
 
@@ -48,7 +50,7 @@ def pair_files(first: DataFrame, second: DataFrame, name: str = "filename", thre
     fuzzy = (
         a2.select(word.alias("w"), F.col("_k").alias("k"), "name1").groupBy("w").cogroup(b2.select(word.alias("w"), F.col("_k").alias("k"), "name2").groupBy("w")).applyInPandas(greedy, "name1 string, name2 string, how string")
     )
-    pairs = exact.select("name1", "name2", "how").unionByName(likely).unionByName(fuzzy)
+    pairs = exact.select("name1", "name2", "how").unionByName(likely).unionByName(materialize(fuzzy))
     only1 = a.join(pairs, "name1", "left_anti").select("name1", F.lit(None).cast("string").alias("name2"), F.lit("orphan").alias("how"))
     only2 = b.join(pairs, "name2", "left_anti").select(F.lit(None).cast("string").alias("name1"), "name2", F.lit("orphan").alias("how"))
     return pairs.unionByName(only1).unionByName(only2)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,26 +16,25 @@ BLOCK = 5_000
 Match = Callable[[Column, Column], Column]
 
 
-def _arrays(table: DataFrame, key: str, value: str, order: str) -> list[DataFrame]:
-    """The table as one-row frames of at most ``BLOCK`` ordered entries each."""
-    total = table.count()
-    if total <= BLOCK:
-        blocks = [table]
-    else:
-        pieces = -(-total // BLOCK) * 2
-        blocks = [table.where(F.pmod(F.xxhash64(order, key), F.lit(pieces)) == k) for k in range(pieces)]
-    entry = F.struct(F.col(order).alias("o"), F.col(key).alias("k"), F.col(value).alias("v"))
-    return [b.agg(F.array_sort(F.collect_list(entry)).alias("_entries")).withColumn("_one", F.lit(1)) for b in blocks]
+def _arrays(table: DataFrame, key: str, value: str, order: str) -> Iterator[Column]:
+    """The table as constant arrays of at most ``BLOCK`` ordered entries each, which go to tasks inside the plan."""
+    kinds = dict(table.dtypes)
+    kind = f"array<struct<o:{kinds[order]},k:string,v:{kinds[value]}>>"
+    rows = table.select(F.col(order).alias("o"), F.col(key).alias("k"), F.col(value).alias("v")).where("k is not null")
+    total = rows.count()
+    pieces = 1 if total <= BLOCK else 2 * -(-total // BLOCK)
+    for piece in range(pieces):
+        part = rows if pieces == 1 else rows.where(F.pmod(F.xxhash64("o", "k"), F.lit(pieces)) == piece)
+        yield F.from_json(F.lit(json.dumps([r.asDict() for r in part.collect()])), kind)
 
 
 def lookup_all(rows: DataFrame, column: str, table: DataFrame, key: str, value: str, order: str, match: Match = either_contains, out: str = "found") -> DataFrame:
-    """Add ``out``: the values of all matching entries, in the table's order. A null column matches nothing."""
-    rows = rows.withColumn("_all", F.array().cast(f"array<struct<o:{dict(table.dtypes)[order]},k:string,v:{dict(table.dtypes)[value]}>>"))
-    for block in _arrays(table, key, value, order):
-        rows = rows.withColumn("_one", F.lit(1)).join(F.broadcast(block), "_one")
-        hits = F.filter("_entries", lambda e: F.coalesce(match(F.col(column), e["k"]), F.lit(False)))
-        rows = rows.withColumn("_all", F.concat("_all", hits)).drop("_entries", "_one")
-    return rows.withColumn(out, F.transform(F.array_sort("_all"), lambda e: e["v"])).drop("_all")
+    """Add ``out``: the values of all matching entries, in the table's order. A null column matches nothing.
+
+    ``table`` is a lookup table made by people, with texts and numbers; ``rows`` may be of any size.
+    """
+    hits = [F.filter(entries, lambda e: F.coalesce(match(F.col(column), e["k"]), F.lit(False))) for entries in _arrays(table, key, value, order)]
+    return rows.withColumn(out, F.transform(F.array_sort(F.concat(*hits)), lambda e: e["v"]))
 
 
 def lookup_first(rows: DataFrame, column: str, table: DataFrame, key: str, value: str, order: str, match: Match = either_contains, out: str = "found") -> DataFrame:

@@ -287,9 +287,8 @@ def pairs_of(sources: DataFrame, targets: DataFrame) -> DataFrame:
 
     ``sources`` and ``targets`` have (name); the product is what is asked for, and both lists are driver-sized.
     """
-    wide = sources.select(F.col("name").alias("source")).withColumn("_one", F.lit(1))
-    short = targets.agg(F.array_sort(F.collect_list("name")).alias("_t")).withColumn("_one", F.lit(1))
-    rows = wide.join(F.broadcast(short), "_one").select("source", F.explode("_t").alias("target"))
+    names = sorted(r["name"] for r in targets.select("name").distinct().collect())
+    rows = sources.select(F.col("name").alias("source"), F.explode(F.array(*[F.lit(n) for n in names])).alias("target"))
     w = Window.orderBy("source", "target")
     return rows.withColumn("number", F.row_number().over(w).cast("bigint")).withColumn("label", F.format_string("%02d_%s_x_%s", F.col("number"), safe_label(F.col("source")), safe_label(F.col("target"))))
 

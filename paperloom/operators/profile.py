@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.text import keyword_hits, word_count
 from paperloom.operators import headings as H
+from paperloom.session import materialize
 
 # Limits, weights and words of the profile.
 PAGE_PARAGRAPHS, SPLIT_CHARS, PAGE_CHARS = 30, 36_000, 1_800
@@ -154,7 +155,7 @@ def ranked(scores: DataFrame) -> DataFrame:
     the sizes of the partitions before give the rest, so that no single task sorts the corpus.
     """
     order = [F.desc("score_100"), F.asc("filename")]
-    rows = scores.select("doc_id", "filename", F.round(F.col("score") * 100).cast("bigint").alias("score_100"))
+    rows = materialize(scores.select("doc_id", "filename", F.round(F.col("score") * 100).cast("bigint").alias("score_100")))  # read for the ranges, the sizes and the rows
     parts = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = rows.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
     local = spread.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))

@@ -15,11 +15,13 @@ def text_elements(documents: DataFrame, sections: DataFrame, *keep: str) -> Data
     """Lines with the style, level and fake flag that a heading table gives them.
 
     Columns: doc_id, keep..., seq, text, style (``Normal`` where the line is no heading), level (null there; a
-    heading without level reads as 2), fake. Repeated rows of the heading table count once.
+    heading without level reads as 2), fake. Repeated rows of the heading table count once; of different rows for
+    one line the least counts. Headings are joined to whole documents before these are cut into lines: the texts
+    are shuffled once, by document, and windows and aggregations by document then need no further exchange.
     """
-    heads = sections.select(
-        F.col("doc_id").alias("_d"), F.col("start_para_index").alias("_s"), "heading_style", F.coalesce("heading_level", F.lit(2)).alias("level"), "is_fake_heading"
-    ).distinct()
-    lines = text_lines(documents, *keep)
-    joined = lines.join(heads, (lines["doc_id"] == heads["_d"]) & (lines["seq"] == heads["_s"]), "left")
-    return joined.select("doc_id", *keep, "seq", "text", F.coalesce("heading_style", F.lit("Normal")).alias("style"), "level", F.coalesce("is_fake_heading", F.lit(False)).alias("fake"))
+    about = F.struct(F.col("heading_style").alias("style"), F.coalesce("heading_level", F.lit(2)).alias("level"), F.col("is_fake_heading").alias("fake"))
+    heads = sections.where(F.col("start_para_index").isNotNull()).groupBy("doc_id", F.col("start_para_index").cast("int").alias("_s")).agg(F.min(about).alias("_h"))
+    heads = heads.groupBy(F.col("doc_id").alias("_d")).agg(F.map_from_entries(F.collect_list(F.struct("_s", "_h"))).alias("_heads"))
+    joined = documents.select("doc_id", *keep, "text").join(heads, F.col("doc_id") == F.col("_d"), "left")
+    lines = joined.select("doc_id", *keep, "_heads", F.posexplode(F.split("text", "\n")).alias("seq", "text")).withColumn("_h", F.try_element_at("_heads", F.col("seq")))
+    return lines.select("doc_id", *keep, "seq", "text", F.coalesce("_h.style", F.lit("Normal")).alias("style"), F.col("_h.level").alias("level"), F.coalesce("_h.fake", F.lit(False)).alias("fake"))
