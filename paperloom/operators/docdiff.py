@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -15,8 +16,8 @@ from paperloom.functions.text import pairing_key
 from paperloom.session import materialize
 
 FUZZY, CHANGED = 0.9, 0.6
-#: Paragraphs of one place that are compared as one sequence; a longer place is cut at multiples of it.
-WINDOW = 400
+#: Texts that occur more often than this in a place are looked at only where no block with a rarer one can be the longest.
+RARE = 16
 
 
 def pair_files(first: DataFrame, second: DataFrame, name: str = "filename", threshold: float = FUZZY) -> DataFrame:
@@ -71,52 +72,93 @@ def word_ops(a: str, b: str) -> list[dict[str, str]]:
     return out
 
 
+class BlockMatcher(difflib.SequenceMatcher):
+    """The blocks of ``SequenceMatcher`` without junk, found from the rare elements.
+
+    A block without a rare element is at most as long as the longest stretch of frequent ones. Where a longer block
+    exists, all longest blocks are reached by extending matches of rare elements, and the pairs of frequent elements,
+    whose number is quadratic, are not visited; elsewhere the original search decides.
+    """
+
+    def __init__(self, a: list, b: list):
+        super().__init__(None, a, b, autojunk=False)
+        self.rare = {t: js for t, js in self.b2j.items() if len(js) <= RARE}
+        self.stretch = max((sum(1 for _ in g) for rare, g in groupby(b, self.rare.__contains__) if not rare), default=0)
+
+    def find_longest_match(self, alo: int = 0, ahi: int | None = None, blo: int = 0, bhi: int | None = None) -> difflib.Match:
+        a, b = self.a, self.b
+        ahi, bhi = len(a) if ahi is None else ahi, len(b) if bhi is None else bhi
+        best, done = (0, alo, blo), {}  # done: the end in a of the last run of each diagonal
+        for i in range(alo, ahi):
+            for j in self.rare.get(a[i], ()):
+                if j < blo or done.get(i - j, -1) > i:
+                    continue
+                if j >= bhi:
+                    break
+                back, on = 0, 1
+                while i - back > alo and j - back > blo and a[i - back - 1] == b[j - back - 1]:
+                    back += 1
+                while i + on < ahi and j + on < bhi and a[i + on] == b[j + on]:
+                    on += 1
+                done[i - j] = i + on
+                best = min(best, (-back - on, i - back, j - back))
+        if -best[0] > self.stretch:
+            return difflib.Match(best[1], best[2], -best[0])
+        return super().find_longest_match(alo, ahi, blo, bhi)
+
+
+def unequal(first: list[tuple[int, str]], second: list[tuple[int, str]]) -> Iterator[tuple]:
+    """(index1, text1, index2, text2) where two ordered lists of paragraphs differ; what has no partner has nulls."""
+    for op, i1, i2, j1, j2 in BlockMatcher([t for _, t in first], [t for _, t in second]).get_opcodes():
+        if op != "equal":
+            for k in range(max(i2 - i1, j2 - j1)):
+                yield *(first[i1 + k] if i1 + k < i2 else (None, None)), *(second[j1 + k] if j1 + k < j2 else (None, None))
+
+
+def difference(index1: int | None, text1: str | None, index2: int | None, text2: str | None) -> tuple:
+    """(index1, index2, kind, text1, text2, ops) of one of ``unequal``'s rows."""
+    if index1 is None or index2 is None:
+        return index1, index2, "added" if index1 is None else "removed", text1, text2, []
+    alike = difflib.SequenceMatcher(None, text1, text2, autojunk=False).ratio() >= CHANGED
+    return index1, index2, "changed" if alike else "replaced", text1, text2, word_ops(text1, text2)
+
+
 def sequence_diff(first: list[tuple[int, str]], second: list[tuple[int, str]]) -> list[tuple]:
     """(index1, index2, kind, text1, text2, ops) of two ordered lists of paragraphs: pairs within a replaced block by
     place, ``changed`` if their characters are alike enough, else ``replaced``; the rest ``removed`` or ``added``."""
-    out: list[tuple] = []
-    match = difflib.SequenceMatcher(None, [t for _, t in first], [t for _, t in second], autojunk=False)
-    for op, i1, i2, j1, j2 in match.get_opcodes():
-        if op == "equal":
-            continue
-        for k in range(max(i2 - i1, j2 - j1)):
-            x = first[i1 + k] if i1 + k < i2 else None
-            y = second[j1 + k] if j1 + k < j2 else None
-            if x and y:
-                alike = difflib.SequenceMatcher(None, x[1], y[1], autojunk=False).ratio() >= CHANGED
-                out.append((x[0], y[0], "changed" if alike else "replaced", x[1], y[1], word_ops(x[1], y[1])))
-            elif x:
-                out.append((x[0], None, "removed", x[1], None, []))
-            elif y:
-                out.append((None, y[0], "added", None, y[1], []))
-    return out
+    return [difference(*pair) for pair in unequal(first, second)]
 
 
 def paragraph_diff(first: DataFrame, second: DataFrame, keys: tuple[str, ...] = ("package_name", "location"), order: str = "para_index", text: str = "accepted") -> DataFrame:
     """(keys..., index1, index2, kind, text1, text2, inline_ops) for every difference within each place.
 
-    The paragraphs of a place are compared as sequences, at most ``WINDOW`` at a time, so that a package that holds
-    a tenth of all rows is many small tasks. Null texts read as empty.
+    All paragraphs of a place are compared as one sequence in one task; the differences found are spread over all
+    tasks before their words are compared. Null texts read as empty.
     """
-    block = F.floor(F.col(order) / WINDOW).alias("_block")
     entry = F.struct(F.col(order).cast("bigint").alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    side = lambda df, n: df.select(*keys, block, entry.alias("e")).distinct().groupBy(*keys, "_block").agg(F.array_sort(F.collect_list("e")).alias(n))
-    both = side(first, "a").join(side(second, "b"), [*keys, "_block"], "full_outer").where(~F.col("a").eqNullSafe(F.col("b")))
+    side = lambda df, n: df.select(*keys, entry.alias("e")).distinct().groupBy(*keys).agg(F.array_sort(F.collect_list("e")).alias(n))
+    both = side(first, "a").join(side(second, "b"), [*keys], "full_outer").where(~F.col("a").eqNullSafe(F.col("b")))
     ops = pa.list_(pa.struct([("op", pa.string()), ("text", pa.string())]))
+    found = [("index1", pa.int64()), ("text1", pa.string()), ("index2", pa.int64()), ("text2", pa.string())]
+    told = [("index1", pa.int64()), ("index2", pa.int64()), ("kind", pa.string()), ("text1", pa.string()), ("text2", pa.string()), ("inline_ops", ops)]
+
+    def batch_of(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+        schema = pa.schema([*((k, pa.string()) for k in keys), *fields])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [()] * len(schema), schema.types, strict=True)], schema=schema)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for *head, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield batch_of([(*head, *pair) for pair in unequal(*([(x["i"], x["t"]) for x in side or []] for side in (a, b)))], found)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            head = [c.to_pylist() for c in batch.columns[: len(keys)]]
-            out = []
-            for row, (a, b) in enumerate(zip(batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1).to_pylist(), strict=True)):
-                plain = [[(x["i"], x["t"]) for x in side or []] for side in (a, b)]
-                out += [(*(h[row] for h in head), *d) for d in sequence_diff(*plain)]
-            kinds = [*(batch.schema.field(k).type for k in range(len(keys))), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), ops]
-            columns = list(zip(*out, strict=True)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[*keys, "index1", "index2", "kind", "text1", "text2", "inline_ops"])
+            yield batch_of([(*row[: len(keys)], *difference(*row[len(keys) :])) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)], told)
 
     names = ", ".join(f"{k} string" for k in keys)
-    return both.select(*keys, "a", "b").mapInArrow(run, f"{names}, index1 bigint, index2 bigint, kind string, text1 string, text2 string, inline_ops array<struct<op:string,text:string>>")
+    pairs = both.select(*keys, "a", "b").mapInArrow(match, f"{names}, index1 bigint, text1 string, index2 bigint, text2 string")
+    spread = pairs.repartition(int(first.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "index1", "index2")
+    return spread.mapInArrow(tell, f"{names}, index1 bigint, index2 bigint, kind string, text1 string, text2 string, inline_ops array<struct<op:string,text:string>>")
 
 
 def signals(first: DataFrame, second: DataFrame, names: list[str]) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on small fixtures with known results."""
 
+import difflib
 import random
 
 import pytest
@@ -203,6 +204,29 @@ def test_diff(spark):
     assert pairs == {("Alpha.docx", "exact"), ("Policy_v2.docx", "normalised"), ("Net access rules.docx", "fuzzy"), (None, "orphan")}
 
 
+def test_blocks_equal_those_of_difflib(monkeypatch):
+    rng = random.Random(4)
+    for _ in range(400):
+        monkeypatch.setattr(docdiff, "RARE", rng.randrange(4))
+        size = rng.choice([2, 4, 8, 30])
+        a = [rng.randrange(size) for _ in range(rng.randrange(40))]
+        b = list(a)
+        for _ in range(rng.randrange(6)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(3)] = [rng.randrange(size) for _ in range(rng.randrange(4))]
+        assert docdiff.BlockMatcher(a, b).get_opcodes() == difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
+
+
+@pytest.mark.parametrize("more", [5, 450])
+def test_insertion_at_the_top_of_a_long_place(spark, more):
+    kind = "package_name string, location string, para_index bigint, accepted string"
+    text = lambda k: "" if k % 7 == 0 else f"paragraph {k}"
+    old = spark.createDataFrame([("p", "body", k, text(k)) for k in range(1_300)], kind)
+    new = spark.createDataFrame([("p", "body", k, f"new {k}" if k < more else text(k - more)) for k in range(1_300 + more)], kind)
+    got = docdiff.paragraph_diff(old, new).collect()
+    assert sorted((r["index2"], r["kind"]) for r in got) == [(k, "added") for k in range(more)]
+
+
 def test_render(spark):
     kind = "array<struct<text:string,bold:boolean,strike:boolean,href:string>>"
     runs = F.lit(None).cast(kind)
