@@ -58,12 +58,14 @@ def rare_tags(uses: DataFrame, most_documents: int = MOST_DOCUMENTS, most: int =
     return rows.groupBy("document").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "acronym"))), lambda x: x["acronym"]), ", ").alias("tags"))
 
 
-def glossary(definitions: DataFrame, most: int = 1_000) -> DataFrame:
-    """(document, glossary): ``A = D`` for the first definition of each acronym (whatever its case), in order."""
+def glossary(definitions: DataFrame, most: int | None = None) -> DataFrame:
+    """(document, glossary): ``A = D`` for the first definition of each acronym (whatever its case), in order.
+
+    All definitions of a document are kept, or the first ``most``.
+    """
     first = definitions.groupBy("document", F.lower("acronym").alias("_k")).agg(F.min(F.struct("ord", "acronym", "definition")).alias("_f"))
-    rows = first.withColumn("_r", F.row_number().over(Window.partitionBy("document").orderBy("_f.ord"))).where(F.col("_r") <= most)
-    line = F.concat("_f.acronym", F.lit(" = "), "_f.definition")
-    return rows.groupBy("document").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", line.alias("t")))), lambda x: x["t"]), ", ").alias("glossary"))
+    lines = F.transform(F.array_sort(F.collect_list("_f")), lambda f: F.concat(f["acronym"], F.lit(" = "), f["definition"]))
+    return first.groupBy("document").agg(F.array_join(lines if most is None else F.slice(lines, 1, most), ", ").alias("glossary"))
 
 
 def collisions(definitions: DataFrame) -> DataFrame:

@@ -120,6 +120,13 @@ def test_acronyms(spark):
     assert got["MFA"] == (3, "Multi-Factor Authentication") and got["CUI"][0] == 1 and got["CIO"][0] == 1 and "THE" not in got
 
 
+def test_glossary_keeps_all_definitions(spark):
+    df = spark.range(1_500).select(F.lit("d").alias("document"), F.col("id").alias("ord"), F.concat(F.lit("A"), F.col("id")).alias("acronym"), F.concat(F.lit("term "), F.col("id")).alias("definition"))
+    lines = [f"A{k} = term {k}" for k in range(1_500)]
+    assert acronyms.glossary(df).first()["glossary"] == ", ".join(lines)
+    assert acronyms.glossary(df, 2).first()["glossary"] == ", ".join(lines[:2])
+
+
 def test_control_blocks(spark):
     lines = ["Intro", "AC-1.001 (L) - First", "body one", "", "CONTROL REQUIREMENTS FOR ALL", "lost", "AC-1.002 and AC-1.003", "tail"]
     df = spark.createDataFrame([(1, k, t) for k, t in enumerate(lines)], "doc int, k int, text string")
