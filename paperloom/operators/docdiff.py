@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
+from zlib import crc32
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,13 +19,132 @@ from paperloom.session import materialize
 FUZZY, CHANGED = 0.9, 0.6
 #: Texts that occur more often than this in a place are looked at only where no block with a rarer one can be the longest.
 RARE = 16
+#: Likeness above which names are paired first, so that fewer are left for the weaker filters of lower ones.
+LEVELS = (0.96, 0.93)
+#: Longest grams of names that are compared, and counters of their frequency.
+LONGEST_GRAM, COUNTERS = 6, 1 << 16
+
+
+def least_shared(n1: int, n2: int, threshold: float) -> int:
+    """The fewest matched characters with which texts of these lengths are more alike than the threshold."""
+    least = max(0, int(threshold * (n1 + n2) / 2) - 1)
+    while 2.0 * least / (n1 + n2) <= threshold:
+        least += 1
+    return least
+
+
+def gram_filter(n1: int, n2: int, threshold: float) -> tuple[int, int] | None:
+    """(q, c): texts of these lengths that are more alike than the threshold share at least c > 0 grams of q characters,
+    repeats counted; None if they can't be. The matched characters form at most one block more than there are others.
+    """
+    least = least_shared(n1, n2, threshold)
+    if least > min(n1, n2):
+        return None
+    shared = lambda q: least - (q - 1) * (n1 + n2 - 2 * least + 1)
+    return next((q, shared(q)) for q in range(LONGEST_GRAM, 0, -1) if q == 1 or (shared(q) > 0 and 2 * (max(n1, n2) - q + 1 - shared(q) + 1) <= min(n1, n2) - q + 2))
+
+
+def grams(text: str, q: int) -> list[tuple[str, int]]:
+    """The grams of a text, each with the number of its repeat."""
+    seen: Counter[str] = Counter()
+    out = []
+    for k in range(len(text) - q + 1):
+        gram = text[k : k + q]
+        out.append((gram, seen[gram]))
+        seen[gram] += 1
+    return out
+
+
+def candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """(name1, k1, name2, k2): all pairs that can be more alike than the threshold, and others.
+
+    Of two texts that share c grams, some one is among the rarest n - c + 1 of both, whatever order is taken; these
+    are joined on equality, for every two lengths. Counters of fixed size tell what is rare.
+    """
+    spark = left.sparkSession
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter[int] = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                total.update(crc32(g.encode()) % COUNTERS for q in range(1, LONGEST_GRAM + 1) for g, _ in grams(text, q))
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], names=["g", "n"])
+
+    keys = left.select(F.col("k1").alias("k")).unionByName(right.select(F.col("k2").alias("k")))
+    often = {r["g"]: r["n"] for r in keys.mapInArrow(count, "g int, n bigint").groupBy("g").agg(F.sum("n").alias("n")).collect()}
+    lengths = [sorted(r[0] for r in df.select(F.length(k)).distinct().collect()) for df, k in ((left, "k1"), (right, "k2"))]
+    filters = {(x, y): f for x in lengths[0] for y in lengths[1] if x + y and (f := gram_filter(x, y, threshold))}
+    shared = spark.sparkContext.broadcast((often, filters))
+
+    def signed(side: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            often, filters = shared.value
+            of_length: dict[int, list] = {}
+            for pair, f in filters.items():
+                of_length.setdefault(pair[side], []).append((pair, *f))
+            for batch in batches:
+                out = []
+                for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    ranked: dict[int, list] = {}
+                    for (x, y), q, c in of_length.get(len(text), ()):
+                        if q not in ranked:
+                            ranked[q] = sorted(grams(text, q), key=lambda g: (often[crc32(g[0].encode()) % COUNTERS], g))
+                        out += [(name, text, f"{x} {y} {n} {g}") for g, n in ranked[q][: len(ranked[q]) - c + 1]]
+                columns = list(zip(*out, strict=True)) or [()] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=[f"name{side + 1}", f"k{side + 1}", "gram"])
+
+        return run
+
+    one = left.mapInArrow(signed(0), "name1 string, k1 string, gram string")
+    two = right.mapInArrow(signed(1), "name2 string, k2 string, gram string")
+    return one.join(two, "gram").select("name1", "k1", "name2", "k2").distinct()
+
+
+def alike_pairs(left: DataFrame, right: DataFrame, threshold: float = FUZZY) -> DataFrame:
+    """(name1, name2, how): of all names of both sides (name1, k1) and (name2, k2) those whose keys are more alike than
+    the threshold, greedily from the most alike. The choice itself is one task over the sorted pairs."""
+    spark = left.sparkSession
+
+    def verify(above: float):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = []
+                for name1, k1, name2, k2 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    match = difflib.SequenceMatcher(None, k1, k2)
+                    if match.quick_ratio() > above and (score := match.ratio()) > above:
+                        out.append((name1, name2, score))
+                columns = list(zip(*out, strict=True)) or [()] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.float64()), strict=True)], names=["name1", "name2", "score"])
+
+        return run
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used1, used2 = set(), set()
+        for batch in batches:
+            out = []
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if x not in used1 and y not in used2:
+                    used1.add(x)
+                    used2.add(y)
+                    out.append((x, y, "fuzzy"))
+            columns = list(zip(*out, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["name1", "name2", "how"])
+
+    found = spark.createDataFrame([], "name1 string, name2 string, how string")
+    left, right = materialize(left), materialize(right)
+    for above in (*(x for x in LEVELS if x > threshold), threshold):
+        scored = candidates(left, right, above).mapInArrow(verify(above), "name1 string, name2 string, score double")
+        chosen = materialize(scored.repartition(1).sortWithinPartitions(F.desc("score"), "name1", "name2").mapInArrow(pick, "name1 string, name2 string, how string"))
+        found = found.unionByName(chosen)
+        left, right = (materialize(df.join(chosen, n, "left_anti")) for df, n in ((left, "name1"), (right, "name2")))
+    return found
 
 
 def pair_files(first: DataFrame, second: DataFrame, name: str = "filename", threshold: float = FUZZY) -> DataFrame:
     """(name1, name2, how): pairs by equal names, then by normalised names, then by likeness; the rest are orphans.
 
-    What each step finds is written into the shared folder, as the next ones work on the rest. Within a normalised name, files pair in order. Likeness is compared only among names with the same first word,
-    greedily from the most alike, so that no name is compared with all others.
+    What each step finds is written into the shared folder, as the next ones work on the rest. Within a normalised name, files pair in order. Likeness is compared among all names that are left, greedily from
+    the most alike (``alike_pairs``).
     """
     a = first.select(F.col(name).alias("name1")).distinct()
     b = second.select(F.col(name).alias("name2")).distinct()
@@ -34,24 +154,8 @@ def pair_files(first: DataFrame, second: DataFrame, name: str = "filename", thre
     a1, b1 = (materialize(numbered(x.join(exact, n, "left_anti"), n)) for x, n in ((a, "name1"), (b, "name2")))
     likely = materialize(a1.join(b1, ["_k", "_n"]).select("name1", "name2", F.lit("normalised").alias("how")))
     a2, b2 = a1.join(likely, "name1", "left_anti"), b1.join(likely, "name2", "left_anti")
-    word = F.split("_k", " ")[0]
-
-    def greedy(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        scored = sorted(
-            ((difflib.SequenceMatcher(None, x.k, y.k).ratio(), x.name1, y.name2) for x in left.itertuples() for y in right.itertuples()), key=lambda s: (-s[0], s[1], s[2])
-        )
-        used: set[tuple[int, str]] = set()
-        out = []
-        for score, x, y in scored:
-            if score > threshold and (1, x) not in used and (2, y) not in used:
-                used |= {(1, x), (2, y)}
-                out.append((x, y, "fuzzy"))
-        return pd.DataFrame(out, columns=["name1", "name2", "how"])
-
-    fuzzy = (
-        a2.select(word.alias("w"), F.col("_k").alias("k"), "name1").groupBy("w").cogroup(b2.select(word.alias("w"), F.col("_k").alias("k"), "name2").groupBy("w")).applyInPandas(greedy, "name1 string, name2 string, how string")
-    )
-    pairs = exact.select("name1", "name2", "how").unionByName(likely).unionByName(materialize(fuzzy))
+    fuzzy = alike_pairs(a2.select("name1", F.col("_k").alias("k1")), b2.select("name2", F.col("_k").alias("k2")), threshold)
+    pairs = exact.select("name1", "name2", "how").unionByName(likely).unionByName(fuzzy)
     only1 = a.join(pairs, "name1", "left_anti").select("name1", F.lit(None).cast("string").alias("name2"), F.lit("orphan").alias("how"))
     only2 = b.join(pairs, "name2", "left_anti").select(F.lit(None).cast("string").alias("name1"), "name2", F.lit("orphan").alias("how"))
     return pairs.unionByName(only1).unionByName(only2)

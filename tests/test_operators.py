@@ -234,6 +234,30 @@ def test_insertion_at_the_top_of_a_long_place(spark, more):
     assert sorted((r["index2"], r["kind"]) for r in got) == [(k, "added") for k in range(more)]
 
 
+def test_typo_in_the_first_word_of_a_name(spark):
+    one_, two = (spark.createDataFrame([(n,)], "filename string") for n in ("po sc 2023 000103 part 7.docx", "pol sc 2023 000103 part 7.docx"))
+    assert [r["how"] for r in docdiff.pair_files(one_, two).collect()] == ["fuzzy"]
+
+
+def test_alike_names_equal_brute_force(spark):
+    rng = random.Random(5)
+    names = []
+    for _ in range(60):
+        name = f"{rng.choice(['pol', 'gdl'])} {rng.choice(['sc', 'ac'])} 202{rng.randrange(5)} {rng.randrange(400):06} part {rng.randrange(30)}"[: rng.randrange(8, 30)]
+        names += [name, *("".join(rng.choice([c, c, c, c, c, c, c, c, c, c, "", c + "x", "y"]) for c in name) for _ in range(3))]
+    names = sorted(set(names))
+    left, right = names[::2], names[1::2]
+    scored = sorted((-difflib.SequenceMatcher(None, x, y).ratio(), x, y) for x in left for y in right)
+    used, want = set(), set()
+    for score, x, y in scored:
+        if -score > 0.9 and (1, x) not in used and (2, y) not in used:
+            used |= {(1, x), (2, y)}
+            want.add((x, y))
+    one_, two = (spark.createDataFrame([(n, n) for n in side], f"name{k} string, k{k} string") for k, side in ((1, left), (2, right)))
+    assert {(r["name1"], r["name2"]) for r in docdiff.alike_pairs(one_, two).collect()} == want
+    assert any(x.split()[0] != y.split()[0] for x, y in want)
+
+
 def test_render(spark):
     kind = "array<struct<text:string,bold:boolean,strike:boolean,href:string>>"
     runs = F.lit(None).cast(kind)
