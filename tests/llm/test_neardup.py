@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from paperloom.llm import groups as G
 from paperloom.llm import neardup as N
 
@@ -50,15 +53,53 @@ def test_matches_brute_force(spark):
     assert len(got) >= 0.998 * len(want) and len(want) > 300
 
 
-def test_more_partitions_than_segments(spark):
-    rows = corpus(random.Random(6), 200)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "40")
-    try:
-        want, got = brute(rows), run(spark, rows)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert set(got) <= set(want) and len(got) >= 0.99 * len(want)
+def test_small_parts_and_blocks_change_nothing(spark):
+    rows = corpus(random.Random(6), 200) + [(0, "one stock text that very many of these rows repeat word for word", k) for k in range(1_000, 1_060)]
+    rows += [(0, f"one stock text that very many of these rows repeat word for word and {k}", k) for k in range(2_000, 2_020)]
+    want = brute(rows)
+    for how in ({"part_bytes": 4_000}, {"copies": 7}, {"part_bytes": 700, "copies": 25}):
+        got = run(spark, rows, **how)
+        assert set(got) <= set(want) and len(got) >= 0.99 * len(want), how
+
+
+def payload(texts, ids):
+    symbols = N._symbols(*N._sequences(texts, 3))
+    return N._packed(np.array(ids), N._planes(symbols), np.stack((N._variants(symbols, 0)[2:] >> np.uint64(40)).astype(np.uint32), axis=1))
+
+
+def test_texts_that_share_an_id_are_all_kept():
+    base = " ".join(f"a{k}" for k in range(60))
+    other = " ".join(f"b{k}" for k in range(60))
+    texts = [base, other, base + " more", other + " more", other]  # the first two share an id, the last is a copy
+    met = {tuple(sorted(p)) for block in N._meetings([payload(texts, [7, 7, 8, 9, 7])]) for p in block.tolist()}
+    assert met == {(7, 8), (7, 9)}
+    near = {tuple(sorted(p)) for block in N._meetings([payload([base, base + " more"], [7, 7])]) for p in block.tolist()}
+    assert near == {(7, 7)}
+    sides = {tuple(sorted(p)) for block in N._meetings([payload([base, base + " more"], [1, 2]), payload([base + " less"], [3])], [0, 1]) for p in block.tolist()}
+    assert sides == {(1, 3), (2, 3)}
+
+
+def test_parts_of_an_oversized_bucket_are_cut():
+    texts = [f"{' '.join(f'a{k}' for k in range(60))} {n}" for n in range(6)]
+    rows = [payload([t], [n]) for n, t in enumerate(texts)]
+    batch = N._rows([5] * 6, rows)
+    whole = [b.to_pylist() for b in N._candidates(24, 1_000)(iter([batch]))]
+    pieces = [r for b in N._candidates(24, 2 * N.ENTRY)(iter([batch])) for r in b.to_pylist()]
+    assert {r["kind"] for r in pieces} == {N.PIECE} and {(r["field"], r["a"]) for r in pieces} == {(5, 0), (5, 1), (5, 2)}
+    units = [(5, min(r["a"], o), max(r["a"], o), r["a"], r["digest"]) for r in pieces for o in range(3)]
+    units.sort(key=lambda u: u[:3])
+    table = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*units, strict=True)], names=["part", "low", "high", "block", "payload"])
+    cut = {(r["a"], r["b"]) for b in N._met_blocks(24)(iter([table])) for r in b.to_pylist()}
+    assert cut == {(r["a"], r["b"]) for b in whole for r in b} and len(cut) > 5
+
+
+def test_copies_of_a_hot_text_use_several_tasks(spark):
+    members = spark.range(50_000).selectExpr("0 as field", "id as key", "id as id", "if(id % 10 < 9, 'hot', cast(id as string)) as digest").selectExpr("field", "key", "id", "cast(digest as binary) as digest")
+    hot, most = N.hot_texts(members, 50_000)
+    assert most == N.COPIES and hot.count() == 1
+    blocks = N.in_blocks(members, hot).where("digest = cast('hot' as binary)").groupBy("block").count().collect()
+    assert len(blocks) == 23 and max(r["count"] for r in blocks) < 1.2 * N.COPIES
+    assert N.hot_texts(members, 10**12)[0].count() == 0  # no more than MOST_HOT texts are ever broadcast
 
 
 def test_hot_copies_nulls_short_and_long_texts(spark):
