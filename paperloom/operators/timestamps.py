@@ -1,22 +1,28 @@
 """Dates of many forms and zones, brought to one instant in UTC.
 
 Every accepted form is parsed by built-in regular expressions into a local time and, where the text names
-one, a zone. Local times in a named zone are placed by an as-of join to the intervals between two changes of
-that zone's clock: two intervals that hold the time mean it occurs twice, none that it is skipped, one gives
-its offset.
+one, a zone. The offset intervals of every zone and year that occur are exploded to rows and cut where they overlap
+or leave a gap, so that a local time falls into exactly one row: two intervals that hold it mean that it occurs twice,
+none that it is skipped, one gives its offset. An as-of join on zone, year and start of the row finds it.
 """
 
 from __future__ import annotations
 
+import struct
+import zoneinfo
+from bisect import bisect_right
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
-from functools import reduce
-from zoneinfo import ZoneInfo, available_timezones
+from functools import lru_cache, reduce
+from importlib import resources
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.session import materialize
+
 #: Offsets of zone abbreviations, in minutes.
 ABBREVIATIONS = {"UTC": 0, "GMT": 0, "Z": 0, "EST": -300, "EDT": -240, "PST": -480, "PDT": -420, "CET": 60, "CEST": 120}
 #: English month names; the first three letters decide.
@@ -24,7 +30,9 @@ MONTHS = ("january", "february", "march", "april", "may", "june", "july", "augus
 MONTH_PATTERN = "|".join(sorted({m for name in MONTHS for m in (name, name[:3])} | {"sept"}, key=len, reverse=True))
 DAY_PATTERN = "(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*"
 
-FIRST_YEAR, LAST_YEAR = 1970, 2099
+#: Local years before the first and after the last are looked up as these: no clock was changed before, and the calendar
+#: repeats every 400 years, so that rules which hold for ever do, too.
+FIRST_YEAR, LAST_YEAR, CYCLE_YEARS, CYCLE_DAYS = 1800, 2437, 400, 146_097
 SECOND, DAY = 1_000_000, 86_400_000_000
 
 _ZONE = r"\s*(z|[+-]\d{2}(?::?\d{2})?|utc|gmt|est|edt|pst|pdt|cet|cest|\[[a-z0-9_+\-/]+\]|[a-z_]+(?:/[a-z0-9_+\-]+)+)?"
@@ -42,57 +50,108 @@ FORMS: dict[str, tuple[str, tuple[int, ...]]] = {
 _EPOCH_SCALE = {10: SECOND, 13: 1_000, 16: 1}
 
 
-def clock_changes(zone: str, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> list[tuple[int, int, int]]:
-    """Intervals (local start, local end, offset), in microseconds, between two changes of a zone's clock."""
-    rules, start, end = ZoneInfo(zone), datetime(first, 1, 1, tzinfo=timezone.utc), datetime(last + 1, 1, 1, tzinfo=timezone.utc)
-    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+_ALWAYS = 1 << 62
+
+
+@lru_cache(maxsize=1)
+def _zone_names() -> dict[str, str]:
+    return {name.lower(): name for name in zoneinfo.available_timezones()}
+
+
+def _zone_file(zone: str) -> bytes:
+    for folder in zoneinfo.TZPATH:
+        file = Path(folder, zone)
+        if file.is_file():
+            return file.read_bytes()
+    return resources.files("tzdata").joinpath("zoneinfo", zone).read_bytes()
+
+
+@lru_cache(maxsize=700)
+def recorded_changes(zone: str) -> list[tuple[int, int]]:
+    """(second of the change, offset from then on) as the zone's file lists them, in order."""
+    data, at = _zone_file(zone), 0
+    counts = struct.unpack_from(">6l", data, 20)
+    width = 4
+    if data[4:5] >= b"2":  # the second table has times of 64 bits
+        at = 44 + counts[3] * 5 + counts[4] * 6 + counts[5] + counts[2] * 8 + counts[1] + counts[0]
+        counts, width = struct.unpack_from(">6l", data, at + 20), 8
+    n = counts[3]
+    times = struct.unpack_from(f">{n}{'q' if width == 8 else 'l'}", data, at + 44)
+    kinds = data[at + 44 + n * width : at + 44 + n * (width + 1)]
+    offset = lambda kind: struct.unpack_from(">l", data, at + 44 + n * (width + 1) + 6 * kind)[0]
+    return [(t, offset(k)) for t, k in zip(times, kinds, strict=True)]
+
+
+def _offset(rules: zoneinfo.ZoneInfo, second: int) -> int:
+    return int((_EPOCH + timedelta(seconds=second)).astimezone(rules).utcoffset().total_seconds())
 
-    def offset(at: datetime) -> int:
-        return int(at.astimezone(rules).utcoffset().total_seconds())
 
-    intervals, begun, now, step = [], start, start, timedelta(days=20)
-    current = offset(now)
+def clock_changes(zone: str, begin: int, end: int) -> list[tuple[int, int, int]]:
+    """Intervals (first second, last second + 1, offset) of a zone's clock that cover the seconds from ``begin`` to ``end``.
+
+    Changes come from the zone's file; after the last one there, its rule for ever gives at most a few a year, and
+    steps of a week look for them.
+    """
+    rules, known = zoneinfo.ZoneInfo(zone), recorded_changes(zone)
+    times = [t for t, _ in known]
+    changes = [(t, o) for t, o in known[max(0, bisect_right(times, begin) - 1) :] if t < end]
+    if not times or begin < times[0]:
+        first = times[0] - 1 if times else begin
+        changes = [(-_ALWAYS, _offset(rules, max(first, -62_000_000_000))), *changes]
+    now = max(begin, times[-1] if times else begin)
+    current = _offset(rules, now)
+    if now == begin:
+        changes = [*changes[:1], *([(begin, current)] if changes and changes[-1][1] != current else [])]
     while now < end:
-        ahead = min(now + step, end)
-        if offset(ahead) != current:
+        ahead = now + 7 * 86_400
+        if _offset(rules, ahead) != current:
             low, high = now, ahead
-            while high - low > timedelta(seconds=1):
-                middle = low + timedelta(seconds=int((high - low).total_seconds()) // 2)
-                low, high = (middle, high) if offset(middle) == current else (low, middle)
-            intervals.append((begun, high, current))
-            begun, current, ahead = high, offset(high), high
+            while high - low > 1:
+                middle = (low + high) // 2
+                low, high = (middle, high) if _offset(rules, middle) == current else (low, middle)
+            ahead, current = high, _offset(rules, high)
+            changes.append((high, current))
         now = ahead
-    intervals.append((begun, end, current))
-    micros = lambda at: int((at - epoch).total_seconds()) * SECOND
-    return [(micros(a) + o * SECOND, micros(b) + o * SECOND, o * SECOND) for a, b, o in intervals]
+    ends = [t for t, _ in changes[1:]] + [_ALWAYS]
+    return [(a, b, o) for (a, o), b in zip(changes, ends, strict=True) if a < b]
+
 
+def local_segments(zone: str, year: int) -> list[tuple[int, int, int, int]]:
+    """(start, end, matches, offset): the local times of a year, in microseconds, cut where intervals begin and end.
 
-def _zone_years(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    starts = [int((datetime(y, 1, 1) - datetime(1970, 1, 1)).total_seconds()) * SECOND for y in range(FIRST_YEAR, LAST_YEAR + 2)]
-    kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64()), ("off", pa.int64())]))
+    ``matches`` intervals hold the times of a segment. Of two, the offset of the earlier instant is given; of none,
+    the one in force before the change. The first year holds all times before it, too.
+    """
+    start, end = (int((datetime(y, 1, 1, tzinfo=timezone.utc) - _EPOCH).total_seconds()) for y in (year, year + 1))
+    local = [(a + o if a > -_ALWAYS else a, b + o, o) for a, b, o in clock_changes(zone, start - 3 * 86_400, end + 3 * 86_400)]
+    first = -_ALWAYS if year == FIRST_YEAR else start
+    cuts = sorted({first, end, *(t for a, b, _ in local for t in (a, b) if first < t < end)})
+    out: list[tuple[int, int, int, int]] = []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        held = [o for lo, hi, o in local if lo <= a and b <= hi]
+        offset = max(held) if held else max((hi, o) for lo, hi, o in local if hi <= a)[1]
+        out.append((a, b, len(held), offset))
+    micros = lambda t: max(t, -(_ALWAYS // SECOND)) * SECOND
+    return [(micros(a), micros(b), n, o * SECOND) for a, b, n, o in out]
+
+
+def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for zone in batch.column(0).to_pylist():
-            changes, rows, k = clock_changes(zone), [], 0
-            for y in range(FIRST_YEAR, LAST_YEAR + 1):
-                low, high = starts[y - FIRST_YEAR] - 2 * DAY, starts[y - FIRST_YEAR + 1] + 2 * DAY
-                while changes[k][1] <= low and k + 1 < len(changes):
-                    k += 1
-                rows.append((y, [{"lo": a, "hi": b, "off": o} for a, b, o in changes[k : k + 12] if a < high and b > low]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([zone.lower()] * len(rows)), pa.array([y for y, _ in rows], pa.int32()), pa.array([x for _, x in rows], kind)],
-                names=["iv_zone", "iv_year", "intervals"],
-            )
-
-
-def zone_intervals(spark: SparkSession) -> DataFrame:
-    """Intervals of every zone of the tz database, one row (zone in lower case, local year, intervals touching it).
-
-    Its size is fixed by that database: about 600 zones times the years 1970 to 2099, so it may be broadcast.
+        rows = []
+        for zone, year in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            name = _zone_names().get(zone)
+            rows += [(zone, year, *segment) for segment in (local_segments(name, year) if name else ())]
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+        names = ["iv_zone", "iv_year", "iv_start", "iv_end", "iv_matches", "iv_offset"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * 6, kinds, strict=True)], names=names)
+
+
+def zone_intervals(wanted: DataFrame) -> DataFrame:
+    """Segments of ``local_segments`` for rows (zone in lower case, year): (iv_zone, iv_year, iv_start, iv_end,
+    iv_matches, iv_offset). An unknown zone has none. At most some 600 zones times 638 years with a few rows each.
     """
-    zones = sorted(z for z in available_timezones() if "/" in z or z in ("UTC", "GMT"))
-    return spark.createDataFrame([(z,) for z in zones], "zone string").repartition(8).mapInArrow(
-        _zone_years, "iv_zone string, iv_year int, intervals array<struct<lo:bigint,hi:bigint,off:bigint>>"
-    )
+    return wanted.distinct().mapInArrow(_segment_rows, "iv_zone string, iv_year int, iv_start bigint, iv_end bigint, iv_matches int, iv_offset bigint")
 
 
 def _month(text: Column) -> Column:
@@ -101,7 +160,8 @@ def _month(text: Column) -> Column:
 
 
 def parse_dates(df: DataFrame, text: str, order: str) -> DataFrame:
-    """Add ``pd_local`` (microseconds of the wall time), ``pd_zone`` (zone text in lower case) and ``pd_epoch``.
+    """Add ``pd_local`` (microseconds of the wall time), ``pd_zone`` (zone text in lower case, a name in brackets with
+    them) and ``pd_epoch``.
 
     ``order`` is a column with DMY, MDY or null and decides day and month between slashes only. A text of no
     known form, an impossible date or time, a date without a time of day, and null give null in all three.
@@ -109,15 +169,11 @@ def parse_dates(df: DataFrame, text: str, order: str) -> DataFrame:
     s = F.regexp_replace(F.col(text), r"^[\s ]+|[\s ]+$", "")
     hit = reduce(lambda rest, kv: F.when(F.col("_s").rlike(kv[1][0]), F.lit(kv[0])).otherwise(rest), reversed(FORMS.items()), F.lit(None).cast("string"))
     df = df.withColumn("_s", s).withColumn("_f", hit)
-
-    def part(which: int) -> Column:
-        picks = [
-            F.when(F.col("_f") == name, F.regexp_extract("_s", pattern, groups[which])) for name, (pattern, groups) in FORMS.items() if groups[which]
-        ]
-        return F.nullif(F.coalesce(*picks), F.lit(""))
-
+    in_order = {name: "|".join(f"${g}" if g else "" for g in groups) for name, (_, groups) in FORMS.items()}  # all parts in one pass; no form holds a "|"
+    packed = F.coalesce(*[F.when(F.col("_f") == name, F.regexp_replace("_s", pattern, in_order[name])) for name, (pattern, _) in FORMS.items()])
     names = ("_y", "_a", "_b", "_h", "_mi", "_sec", "_fr", "_half", "_z")
-    df = df.withColumns({n: part(k) for k, n in enumerate(names)})
+    df = df.withColumn("_p", F.split(packed, r"\|"))
+    df = df.withColumns({n: F.nullif(F.get("_p", F.lit(k)), F.lit("")) for k, n in enumerate(names)})
     slashed, swapped = F.col("_f") == "slashes", F.col(order) == "DMY"
     known = ~slashed | F.col(order).isin("DMY", "MDY")
     year = F.when(F.length("_y") == 2, F.col("_y").try_cast("int") + 2000).otherwise(F.col("_y").try_cast("int"))
@@ -141,50 +197,49 @@ def parse_dates(df: DataFrame, text: str, order: str) -> DataFrame:
     return df.withColumns(
         {
             "pd_local": F.when(valid, wall),
-            "pd_zone": F.when(valid, F.regexp_replace(F.lower("_z"), r"[\[\]]", "")),
+            "pd_zone": F.when(valid, F.lower("_z")),
             "pd_epoch": epoch,
         }
-    ).drop("_s", "_f", *names, "_yy", "_mm", "_dd", "_hh")
+    ).drop("_s", "_f", "_p", *names, "_yy", "_mm", "_dd", "_hh")
 
 
 def to_instants(df: DataFrame, text: str, zone: str, order: str, out: str = "utc_micros") -> DataFrame:
     """Add ``out``: the instant that ``text`` denotes, in microseconds since 1970-01-01 UTC, else null.
 
-    A zone written in the text goes before the column ``zone`` (a tz database name). A wall time that occurs
-    twice is its earlier instant, a skipped one is read with the offset before the change; neither zone gives
-    null, as do years before 1970 or after 2099 in a named zone. ``<out>_kind`` says which case held: ``epoch``,
-    ``offset``, ``single``, ``ambiguous``, ``skipped`` or null. Repeated rows keep their repeats.
+    A zone written in the text goes before the column ``zone`` (a tz database name, in any case). A wall time that
+    occurs twice is its earlier instant, a skipped one is read with the offset before the change; neither zone, and an
+    unknown one, give null. All years from 1 to 9999 are covered. ``<out>_kind`` says which case held: ``epoch``,
+    ``offset``, ``single``, ``ambiguous``, ``skipped`` or null. Repeated rows keep their repeats. The parsed rows are
+    written into the shared folder, as the zones and years in them are read first.
     """
     df = parse_dates(df, text, order)
-    z = F.col("pd_zone")
+    named = F.regexp_replace("pd_zone", r"[\[\]]", "")
+    z = F.col("_z0")
     sign = F.when(z.startswith("-"), -1).otherwise(1)
     hours, minutes = F.substring(z, 2, 2).try_cast("int"), F.coalesce(F.nullif(F.regexp_extract(z, r"^[+-]\d{2}:?(\d{2})$", 1), F.lit("")).try_cast("int"), F.lit(0))
     numeric = F.when(z.rlike(r"^[+-]\d{2}(:?\d{2})?$") & (hours <= 18) & (minutes <= 59), sign * (hours * 60 + minutes))
     fixed = F.coalesce(numeric, F.element_at(F.create_map(*[F.lit(x) for k, v in ABBREVIATIONS.items() for x in (k.lower(), v)]), z))
-    df = df.withColumns(
+    year = F.year(F.date_from_unix_date(F.floor(F.col("pd_local") / DAY).cast("int")))
+    turns = F.when(year > LAST_YEAR, F.ceil((year - LAST_YEAR) / CYCLE_YEARS)).otherwise(0).cast("bigint")
+    df = df.withColumn("_z0", named).withColumns(
         {
             "_fixed": fixed.cast("bigint") * 60 * SECOND,
-            "_zone": F.when(z.isNull(), F.lower(F.col(zone))).when(z.contains("/"), z),
-            "_year": F.year(F.date_from_unix_date(F.floor(F.col("pd_local") / DAY).cast("int"))),
+            "_zone": F.when(z.isNull(), F.lower(F.col(zone))).when(z.contains("/") | F.col("pd_zone").startswith("["), z),
+            "_year": F.greatest(year - (turns * CYCLE_YEARS).cast("int"), F.lit(FIRST_YEAR)),
+            "_turned": turns * CYCLE_DAYS * DAY,
         }
     )
-    table = F.broadcast(zone_intervals(df.sparkSession))
-    joined = df.join(table, (df["_zone"] == table["iv_zone"]) & (df["_year"] == table["iv_year"]), "left")
-    at = F.col("pd_local")
-    joined = joined.withColumn("_in", F.filter("intervals", lambda i: (i["lo"] <= at) & (at < i["hi"])))
-    before = F.array_max(F.transform(F.filter("intervals", lambda i: i["hi"] <= at), lambda i: F.struct(i["hi"].alias("hi"), i["off"].alias("off"))))["off"]
-    found = F.size("_in")
-    placed = F.when(found > 0, F.array_max(F.transform("_in", lambda i: i["off"]))).when(found == 0, before)
+    df = materialize(df.withColumn("_zone", F.when(F.col("_fixed").isNull() & F.col("pd_local").isNotNull(), F.col("_zone"))).drop("_z0"))
+    table = F.broadcast(zone_intervals(df.where("_zone is not null").select("_zone", "_year")))  # its size is bounded, see there
+    at = F.col("pd_local") - F.col("_turned")
+    joined = df.join(table, (df["_zone"] == table["iv_zone"]) & (df["_year"] == table["iv_year"]) & (at >= table["iv_start"]) & (at < table["iv_end"]), "left")
+    matches = F.col("iv_matches")
     kind = (
-        F.when(F.col("pd_epoch").isNotNull(), "epoch")
-        .when(at.isNull(), None)
-        .when(F.col("_fixed").isNotNull(), "offset")
-        .when(found == 1, "single")
-        .when(found > 1, "ambiguous")
-        .when((found == 0) & before.isNotNull(), "skipped")
-    )
-    instant = F.coalesce(F.col("pd_epoch"), at - F.col("_fixed"), at - placed)
-    return joined.withColumns({out: instant, f"{out}_kind": kind}).drop("_fixed", "_zone", "_year", "_in", "iv_zone", "iv_year", "intervals", "pd_local", "pd_zone", "pd_epoch")
+        F.when(F.col("pd_epoch").isNotNull(), "epoch").when(F.col("pd_local").isNull(), None).when(F.col("_fixed").isNotNull(), "offset")
+        .when(matches == 1, "single").when(matches > 1, "ambiguous").when(matches == 0, "skipped")
+    )
+    instant = F.coalesce(F.col("pd_epoch"), F.col("pd_local") - F.col("_fixed"), F.col("pd_local") - F.col("iv_offset"))
+    return joined.withColumns({out: instant, f"{out}_kind": kind}).drop("_fixed", "_zone", "_year", "_turned", *[c for c in table.columns], "pd_local", "pd_zone", "pd_epoch")
 
 
 #: A date that is stored in the target form already.

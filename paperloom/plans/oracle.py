@@ -19,4 +19,40 @@ union select r.package_name, r.location, index1, 'text1', case when a.package_na
 union select r.package_name, r.location, index2, 'text2', case when b.package_name is null then 'only_report' else 'differs' end from r left join b on r.package_name = b.package_name and r.location = b.location and r.index2 = b.para_index
   where index2 is not null and (b.package_name is null or text2 is distinct from accepted)"""
 
-SQL: dict[str, str] = {"p5_found": P5, **{name: text for family in _FAMILIES for name, text in family.sql.items()}}
+# The forms of a date with the groups of each as year, first, second, hour, minute, second, fraction, half, zone, in
+# patterns of their own. Wall times that occur twice are moved to the earlier of the two instants.
+_MON = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+_TIME, _TAIL = "([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]{1,9}))?)?", "[ ]*(z|[+-][0-9]{2}(?::?[0-9]{2})?|[a-z]{3,4}|\\[[a-z0-9_+/-]+\\]|[a-z_]+(?:/[a-z0-9_+-]+)+)?"
+_FORMS = {
+    "([0-9]{4})-([0-9]{2})-([0-9]{2})[t ][ ]*" + _TIME + _TAIL: r"\1|\2|\3|\4|\5|\6|\7||\8",
+    "([0-9]{4})([0-9]{2})([0-9]{2})t([0-9]{2})([0-9]{2})([0-9]{2})(?:[.,]([0-9]{1,9}))?" + _TAIL: r"\1|\2|\3|\4|\5|\6|\7||\8",
+    "([0-9]{1,2})[.]([0-9]{1,2})[.]([0-9]{4}|[0-9]{2}),? +" + _TIME + _TAIL: r"\3|\2|\1|\4|\5|\6|\7||\8",
+    "([0-9]{1,2})/([0-9]{1,2})/([0-9]{4}|[0-9]{2}),? +" + _TIME + "(?: *([ap])[.]?m[.]?)?" + _TAIL: r"\3|\1|\2|\4|\5|\6|\7|\8|\9",
+    f"(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +)?({_MON})[.]? +([0-9]{{1,2}}),? +([0-9]{{4}}),? +" + _TIME + "(?: *([ap])[.]?m[.]?)?" + _TAIL: r"\3|\1|\2|\4|\5|\6|\7|\8|\9",
+    f"(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +)?([0-9]{{1,2}})[ -]({_MON})[.]?[ -]([0-9]{{4}}|[0-9]{{2}}),? +" + _TIME + "(?: *([ap])[.]?m[.]?)?" + _TAIL: r"\3|\2|\1|\4|\5|\6|\7|\8|\9",
+}
+P3 = f"""with r as (select distinct 'tracked_change' as table_name, change_id as record_id, author, change_date as stored from tracked_change union select distinct 'review_comment', comment_key, author, comment_date from review_comment),
+l as (select author, any_value(zone_name) as zn, upper(any_value(date_order)) as dord from author_locale group by 1),
+s as (select r.*, zn, dord, lower(regexp_replace(stored, '^\\s+|\\s+$', '', 'g')) as s from r left join l on r.author = l.author),
+f as (select *, string_split(case {' '.join(f"when regexp_matches(s, '^{k}$') then regexp_replace(s, '^{k}$', '{v}')" for k, v in _FORMS.items())} end, '|') as e from s),
+g as (select *, try_cast(e[1] as int) + case when length(e[1]) = 2 then 2000 else 0 end as y, contains(s, '/') and regexp_matches(s, '^[0-9]{{1,2}}/') as slashed,
+  coalesce(try_cast(e[2] as int), list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec'], e[2][:3])) as a, try_cast(e[3] as int) as b, try_cast(e[4] as int) as h0, e[8] as half, nullif(e[9], '') as z from f),
+m as (select *, case when slashed and dord = 'DMY' then b else a end as mo, case when slashed and dord = 'DMY' then a else b end as d, case when half = '' then h0 when h0 between 1 and 12 then h0 % 12 + case half when 'p' then 12 else 0 end end as h from g),
+w as (select *, case when h between 0 and 23 and (not slashed or dord in ('DMY', 'MDY')) then try_cast(printf('%04d-%02d-%02d %02d:%s:%s', y, mo, d, h, e[5], case when e[6] = '' then '00' else e[6] end) as timestamp) end as wall,
+  rpad(e[7], 6, '0')[:6]::bigint as us, case when regexp_matches(s, '^([0-9]{{10}}|[0-9]{{13}}|[0-9]{{16}})$') then s::bigint * (case length(s) when 10 then 1000000 when 13 then 1000 else 1 end) end as epoch,
+  case replace(replace(z, '[', ''), ']', '') when 'utc' then 0 when 'gmt' then 0 when 'z' then 0 when 'est' then -300 when 'edt' then -240 when 'pst' then -480 when 'pdt' then -420 when 'cet' then 60 when 'cest' then 120 end as named,
+  case when regexp_matches(z, '^[+-][0-9]{{2}}(:?[0-9]{{2}})?$') then (case z[1] when '-' then -1 else 1 end) * (z[2:3]::int * 60 + case when length(z) > 3 then right(z, 2)::int else 0 end) end as num from m),
+k as (select w.*, coalesce(num, named) as off, t.name from w left join pg_timezone_names() t on lower(t.name) = case when z is null then lower(zn) when contains(z, '/') or z[1] = '[' then replace(replace(z, '[', ''), ']', '') end),
+c as (select *, case when off is null and name is not null and wall is not null then timezone(name, wall) end as late from k),
+i as (select *, case when epoch is not null then epoch when wall is null then null when off is not null then epoch_us(wall) + coalesce(us, 0) - off * 60000000::bigint
+  when late is not null then epoch_us(case when timezone(name, late - interval 1 hour) = wall then late - interval 1 hour when timezone(name, late - interval 30 minute) = wall then late - interval 30 minute else late end) + coalesce(us, 0) end as utc_micros,
+  case when epoch is not null then 'epoch' when wall is null then null when off is not null then 'offset' when late is null then null when timezone(name, late) <> wall then 'skipped'
+    when timezone(name, late - interval 1 hour) = wall or timezone(name, late - interval 30 minute) = wall then 'ambiguous' else 'single' end as kind from c)
+"""
+
+SQL: dict[str, str] = {
+    "p3_dates": P3 + "select table_name, record_id, stored, utc_micros, kind from i",
+    "p3_found": P3 + r"select table_name, record_id, utc_micros from i where utc_micros is not null and not regexp_matches(stored, '^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$')",
+    "p5_found": P5,
+    **{name: text for family in _FAMILIES for name, text in family.sql.items()},
+}

@@ -1,9 +1,9 @@
 """Dates of every form, on both sides of clock changes, and what is no date."""
 
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
+from zoneinfo import ZoneInfo, available_timezones
 
 import pytest
-from pyspark.sql import functions as F
 
 from paperloom.operators import timestamps as T
 
@@ -40,6 +40,13 @@ CASES = [
     ("1700000000", None, 1_700_000_000_000_000, "epoch"),
     ("1700000000123", None, 1_700_000_000_123_000, "epoch"),
     ("1700000000123456", None, 1_700_000_000_123_456, "epoch"),
+    ("2000-10-10 12:00", ("America/Recife", "DMY"), micros(2000, 10, 10, 14), "single"),
+    ("2024-07-01 12:00", ("Japan", "DMY"), micros(2024, 7, 1, 3), "single"),
+    ("2024-07-01 12:00 [Egypt]", None, micros(2024, 7, 1, 9), "single"),
+    ("1950-07-01 12:00", NY, micros(1950, 7, 1, 16), "single"),
+    ("1700-01-01 00:00", ("Europe/Berlin", "DMY"), micros(1699, 12, 31, 23, 6, 32), "single"),
+    ("9000-07-01 12:00", NY, micros(9000, 7, 1, 16), "single"),
+    ("2860-07-01 12:00", BERLIN, micros(2860, 7, 1, 10), "single"),
     *[(t, NY, None, None) for t in ("2024-04-31 09:30:00+02:00", "2023-02-29T01:00:00Z", "2024-01-02", "20240102", "22 May 2024", "2024-05", "pending", "", "--", "yesterday 14:00",
                                     "2024-01-02T24:00:00Z", "2024-01-02T23:60:00Z", "13/13/2024 10:00", "1/2/2024 13:05 PM", "12345", "2024-01-02 03:04:05 XYZ", None)],
     ("2024-07-01 12:00", None, None, None),
@@ -73,9 +80,22 @@ def test_tables_with_repeats_clashing_columns_and_no_rows(spark):
     assert T.found_dates(empty).count() == 0
 
 
-def test_intervals_cover_every_moment_once(spark):
-    for zone in ("America/New_York", "Asia/Kathmandu", "Europe/Berlin"):
-        changes = T.clock_changes(zone)
-        assert all(a[1] - a[2] == b[0] - b[2] for a, b in zip(changes, changes[1:], strict=False))
-    rows = T.zone_intervals(spark).where("iv_zone = 'europe/berlin' and iv_year = 2024").select(F.size("intervals")).first()
-    assert rows[0] == 3
+def test_segments_equal_the_zone_rules_at_every_recorded_change():
+    for zone in sorted(available_timezones()):
+        rules, seen = ZoneInfo(zone), {}
+        places = [datetime(1970, 1, 1) + timedelta(seconds=t) for t, _ in T.recorded_changes(zone) if abs(t) < 4_200_000_000]
+        places += [datetime(y, m, 15, 12) for y in range(1880, 2101, 7) for m in (1, 7)]
+        for at in places:
+            for minutes in (-45, 0, 45):
+                local = at + rules.utcoffset(at) + timedelta(minutes=minutes)
+                key = max(local.year, T.FIRST_YEAR)
+                if key not in seen:
+                    seen[key] = T.local_segments(zone, key)
+                now = (local - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+                hit = [s for s in seen[key] if s[0] <= now < s[1]]
+                assert len(hit) == 1 and hit[0][3] == rules.utcoffset(local) // timedelta(microseconds=1), (zone, local)
+
+
+def test_segments_of_a_year_with_two_changes():
+    assert [s[2] for s in T.local_segments("Europe/Berlin", 2024)] == [1, 0, 1, 2, 1]
+    assert [s[2:] for s in T.local_segments("UTC", 2024)] == [(1, 0)]
