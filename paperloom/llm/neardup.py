@@ -34,12 +34,13 @@ from paperloom.session import materialize
 #: 0.475, so that 12 segments miss a pair with probability 0.0005 (0.000003 at 0.7).
 SEGMENTS, SYMBOLS = 12, 4
 #: Symbols of the sketch and how many must agree: at similarity 0.6 a symbol's two bits agree with probability
-#: 0.7, fewer than 32 of 64 do with probability 0.0002; of unlike texts 0.000003 have as many.
-SKETCH, AGREE = 64, 32
+#: 0.7, fewer than 33 of 64 do with probability 0.0006; of unlike texts 0.000001 have as many.
+SKETCH, AGREE = 64, 33
 #: Planes of the sketch, bytes of a variant's hash beside the part it is in (parts get no larger, so the hash is wide
-#: enough for any number of texts), and bytes of a text in one half of a segment: id, sketch and two variants.
-PLANES, VARIANT_BYTES = 2, 3
-ENTRY = 8 + 8 * PLANES + 2 * VARIANT_BYTES
+#: enough for any number of texts), bytes of an id (texts that share one are all kept, so it only must be rarely shared),
+#: and bytes of a text in one half of a segment: id, sketch and two variants.
+PLANES, VARIANT_BYTES, ID_BYTES = 2, 3, 6
+ENTRY = ID_BYTES + 8 * PLANES + 2 * VARIANT_BYTES
 #: Bytes of a part of the index: the least and the most, and the number of parts from which they grow.
 PART_BYTES, LARGEST_PART, MANY_PARTS = 8 << 20, 64 << 20, 10_000
 #: Parts of so many times the usual size are cut into blocks.
@@ -94,13 +95,13 @@ def words_of(text: str | None, least: int) -> str | None:
 
 
 def text_digest(words: str) -> bytes:
-    """128 bits that stand for a sequence of words; the first 64 are its id in the index."""
+    """128 bits that stand for a sequence of words; the first 48 are its id in the index."""
     return xxhash.xxh3_128_digest(words)
 
 
 def _ids(digests: list[bytes]) -> np.ndarray:
     """Ids of texts. Two texts may share one: the index keeps both, and pairs are joined to all texts of an id."""
-    return np.frombuffer(b"".join(digests), np.int64)[::2]
+    return np.frombuffer(b"".join(digests), np.int64)[::2] & ((1 << 8 * ID_BYTES) - 1)
 
 
 def _sequences(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -221,14 +222,15 @@ def _parts(kind: np.ndarray, ids: np.ndarray, symbols: np.ndarray, buckets: int)
 def _packed(ids: np.ndarray, planes: np.ndarray, variants: np.ndarray) -> bytes:
     """Bytes: ids, sketches and both variants of each text."""
     low = np.ascontiguousarray(variants).view(np.uint8).reshape(-1, 4)[:, :VARIANT_BYTES]
-    return b"".join((ids.tobytes(), planes.tobytes(), low.tobytes()))
+    return b"".join((np.ascontiguousarray(ids).view(np.uint8).reshape(-1, 8)[:, :ID_BYTES].tobytes(), planes.tobytes(), low.tobytes()))
 
 
 def _unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(payload) // ENTRY
-    raw = np.zeros((2 * n, 4), np.uint8)
-    raw[:, :VARIANT_BYTES] = np.frombuffer(payload, np.uint8, 2 * n * VARIANT_BYTES, n * (8 + 8 * PLANES)).reshape(2 * n, VARIANT_BYTES)
-    return np.frombuffer(payload, np.int64, n), np.frombuffer(payload, np.uint64, n * PLANES, 8 * n).reshape(n, PLANES), raw.view(np.uint32).reshape(n, 2)
+    ids, raw = np.zeros((n, 8), np.uint8), np.zeros((2 * n, 4), np.uint8)
+    ids[:, :ID_BYTES] = np.frombuffer(payload, np.uint8, n * ID_BYTES).reshape(n, ID_BYTES)
+    raw[:, :VARIANT_BYTES] = np.frombuffer(payload, np.uint8, 2 * n * VARIANT_BYTES, n * (ID_BYTES + 8 * PLANES)).reshape(2 * n, VARIANT_BYTES)
+    return ids.view(np.int64).ravel(), np.frombuffer(payload, np.uint64, n * PLANES, ID_BYTES * n).reshape(n, PLANES), raw.view(np.uint32).reshape(n, 2)
 
 
 def _meetings(payloads: list[bytes], sides: list[int] | None = None) -> Iterator[np.ndarray]:
