@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from paperloom.llm.lookalikes import BLANKS, HYPHENS, INVISIBLE, LIGATURES, LOOKALIKES, SYMBOLS
 from paperloom.llm.splitting import LIMIT
 
-_wide = range(0xFF01, 0xFF5F)
-_FROM = "".join([*map(chr, _wide), *map(chr, BLANKS), *map(chr, HYPHENS), *map(chr, SYMBOLS), *LOOKALIKES])
-_TO = "".join([*(chr(a - 0xFEE0) for a in _wide), " " * len(BLANKS), "-" * len(HYPHENS), *SYMBOLS.values(), *LOOKALIKES.values()])
-_form = f"translate(regexp_replace(x, '[{''.join(map(chr, INVISIBLE))}]', '', 'g'), '{_FROM.replace(chr(39), chr(39) * 2)}', '{_TO.replace(chr(39), chr(39) * 2)}')"
-for _code, _plain in LIGATURES.items():
-    _form = f"replace({_form}, '{chr(_code)}', '{_plain}')"
+# Characters in tables of the statement's own: what goes, what becomes a blank or a hyphen, and what looks like what.
+_gone = "[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0]"
+_blanks = "\t\v\f\r\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_hyphens = "\u058a\u1806\u2010\u2011\u2012\u2043\ufe63\uff0d"
+_wide = "！＂＃＄％＆＇（）＊＋，．／０１２３４５６７８９：；＜＝＞？＠ＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺ［＼］＾＿｀ａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ｛｜｝～￠￡￢￤￥￦"
+_narrow = "!\"#$%&'()*+,./0123456789:;<=>?@ABCDEFGHIJKLMNOPQRSTUVWXYZ[\\]^_`abcdefghijklmnopqrstuvwxyz{|}~¢£¬¦¥₩"
+_like = {
+    "a": "а", "c": "сϲ", "d": "ԁ", "e": "е", "g": "ɡ", "h": "һ", "i": "і", "j": "јϳ", "o": "оοօ", "p": "р", "q": "ԛ", "s": "ѕ", "v": "ѵν", "w": "ԝ", "x": "х", "y": "у",
+    "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "G": "Ԍ", "H": "НΗ", "I": "ІΙ", "J": "Ј", "K": "КΚ", "M": "МΜ", "N": "Ν", "O": "ОΟՕ", "P": "РΡ", "Q": "Ԛ", "S": "Ѕ", "T": "ТΤ", "W": "Ԝ", "X": "ХΧ", "Y": "ҮΥ", "Z": "Ζ",
+}
+_FROM = _wide + _blanks + _hyphens + "µ∆" + "".join(_like.values())
+_TO = _narrow + " " * len(_blanks) + "-" * len(_hyphens) + "μΔ" + "".join(k * len(v) for k, v in _like.items())
+_quoted = lambda x: x.replace("'", "''")
+_form = f"translate(regexp_replace(x, '{_gone}', '', 'g'), '{_quoted(_FROM)}', '{_quoted(_TO)}')"
+for _code, _plain in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "ſt"), ("ﬆ", "st"), ("Ĳ", "IJ"), ("ĳ", "ij")):
+    _form = f"replace({_form}, '{_code}', '{_plain}')"
 
 P1 = f"""with t as (select 'control_description' as field_name, row_id as id, control_description as x from control_row union select 'accepted', para_id, accepted from paragraph),
 f as (select field_name, id, x, nfc_normalize({_form}) as form from t where length(x) > 0)

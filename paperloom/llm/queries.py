@@ -18,7 +18,7 @@ def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of records whose stored texts differ but look the same."""
-    return lookalikes.same_look_pairs(_forms(spark, sf_dir), "field_name", "id", "text", "form").distinct()
+    return lookalikes.same_look_pairs(_forms(spark, sf_dir), "field_name", "id", "text", "look").distinct()
 
 
 def p1_forms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,9 @@ def frame(spark, rows):
 
 def pairs(spark, rows):
     forms = L.repair_texts(frame(spark, rows), ["field_name", "id"], "text")
-    return sorted(map(tuple, L.same_look_pairs(forms, "field_name", "id", "text", "form", block=7).distinct().collect()))
+    few, many = (sorted(map(tuple, L.same_look_pairs(forms, "field_name", "id", "text", block=7, most=most).distinct().collect())) for most in (L.HOT, 2))
+    assert few == many
+    return few
 
 
 def brute(rows):
@@ -61,6 +63,26 @@ def test_repair_prefers_the_corpus(spark):
     assert got == {1: "the Склад door", 2: "the Склад door", 3: "an office", 4: "an office", 5: "shyт"}
 
 
+def test_scripts_of_texts_decide_on_words_in_one_script(spark):
+    rows = [("f", 1, "дом сор вода"), ("f", 2, "the сор stands"), ("f", 3, "a cop"), ("f", 4, "the cор is mixed"), ("f", 5, "Москвa"), ("f", 6, "Москва")]
+    got = {r["id"]: (r["form"], r["look"]) for r in L.repair_texts(frame(spark, rows), ["field_name", "id"], "text").collect()}
+    assert got[1][0] == "дом сор вода" and got[2][0] == "the cop stands"  # a Cyrillic text keeps its word
+    assert got[4][0] == "the сор is mixed" and got[4][1] == L.visible("the cop is mixed")  # most letters are Cyrillic, and the word exists
+    assert got[5] == got[6] and got[6][0] == "Москва"
+
+
+def test_dominant_script_of_a_token():
+    assert L.in_dominant_script("оffice") == "office" and L.in_dominant_script("Cклад") == "Склад"
+    assert L.in_dominant_script("office") is None and L.in_dominant_script("сор") is None and L.in_dominant_script("дomzб") is None
+
+
+def test_characters_of_unicode_properties():
+    gone = [0x202A, 0x202E, 0x2066, 0x2069, 0xFE00, 0xFE0F, 0x200B, 0xAD, 0x3164, 0xE0101]
+    assert all(L.visible("a" + chr(c) + "b") == "ab" for c in gone)
+    assert all(L.visible("a" + chr(c) + "b") == "a b" for c in (0x85, 0x2028, 0x2029, 0xA0, 0x3000, 0x1680, 0x0D))
+    assert L.visible("a" + chr(0x2012) + "b") == "a-b" and L.visible("￡￠￥") == "£¢¥" and L.visible("a\nb") == "a\nb"
+
+
 def test_dominant_script():
     assert L.dominant_script("оffice") == ("latin", True) and L.dominant_script("Cклад") == ("cyrillic", True)
     assert L.dominant_script("12") == ("", False) and L.dominant_script("Тһе") == ("cyrillic", False)
@@ -81,7 +103,7 @@ def test_pairs_match_brute_force_with_a_hot_text(spark):
 def test_empty_table(spark):
     assert pairs(spark, [("f", 1, "x")])[:1] == []
     forms = L.repair_texts(frame(spark, [("f", 1, "x")]).where("false"), ["field_name", "id"], "text")
-    assert L.same_look_pairs(forms, "field_name", "id", "text", "form").count() == 0
+    assert L.same_look_pairs(forms, "field_name", "id", "text").count() == 0
 
 
 def test_query_columns(spark, small):
