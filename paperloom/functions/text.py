@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 SMART = {"“": '"', "”": '"', "‘": "'", "’": "'", "–": "--", "—": "---", "…": "..."}
 
 
+#: Ends of words of any script: neither a letter nor a digit nor an underscore beside them.
+WORD_START, WORD_END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+
+
 def words(text: Column) -> Column:
     """The words of a text, parted by white space."""
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
@@ -52,6 +56,13 @@ def parent_key(name: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(name, r"\.[^.]*$", ""), r"(?i)_fixed$", ""))
 
 
+def document_key(name: Column) -> Column:
+    """The document that a file or part belongs to: no extension, nothing from `` - `` on, no mark of a step, one blank for
+    underscores, hyphens and blanks, lower case."""
+    stem = F.split_part(F.regexp_replace(name, r"\.[^. ]*$", ""), F.lit(" - "), F.lit(1))
+    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(stem, r"(?i)(_fixed|_optimized|_backup)$", ""), r"[_\-\s]+", " ")))
+
+
 def pairing_key(name: Column) -> Column:
     """A file name without extension, version marks and copies' marks at its end, in lower case."""
     return F.trim(F.regexp_replace(name_key(name), r"(\s+(v\d+|r\d+|\(\d+\)|final|draft|copy|latest))+$", ""))

@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.functions.text import WORD_END, WORD_START
+
 MIN_LENGTH, MAX_LENGTH, MOST_DOCUMENTS, MOST_TAGS = 2, 8, 3, 15
 # Words in capitals that are no acronyms.
-IGNORED = tuple(
-    "THE AND FOR NOT BUT ALL ARE CAN HAS HER WAS ONE OUR OUT YOU USE MAY SHALL MUST WILL WITH THIS THAT FROM THEY BEEN HAVE EACH MAKE "
-    "WHEN DOES INTO THEM THEN THAN ONLY OVER SUCH ALSO SOME THESE OTHER WHICH THEIR THERE WOULD ABOUT AFTER COULD WHERE SHOULD THOSE "
-    "II III IV VI VII VIII IX XI XII PAGE DATE DRAFT FINAL NOTE TABLE FIGURE REV VER NA TBD TODO YES NO".split()
-)
+IGNORED = (
+    "THE", "AND", "FOR", "NOT", "BUT", "ALL", "ARE", "CAN", "HAS", "HER", "WAS", "ONE", "OUR", "OUT", "YOU", "USE", "MAY", "SHALL", "MUST", "WILL", "WITH", "THIS", "THAT", "FROM", "THEY", "BEEN", "HAVE", "EACH", "MAKE",
+    "WHEN", "DOES", "INTO", "THEM", "THEN", "THAN", "ONLY", "OVER", "SUCH", "ALSO", "SOME", "THESE", "OTHER", "WHICH", "THEIR", "THERE", "WOULD", "ABOUT", "AFTER", "COULD", "WHERE", "SHOULD", "THOSE",
+    "II", "III", "IV", "VI", "VII", "VIII", "IX", "XI", "XII", "PAGE", "DATE", "DRAFT", "FINAL", "NOTE", "TABLE", "FIGURE", "REV", "VER", "NA", "TBD", "TODO", "YES", "NO",
+)
 _DEFINED = r"([A-Za-z\s\-]+?)\s*\(([A-Z][A-Z\-/]{1,9})\)"
 
 
@@ -23,7 +25,7 @@ def acronym_hits(parts: DataFrame, keys: Sequence[str] = ("doc_id", "location"),
     Hyphens and slashes at the ends, ignored words, digits and runs that are too short are dropped. A definition is
     the run of letters before the parenthesis; it is kept if it is longer than the acronym.
     """
-    plain = parts.select(*keys, F.explode(F.regexp_extract_all(F.col(text), F.lit(rf"\b[A-Z]{{{MIN_LENGTH},{MAX_LENGTH}}}\b"), F.lit(0))).alias("acronym"), F.lit(None).cast("string").alias("definition"))
+    plain = parts.select(*keys, F.explode(F.regexp_extract_all(F.col(text), F.lit(rf"{WORD_START}[A-Z]{{{MIN_LENGTH},{MAX_LENGTH}}}{WORD_END}"), F.lit(0))).alias("acronym"), F.lit(None).cast("string").alias("definition"))
     said, short = (F.regexp_extract_all(F.col(text), F.lit(_DEFINED), F.lit(k)) for k in (1, 2))
     likely = parts.where(F.col(text).rlike(r"\([A-Z][A-Z\-/]{1,9}\)"))  # the longer pattern looks back from every place
     defined = likely.select(*keys, F.explode(F.arrays_zip(said.alias("d"), short.alias("a"))).alias("z")).select(*keys, F.col("z.a").alias("acronym"), F.trim("z.d").alias("definition"))

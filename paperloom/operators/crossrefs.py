@@ -7,14 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Phrases, words for documents, and the profiler's patterns.
+# Phrases, words for documents, and the profiler's patterns with the label of each.
 INTERNAL_PHRASES = ("see", "refer to", "per", "as described in", "as defined in")
 EXTERNAL_PHRASES = ("as described in", "as defined in", "refer to", "in accordance with")
 DOCUMENT_WORDS = ("Policy", "Standard", "Plan", "Procedure", "Guide", "Guideline", "Program", "Framework", "Charter")
-PROFILE_PATTERNS = (
-    r"see section\s+[\d\.]+[a-z]?", r"refer to\s+(section|the)", r"as described in\s+(the|section)", r"per section\s+[\d\.]+", r"in accordance with\s+(the|section)",
-    r"as defined in\s+(the|section)", r"as outlined in\s+(the|section)", r"per the organization'?s\s+\w+", r"see the\s+\w+\s+policy", r"as specified in\s+(the|section)",
-)
+PROFILE_PATTERNS = {
+    r"see section\s+[\d\.]+[a-z]?": "See section reference",
+    r"refer to\s+(section|the)": "Refer to clause/section",
+    r"as described in\s+(the|section)": "As described in reference",
+    r"per section\s+[\d\.]+": "Per section reference",
+    r"in accordance with\s+(the|section)": "In accordance with",
+    r"as defined in\s+(the|section)": "As defined in reference",
+    r"as outlined in\s+(the|section)": "As outlined in reference",
+    r"per the organization'?s\s+\w+": "Per organization document",
+    r"see the\s+\w+\s+policy": "See policy reference",
+    r"as specified in\s+(the|section)": "As specified in reference",
+}
 URL = r"https?://[^\s<>\"')\]]+|www\.[^\s<>\"')\]]+"
 
 
@@ -35,7 +43,7 @@ def references(elements: DataFrame, patterns: Sequence[tuple[str, str]], keep: S
     return elements.where(F.col(text).isNotNull()).select(*keep, F.inline(rows))
 
 
-def pattern_counts(elements: DataFrame, patterns: Sequence[str] = PROFILE_PATTERNS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pattern_counts(elements: DataFrame, patterns: Sequence[str] = tuple(PROFILE_PATTERNS), key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, pattern, n): how often each pattern occurs in a document, whatever the case."""
     counts = F.array(*[F.struct(F.lit(readable(p)).alias("pattern"), F.coalesce(F.regexp_count(F.col(text), F.lit("(?i)" + p)), F.lit(0)).cast("bigint").alias("n")) for p in patterns])
     rows = elements.select(key, F.inline(counts)).where("n > 0")
@@ -43,9 +51,8 @@ def pattern_counts(elements: DataFrame, patterns: Sequence[str] = PROFILE_PATTER
 
 
 def readable(pattern: str) -> str:
-    """A pattern as a label: without escapes, groups and quantifiers."""
-    plain = pattern.replace(r"\s+", " ").replace(r"[\d\.]+", "N").replace("[a-z]?", "").replace(r"\w+", "...").replace("'?s", "'s")
-    return plain.replace("(section|the)", "section/the").replace("(the|section)", "the/section")
+    """A pattern's label: the fixed one of the profiler's patterns, any other as it is after ``Pattern: ``."""
+    return PROFILE_PATTERNS.get(pattern, f"Pattern: {pattern}")
 
 
 def link_kind(text: Column) -> Column:

@@ -32,13 +32,16 @@ def pending_age(facts: DataFrame, by: Sequence[str], begun: str, open_rows: Colu
 
 
 def month_over_month(facts: DataFrame, date: str) -> DataFrame:
-    """(month, n, before, change): rows of each month against the month before it in the table.
+    """(month, n, before, change, change_share): every month from the first to the last against the month before it.
 
-    The window runs over one row a month.
+    A month without rows counts 0. The share is null where the month before has none. The window runs over one row a
+    month.
     """
-    rows = facts.groupBy(F.trunc(F.to_date(date), "month").alias("month")).agg(F.count(F.lit(1)).alias("n")).where("month is not null")
+    seen = facts.groupBy(F.trunc(F.to_date(date), "month").alias("month")).agg(F.count(F.lit(1)).alias("n")).where("month is not null")
+    months = seen.agg(F.min("month").alias("a"), F.max("month").alias("b")).where("a is not null").select(F.explode(F.expr("sequence(a, b, interval 1 month)")).alias("month"))
+    rows = months.join(seen, "month", "left").select("month", F.coalesce("n", F.lit(0)).alias("n"))
     rows = rows.withColumn("before", F.lag("n").over(Window.orderBy("month")))
-    return rows.withColumn("change", F.col("n") - F.col("before"))
+    return rows.withColumns({"change": F.col("n") - F.col("before"), "change_share": ratio(F.col("n") - F.col("before"), F.col("before"))})
 
 
 def date_table(rows: DataFrame, date: str) -> DataFrame:

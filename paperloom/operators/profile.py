@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.functions.text import keyword_hits, word_count
+from paperloom.functions.text import WORD_END, WORD_START, keyword_hits, word_count
 from paperloom.operators import headings as H
 from paperloom.session import materialize
 
@@ -104,9 +105,10 @@ def document_types(extents: DataFrame, documents: DataFrame) -> DataFrame:
     return sizes_of.join(texts, "doc_id").select("doc_id", classify(part, F.lit(0.0), F.col("procedure_hits")).alias("doc_type"), "procedure_hits")
 
 
-def search_terms(texts: DataFrame, terms: Sequence[str]) -> DataFrame:
-    """(doc_id, term_<term>...): how often each term occurs as a word, whatever the case."""
-    count = lambda t: F.regexp_count(F.upper("text"), F.lit(rf"\b{t.upper()}\b")).cast("bigint")
+def search_terms(texts: DataFrame, terms: Sequence[str], whole_words: bool = True) -> DataFrame:
+    """(doc_id, term_<term>...): how often each term occurs as a word, or anywhere if not ``whole_words``, whatever the case."""
+    ends = (WORD_START, WORD_END) if whole_words else ("", "")
+    count = lambda t: F.regexp_count(F.upper("text"), F.lit(f"{ends[0]}{re.escape(t.upper())}{ends[1]}")).cast("bigint")
     return texts.select("doc_id", *[count(t).alias(f"term_{t.lower()}") for t in terms])
 
 

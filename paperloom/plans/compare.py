@@ -190,7 +190,11 @@ def q5_pending_age(spark: SparkSession, d: str) -> DataFrame:
     return Q.pending_age(table(spark, d, "orders"), ["o_orderpriority"], "o_orderdate", F.col("o_orderstatus") == "O", F.lit("1999-01-01").cast("date"), 1_000)
 
 
-@query("q6_month_over_month", "with m as (select date_trunc('month', o_orderdate)::date as month, count(*) as n from orders group by 1) select month, n, lag(n) over (order by month) as before, n - lag(n) over (order by month) as change from m")
+@query(
+    "q6_month_over_month",
+    """with m as (select date_trunc('month', o_orderdate)::date as month, count(*) as n from orders group by 1), a as (select unnest(generate_series(min(month), max(month), interval 1 month))::date as month from m),
+    j as (select a.month, coalesce(n, 0) as n, lag(coalesce(n, 0)) over (order by a.month) as before from a left join m on a.month = m.month) select month, n, before, n - before as change, (n - before) / nullif(before, 0)::double as change_share from j""",
+)
 def q6_month_over_month(spark: SparkSession, d: str) -> DataFrame:
     """Q6: rows of each month against the month before."""
     return Q.month_over_month(table(spark, d, "orders"), "o_orderdate")

@@ -16,7 +16,8 @@ from paperloom.session import table
 R = Registry()
 query = R.query
 
-_MASKED = "regexp_replace(text, '[^\\x00-\\x7F]', 'x', 'g')"
+#: Letters and digits beyond ASCII as ``x``, so that the word ends of the statement's patterns are those of the text.
+_MASKED = "regexp_replace(regexp_replace(text, '[^\\x00-\\x7F\\P{L}]', 'x', 'g'), '[^\\x00-\\x7F\\P{N}]', 'x', 'g')"
 _IGNORED = ", ".join(f"'{w}'" for w in A.IGNORED)
 _HITS = f"""with h as (select doc_id, unnest(regexp_extract_all({_MASKED}, '\\b[A-Z]{{2,8}}\\b')) as acronym from documents where text is not null union all
   select doc_id, unnest(regexp_extract_all({_MASKED}, '([A-Za-z\\s\\-]+?)\\s*\\(([A-Z][A-Z\\-/]{{1,9}})\\)', 2)) from documents where text is not null),
@@ -25,8 +26,8 @@ u as (select doc_id, acronym, count(*) as n from k where length(acronym) >= 2 an
 
 
 def _per_document(spark: SparkSession, d: str) -> DataFrame:
-    """Acronyms of the documents' texts; other letters are masked, so that word ends are those of ASCII."""
-    texts = table(spark, d, "documents").where("text is not null").select("doc_id", F.lit("body").alias("location"), F.regexp_replace("text", r"[^\x00-\x7F]", "x").alias("text"))
+    """Acronyms of the documents' texts, each as one place."""
+    texts = table(spark, d, "documents").where("text is not null").select("doc_id", F.lit("body").alias("location"), "text")
     return A.per_document(A.acronym_hits(texts))
 
 
@@ -42,12 +43,6 @@ def a3_corpus_acronyms(spark: SparkSession, d: str) -> DataFrame:
     return A.over_corpus(_per_document(spark, d)).select("acronym", "total", "documents")
 
 
-@query("a4_undefined", _HITS + " select acronym, cast(sum(n) as bigint) as total, count(*) as documents from u group by 1")
-def a4_undefined(spark: SparkSession, d: str) -> DataFrame:
-    """A4: acronyms that no text defines (these texts define none)."""
-    return A.undefined(A.over_corpus(_per_document(spark, d)))
-
-
 _ROWS = "select distinct entry_id, document, upper(trim(acronym)) as acronym, occurrences as n, found_in, definitions_detected as definition from acronym_per_document where trim(acronym) <> '' and occurrences > 0"
 _PLACES = ("body", "footer", "header", "table", "textbox")
 
@@ -91,6 +86,13 @@ def a8_glossary(spark: SparkSession, d: str) -> DataFrame:
     return A.glossary(_rows(spark, d).where("definition <> ''").select("document", F.col("entry_id").alias("ord"), "acronym", "definition"))
 
 
+@query("a4_undefined", f"with r as ({_ROWS}), g as (select document, acronym, sum(n)::bigint as n, max(coalesce(definition, '') <> '') as said from r group by 1, 2) select acronym, sum(n)::bigint as total, count(*) as documents from g group by 1 having not bool_or(said)")
+def a4_undefined(spark: SparkSession, d: str) -> DataFrame:
+    """A4: acronyms of the lists that no document defines."""
+    listed = _rows(spark, d).groupBy(F.col("document").alias("doc_id"), "acronym").agg(F.sum("n").cast("bigint").alias("n"), F.array_join(F.array_sort(F.collect_set("definition")), "; ").alias("definitions"))
+    return A.undefined(A.over_corpus(listed))
+
+
 @query("a9_collisions", f"with r as ({_ROWS}) select acronym, count(distinct definition) as definitions from r where definition <> '' group by 1 having count(distinct definition) > 1")
 def a9_collisions(spark: SparkSession, d: str) -> DataFrame:
     """Acronyms with several definitions."""
@@ -98,43 +100,45 @@ def a9_collisions(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ID = "(?:\\b[A-Z]{2,4}[-.]?[0-9]{1,3}[-.][0-9]{2,4}\\b)|(?:\\b[A-Z]{2,4}\\s+[0-9]{1,3}\\.[0-9]{2,4}\\b)|(?:\\b[A-Z]{2,4}[0-9]{2,3}\\.[0-9]{2,4}\\b)"
-_P = "select distinct package_name, location, para_index, trim(accepted) as t from paragraph where copy_no = 1 and length(trim(accepted)) > 0"
+_P = "select distinct copy_no::bigint as copy_no, package_name, location, para_index, trim(accepted) as t from paragraph where length(trim(accepted)) > 0"
+_PLACE = ("copy_no", "package_name", "location")
 
 
 def _paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "paragraph").where("copy_no = 1").select("package_name", "location", "para_index", F.col("accepted").alias("text")).distinct()
+    """The non-blank paragraphs of both copies."""
+    rows = table(spark, d, "paragraph").select(F.col("copy_no").cast("bigint").alias("copy_no"), "package_name", "location", "para_index", F.col("accepted").alias("text")).distinct()
     return rows.where(F.length(F.trim("text")) > 0)
 
 
-@query("c1_control_ids", f"with p as ({_P}) select package_name, location, para_index, array_to_string(regexp_extract_all(t, '{_ID}'), ', ') as ids from p where regexp_matches(t, '{_ID}')")
+@query("c1_control_ids", f"with p as ({_P}) select copy_no, package_name, location, para_index, array_to_string(regexp_extract_all(t, '{_ID}'), ', ') as ids from p where regexp_matches(t, '{_ID}')")
 def c1_control_ids(spark: SparkSession, d: str) -> DataFrame:
     """The control identifiers of every paragraph."""
     rows = _paragraphs(spark, d).withColumn("_i", C.control_ids(F.col("text"))).where(F.size("_i") > 0)
-    return rows.select("package_name", "location", "para_index", F.array_join("_i", ", ").alias("ids"))
+    return rows.select(*_PLACE, "para_index", F.array_join("_i", ", ").alias("ids"))
 
 
 _HEADER = f"""not regexp_matches(t, '{_ID}') and (regexp_matches(t, '^[Ss]ection\\s+[0-9]{{1,2}}') or regexp_matches(t, '^[0-9]{{1,2}}\\.?[0-9]{{0,2}}\\s+[A-Z][a-zA-Z\\s]{{3,50}}$')
   or (t = upper(t) and length(t) < 80 and not ends_with(t, '.') and len(list_filter(regexp_split_to_array(t, '\\s+'), lambda x: x <> '')) >= 3))"""
 
 
-@query("h17_section_headers", f"with p as ({_P}) select package_name, location, para_index, t as header from p where {_HEADER}")
+@query("h17_section_headers", f"with p as ({_P}) select copy_no, package_name, location, para_index, t as header from p where {_HEADER}")
 def h17_section_headers(spark: SparkSession, d: str) -> DataFrame:
     """Paragraphs that head a section."""
     from paperloom.operators.headings import is_section_header
 
     rows = _paragraphs(spark, d)
-    return rows.where(is_section_header(F.col("text"), F.lit("Normal"), F.lit(False))).select("package_name", "location", "para_index", F.trim("text").alias("header"))
+    return rows.where(is_section_header(F.col("text"), F.lit("Normal"), F.lit(False))).select(*_PLACE, "para_index", F.trim("text").alias("header"))
 
 
 _BLOCKS = f"""with p as ({_P}), e as (select *, case when {_HEADER} then 'H' when regexp_matches(t, '{_ID}') then 'C' end as ev from p),
-i as (select *, count(ev) over z as island, last_value(case when ev = 'H' then t end ignore nulls) over z as head from e window z as (partition by package_name, location order by para_index rows between unbounded preceding and current row)),
-b as (select package_name, location, island, min(case when ev = 'C' then para_index end) as start, arg_min(case when ev = 'C' then t end, case when ev = 'C' then para_index end) as first_line, arg_min(case when ev = 'C' then head end, case when ev = 'C' then para_index end) as head, string_agg(t, chr(10) order by para_index) as body, count(*) as lines from i where island > 0 group by 1, 2, 3)"""
+i as (select *, count(ev) over z as island, last_value(case when ev = 'H' then t end ignore nulls) over z as head from e window z as (partition by copy_no, package_name, location order by para_index rows between unbounded preceding and current row)),
+b as (select copy_no, package_name, location, island, min(case when ev = 'C' then para_index end) as start, arg_min(case when ev = 'C' then t end, case when ev = 'C' then para_index end) as first_line, arg_min(case when ev = 'C' then head end, case when ev = 'C' then para_index end) as head, string_agg(t, chr(10) order by para_index) as body, count(*) as lines from i where island > 0 group by 1, 2, 3, 4)"""
 
 
-@query("c3_control_blocks", _BLOCKS + f" select package_name, location, start, regexp_extract_all(first_line, '{_ID}')[1] as control_id, len(regexp_extract_all(first_line, '{_ID}'))::bigint as ids, coalesce(head, '') as section_header, body, lines from b where start is not null")
+@query("c3_control_blocks", _BLOCKS + f" select copy_no, package_name, location, start, regexp_extract_all(first_line, '{_ID}')[1] as control_id, len(regexp_extract_all(first_line, '{_ID}'))::bigint as ids, coalesce(head, '') as section_header, body, lines from b where start is not null")
 def c3_control_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Control blocks of every package."""
-    return C.control_blocks(_paragraphs(spark, d), ("package_name", "location"), "para_index")
+    return C.control_blocks(_paragraphs(spark, d), _PLACE, "para_index")
 
 
 _GW = "implementation guidance|implementation:|guidelines:|how to implement|supplemental guidance"
@@ -159,18 +163,18 @@ _BASE = "\\s*\\(\\s*([LMH](?:\\s*,\\s*[LMH])*)\\s*\\)"
 
 @query(
     "c6_baseline_names",
-    f"""with p as ({_P}), a as (select package_name, location, para_index, t, regexp_extract_all(t, '{_ID}')[1] as id from p where regexp_matches(t, '{_ID}')), b as (select *, substr(t, instr(t, id) + length(id)) as r0, regexp_extract(substr(t, instr(t, id) + length(id)), '^{_BASE}', 1) as b1 from a),
+    f"""with p as ({_P}), a as (select copy_no, package_name, location, para_index, t, regexp_extract_all(t, '{_ID}')[1] as id from p where regexp_matches(t, '{_ID}')), b as (select *, substr(t, instr(t, id) + length(id)) as r0, regexp_extract(substr(t, instr(t, id) + length(id)), '^{_BASE}', 1) as b1 from a),
     c as (select *, regexp_replace(r0, '^{_BASE}', '') as r from b), e as (select *, regexp_matches(r, '^\\s*[-–—]\\s*.+') as dashed, trim(regexp_extract(r, '^\\s*[-–—]\\s*(.+)', 1)) as nm, trim(r) as bare from c),
     f as (select *, regexp_extract(nm, '{_BASE}', 1) as late, regexp_extract(bare, '{_BASE}', 1) as bb from e),
     g as (select *, case when b1 = '' and late <> '' then trim(regexp_replace(nm, '{_BASE}.*$', '')) else nm end as cut_name, case when bb <> '' then trim(regexp_replace(bare, '{_BASE}.*$', '')) when bare <> '' and not regexp_matches(bare, '^[(.]') then bare else '' end as bare_name,
       trim(regexp_replace(trim(regexp_replace(substr(t, 1, instr(t, id) - 1), '[\\s\\-–—]+$', '')), '\\bcontrol\\s*(id)?\\s*$', '', 'i')) as lead from f)
-    select package_name, location, para_index, id as control_id, replace(case when b1 <> '' then b1 when dashed then late when bare_name <> '' then bb else '' end, ' ', '') as baseline, case when (case when dashed then cut_name else bare_name end) <> '' then (case when dashed then cut_name else bare_name end) else lead end as name from g""",
+    select copy_no, package_name, location, para_index, id as control_id, replace(case when b1 <> '' then b1 when dashed then late when bare_name <> '' then bb else '' end, ' ', '') as baseline, case when (case when dashed then cut_name else bare_name end) <> '' then (case when dashed then cut_name else bare_name end) else lead end as name from g""",
 )
 def c6_baseline_names(spark: SparkSession, d: str) -> DataFrame:
-    """Baseline and name from the paragraphs with an identifier."""
+    """Baseline and name from the paragraphs with an identifier."""
     rows = _paragraphs(spark, d).withColumn("text", F.trim("text")).withColumn("control_id", F.try_element_at(C.control_ids(F.col("text")), F.lit(1))).where("control_id is not null")
     baseline, name = C.baseline_and_name(F.col("text"), F.col("control_id"))
-    return rows.select("package_name", "location", "para_index", "control_id", baseline.alias("baseline"), name.alias("name"))
+    return rows.select(*_PLACE, "para_index", "control_id", baseline.alias("baseline"), name.alias("name"))
 
 
 _TRIG = C.TRIGGERS
@@ -222,16 +226,21 @@ def x4_urls(spark: SparkSession, d: str) -> DataFrame:
     return X.urls(table(spark, d, "control_row"), ("row_id",), "published_url").select("row_id", "url")
 
 
-_COUNTED = (r"in line with the\s+\w+\s+plan", r"prior to granting\s+(any|the)", r"as agreed with", r"except where\s+\w+\s+law")
+#: The profiler's patterns as the statement names them, and one that has no label of its own.
+_PROFILE = {
+    "see section\\s+[0-9.]+[a-z]?": "See section reference", "refer to\\s+(section|the)": "Refer to clause/section", "as described in\\s+(the|section)": "As described in reference", "per section\\s+[0-9.]+": "Per section reference",
+    "in accordance with\\s+(the|section)": "In accordance with", "as defined in\\s+(the|section)": "As defined in reference", "as outlined in\\s+(the|section)": "As outlined in reference", "per the organization''?s\\s+\\w+": "Per organization document",
+    "see the\\s+\\w+\\s+policy": "See policy reference", "as specified in\\s+(the|section)": "As specified in reference", "in line with the": "Pattern: in line with the",
+}
 
 
 @query(
     "x5_pattern_counts",
-    "with p as (select row_id, unnest([struct_pack(p := 'in line with the ... plan', n := len(regexp_extract_all(control_description, '(?i)in line with the\\s+\\w+\\s+plan'))), struct_pack(p := 'prior to granting (any|the)', n := len(regexp_extract_all(control_description, '(?i)prior to granting\\s+(any|the)'))), struct_pack(p := 'as agreed with', n := len(regexp_extract_all(control_description, '(?i)as agreed with'))), struct_pack(p := 'except where ... law', n := len(regexp_extract_all(control_description, '(?i)except where\\s+\\w+\\s+law')))]) as x from control_row) select row_id, x.p as pattern, sum(x.n)::bigint as n from p where x.n > 0 group by 1, 2",
+    "with p as (select doc_id, unnest([" + ", ".join(f"struct_pack(p := '{v}', n := len(regexp_extract_all(text, '(?i){k}')))" for k, v in _PROFILE.items()) + "]) as x from documents where text is not null) select doc_id, x.p as pattern, sum(x.n)::bigint as n from p where x.n > 0 group by 1, 2",
 )
 def x5_pattern_counts(spark: SparkSession, d: str) -> DataFrame:
-    """How often each pattern occurs in each record."""
-    return X.pattern_counts(table(spark, d, "control_row"), _COUNTED, "row_id", "control_description")
+    """How often each of the profiler's patterns, and one of another kind, occurs in each document, by its label."""
+    return X.pattern_counts(table(spark, d, "documents"), (*X.PROFILE_PATTERNS, "in line with the"))
 
 
 @query("r5_bad_ids", f"select row_id, control_id from control_row where not regexp_full_match(trim(control_id), '{_ID}')")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.functions.text import document_key
 from paperloom.operators import controls as C
 from paperloom.operators import mapping as M
 from paperloom.operators import packing as B
@@ -142,20 +143,18 @@ def v1_places_of_ids(spark: SparkSession, d: str) -> DataFrame:
     return V.places_of_ids(_mentions(spark, d))
 
 
-_PARENT = "lower(regexp_replace(regexp_replace(source_file, '\\.[^.]*$', ''), '_fixed$', '', 'i'))"
+_PARENT = "lower(trim(regexp_replace(regexp_replace(split_part(regexp_replace({0}, '\\.[^. ]*$', ''), ' - ', 1), '(_fixed|_optimized|_backup)$', '', 'i'), '[_\\-\\s]+', ' ', 'g')))"
 
 
 @query(
     "v2_control_status",
-    _MENTIONS + f""", c as (select distinct control_id, left({_PARENT}, 11) as parent from control_row), s as (select control_id, left(lower(file), 11) as fp, count(*) as n from x group by 1, 2)
+    _MENTIONS + f""", c as (select distinct control_id, {_PARENT.format('source_file')} as parent from control_row), s as (select control_id, {_PARENT.format('file')} as fp, count(*) as n from x group by 1, 2)
     select c.control_id, c.parent, coalesce(sum(n), 0)::bigint as found_in, case when coalesce(sum(n), 0) = 0 then 'MISSING' when coalesce(bool_or(fp = c.parent), false) then 'PASS' else 'RELOCATED' end as status from c left join s on c.control_id = s.control_id group by 1, 2""",
 )
 def v2_control_status(spark: SparkSession, d: str) -> DataFrame:
-    """Whether each control is found, and in a part of its own parent (the first part of the name here)."""
-    from paperloom.functions.text import parent_key
-
-    controls = table(spark, d, "control_row").select("control_id", F.left(parent_key(F.col("source_file")), F.lit(11)).alias("parent"))
-    mentions = _mentions(spark, d).select("control_id", "file", F.left(F.lower("file"), F.lit(11)).alias("file_parent"))
+    """Whether each control is found, and in a part of its own parent, by the whole name of the document."""
+    controls = table(spark, d, "control_row").select("control_id", document_key(F.col("source_file")).alias("parent"))
+    mentions = _mentions(spark, d).select("control_id", "file", document_key(F.col("file")).alias("file_parent"))
     return V.status_of(controls, mentions)
 
 
@@ -198,15 +197,15 @@ def v6_flag_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "v7_source_context",
-    f"""with p as ({_P}), x as (select package_name, location, para_index, unnest(regexp_extract_all(t, '{_ID}')) as control_id from p where location = 'body'), f as (select control_id, min(struct_pack(a := package_name, b := para_index)) as f from x group by 1)
-    select control_id, string_agg(case when para_index = f.b then '>>> ' else '    ' end || t, chr(10) order by para_index) as context from f join p on p.location = 'body' and package_name = f.a and para_index between f.b - 3 and f.b + 3 group by 1""",
+    f"""with p as ({_P}), x as (select package_name, copy_no, para_index, unnest(regexp_extract_all(t, '{_ID}')) as control_id from p where location = 'body'), f as (select control_id, min(struct_pack(a := package_name, c := copy_no, b := para_index)) as f from x group by 1)
+    select control_id, string_agg(case when para_index = f.b then '>>> ' else '    ' end || t, chr(10) order by para_index) as context from f join p on p.location = 'body' and package_name = f.a and copy_no = f.c and para_index between f.b - 3 and f.b + 3 group by 1""",
 )
 def v7_source_context(spark: SparkSession, d: str) -> DataFrame:
     """V7: the paragraphs around the first mention of each control."""
-    rows = _paragraphs(spark, d).where("location = 'body'").select("package_name", "para_index", F.trim("text").alias("text"))
-    seen = rows.select("package_name", "para_index", F.explode(C.control_ids(F.col("text"))).alias("control_id"))
-    first = seen.groupBy("control_id").agg(F.min(F.struct("package_name", "para_index")).alias("_f")).select("control_id", "_f.package_name", F.col("_f.para_index").alias("at"))
-    return V.source_context(rows, first, ["package_name"], "para_index")
+    rows = _paragraphs(spark, d).where("location = 'body'").select("package_name", "copy_no", "para_index", F.trim("text").alias("text"))
+    seen = rows.select("package_name", "copy_no", "para_index", F.explode(C.control_ids(F.col("text"))).alias("control_id"))
+    first = seen.groupBy("control_id").agg(F.min(F.struct("package_name", "copy_no", "para_index")).alias("_f")).select("control_id", "_f.package_name", "_f.copy_no", F.col("_f.para_index").alias("at"))
+    return V.source_context(rows, first, ["package_name", "copy_no"], "para_index")
 
 
 @query("r1_confirmed", _SCORED + " select row_id, coalesce(status, '(none)') as status from fl where status is distinct from 'Wrong-FalsePositive'")

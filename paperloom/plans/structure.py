@@ -266,12 +266,11 @@ def g10_document_types(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "g13_search_terms",
     """select doc_id, cast(len(regexp_extract_all(upper(t), '\\bAC\\b')) as bigint) as term_ac, cast(len(regexp_extract_all(upper(t), '\\bCLOUD\\b')) as bigint) as term_cloud, cast(len(regexp_extract_all(upper(t), '\\bAUDIT\\b')) as bigint) as term_audit
-    from (select doc_id, regexp_replace(text, '[^\\x00-\\x7F]', 'x', 'g') t from documents where text is not null)""",
+    from (select doc_id, regexp_replace(regexp_replace(text, '[^\\x00-\\x7F\\P{L}]', 'x', 'g'), '[^\\x00-\\x7F\\P{N}]', 'x', 'g') t from documents where text is not null)""",
 )
 def g13_search_terms(spark: SparkSession, d: str) -> DataFrame:
     """How often each search term occurs, as one column a term."""
-    ascii_text = table(spark, d, "documents").where("text is not null").select("doc_id", F.regexp_replace("text", r"[^\x00-\x7F]", "x").alias("text"))
-    return G.search_terms(ascii_text, ("AC", "Cloud", "Audit"))
+    return G.search_terms(table(spark, d, "documents").where("text is not null"), ("AC", "Cloud", "Audit"))
 
 
 _RANKED = _EXTENTS + f""", k as (select x.doc_id, any_value(el.filename) as filename, count(distinct case when {section_kind_sql('heading')} <> 'none' then {section_kind_sql('heading')} end) as kinds from x join el on x.doc_id = el.doc_id group by 1),
