@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from paperloom.session import materialize
 
-#: Bits of a record's seeded position that one pass over the counted records resolves, and passes.
-STEP_BITS, PASSES = 12, 2
-#: Sources that a target may name (its rows, and one row of sums for each, come to the driver).
+#: Bits of a record's seeded place, and how many of them one pass over the counted records resolves.
+PLACE_BITS, STEP_BITS = 60, 12
+#: Sources that a target may name (its rows, and one row of sums for each, come to the driver); more are refused.
 MAX_SOURCES = 10_000
 
 
@@ -52,13 +52,18 @@ def mix(counted: DataFrame, target: DataFrame, seed: int = 7, total: float | Non
     ``counted`` has (doc_id, source, n_tokens); ``target`` has (source, target_share, max_repeats), one row for each
     source (a second row of a source is ignored). Records: (doc_id, source, n_tokens, repeats), repeats at least 1.
     Every record of a source is taken the whole number of times that its tokens fit into what the source gives; the
-    rest is filled by records in the order of a seeded hash, up to the record that would exceed it. Shares:
+    rest is filled by records in the order of a seeded hash of 60 bits, up to the one record that would exceed it
+    (records that share all 60 bits are taken or left together). Shares:
     (source, target_share, max_repeats, records, available_tokens, taken_tokens, reached_share, clamped).
-    Records of null or unlisted sources and records without tokens are never taken.
+    Records of null or unlisted sources and records without tokens are never taken. A target of more than
+    ``MAX_SOURCES`` rows is an error.
     """
     spark = counted.sparkSession
-    rows = counted.select("doc_id", source_name(F.col("source")).alias("source"), "n_tokens", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 64 - STEP_BITS * PASSES).alias("place")).where("n_tokens > 0")
-    aims = {r["source"]: r for r in reversed(target.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeats").where("source is not null").limit(MAX_SOURCES).collect())}
+    rows = counted.select("doc_id", source_name(F.col("source")).alias("source"), "n_tokens", place_of(seed, F.col("doc_id")).alias("place")).where("n_tokens > 0")
+    wanted = target.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeats").where("source is not null").limit(MAX_SOURCES + 1).collect()
+    if len(wanted) > MAX_SOURCES:
+        raise ValueError(f"a target may name at most {MAX_SOURCES} sources")
+    aims = {r["source"]: r for r in reversed(wanted)}
     rows = materialize(rows.where(F.col("source").isin(sorted(aims)))) if aims else rows.where("false")
     sums = {r["source"]: r for r in rows.groupBy("source").agg(F.sum("n_tokens").alias("size"), F.count(F.lit(1)).alias("records")).collect()}  # one row a source
     sizes = {s: int(r["size"]) for s, r in sums.items()}
@@ -80,29 +85,39 @@ def mix(counted: DataFrame, target: DataFrame, seed: int = 7, total: float | Non
     return records, report.select("source", "target_share", "max_repeats", "records", "available_tokens", "taken_tokens", F.coalesce(F.try_divide("taken_tokens", "all_tokens"), F.lit(0.0)).alias("reached_share"), "clamped")
 
 
+def place_of(seed: int, key: Column) -> Column:
+    """A record's seeded place, of ``PLACE_BITS`` bits."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 64 - PLACE_BITS)
+
+
 def _cuts(rows: DataFrame, rest: dict[str, float]) -> dict[str, tuple[int]]:
     """For each source the last seeded place up to which its records fill ``rest`` tokens without exceeding them.
 
-    Each pass sums the tokens by ``STEP_BITS`` more bits of the place within the stretch where the rest runs out:
-    the driver sees at most that many sums for each source, whatever the number of records.
+    Each pass sums the tokens by ``STEP_BITS`` more bits of the place within the stretch where the rest runs out, until
+    that stretch holds one record: the driver sees at most 4,096 sums for each source and pass, and the number of
+    passes grows with the logarithm of the number of records.
     """
     spark = rows.sparkSession
-    low = {s: 0 for s in rest}
-    left = dict(rest)
-    for step in range(PASSES):
+    low, left, found = {s: 0 for s in rest}, dict(rest), {}
+    for shift in range(PLACE_BITS - STEP_BITS, -1, -STEP_BITS):
         if not low:
             break
-        shift = STEP_BITS * (PASSES - 1 - step)
         at = spark.createDataFrame(list(low.items()), "source string, low bigint")
         near = rows.join(F.broadcast(at), "source").where(F.shiftright("place", shift + STEP_BITS) == F.shiftright("low", shift + STEP_BITS))
-        sums = near.groupBy("source", F.shiftright("place", shift).alias("bin")).agg(F.sum("n_tokens").alias("n")).collect()
-        for s in low:
-            k = low[s] >> shift
-            for b, n in sorted((r["bin"], r["n"]) for r in sums if r["source"] == s):
+        bins: dict[str, list[tuple[int, int, int]]] = {}
+        for r in near.groupBy("source", F.shiftright("place", shift).alias("bin")).agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("records")).collect():
+            bins.setdefault(r["source"], []).append((r["bin"], r["n"], r["records"]))
+        for s in list(low):
+            for b, n, records in sorted(bins.get(s, ())):
                 if n > left[s]:
-                    k = b
+                    if records == 1 or shift == 0:
+                        found[s] = ((b << shift) - 1,)
+                        del low[s]
+                    else:
+                        low[s] = b << shift
                     break
                 left[s] -= n
-                k = b + 1
-            low[s] = k << shift
-    return {s: (v - 1,) for s, v in low.items()}
+            else:
+                found[s] = ((1 << PLACE_BITS) - 1,)
+                del low[s]
+    return found
