@@ -153,3 +153,14 @@ def id_matches(rows: DataFrame, key: str, text: str, around: int = 50) -> DataFr
 def unfinished(files: DataFrame, done: DataFrame, key: str = "filename") -> DataFrame:
     """The files that a run that broke off has not finished."""
     return files.join(done.select(key).distinct(), key, "left_anti")
+
+
+def strip_prefix(text: Column, control_id: Column) -> Column:
+    """The body of the paragraph that opens a control: without what stands before the identifier, the identifier, its
+    baseline, and a name after a dash or one that a baseline ends. A text without the identifier stays as it is."""
+    at = F.instr(text, control_id)
+    rest = F.regexp_replace(F.substr(text, at + F.length(control_id)), "^" + _BASELINE, "")
+    dashed = r"^\s*[-–—]\s*[^\n]+"
+    late = F.regexp_extract(rest, r"(?s)^.*?" + _BASELINE + r"(.*)$", 2)
+    body = F.when(rest.rlike(dashed), F.regexp_replace(rest, dashed, "")).when(rest.rlike(_BASELINE), late).otherwise(rest)
+    return F.when(at == 0, text).otherwise(F.trim(body))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import groupby
 from zlib import crc32
 
@@ -222,14 +222,16 @@ def unequal(first: list[tuple[int, str]], second: list[tuple[int, str]]) -> Iter
 def difference(index1: int | None, text1: str | None, index2: int | None, text2: str | None) -> tuple:
     """(index1, index2, kind, text1, text2, ops) of one of ``unequal``'s rows."""
     if index1 is None or index2 is None:
-        return index1, index2, "added" if index1 is None else "removed", text1, text2, []
+        op, text = ("insert", text2) if index1 is None else ("delete", text1)
+        return index1, index2, "added" if index1 is None else "removed", text1 or "", text2 or "", [{"op": op, "text": text}]
     alike = difflib.SequenceMatcher(None, text1, text2, autojunk=False).ratio() >= CHANGED
     return index1, index2, "changed" if alike else "replaced", text1, text2, word_ops(text1, text2)
 
 
 def sequence_diff(first: list[tuple[int, str]], second: list[tuple[int, str]]) -> list[tuple]:
     """(index1, index2, kind, text1, text2, ops) of two ordered lists of paragraphs: pairs within a replaced block by
-    place, ``changed`` if their characters are alike enough, else ``replaced``; the rest ``removed`` or ``added``."""
+    place, ``changed`` if their characters are alike enough, else ``replaced``; the rest ``removed`` or ``added``, with one
+    op and an empty text on the other side."""
     return [difference(*pair) for pair in unequal(first, second)]
 
 
@@ -265,12 +267,47 @@ def paragraph_diff(first: DataFrame, second: DataFrame, keys: tuple[str, ...] =
     return spread.mapInArrow(tell, f"{names}, index1 bigint, index2 bigint, kind string, text1 string, text2 string, inline_ops array<struct<op:string,text:string>>")
 
 
-def signals(first: DataFrame, second: DataFrame, names: list[str]) -> DataFrame:
-    """(pair, signal, side): which side of a pair has the larger value of each property (pair, field, value)."""
-    a = first.where(F.col("field").isin(names)).select("pair", "field", F.col("value").alias("v1"))
-    b = second.where(F.col("field").isin(names)).select("pair", "field", F.col("value").alias("v2"))
-    side = F.when(F.col("v1").isNull() & F.col("v2").isNull(), "n/a").when(F.col("v1").isNull() | F.col("v2").isNull(), "missing").when(F.col("v1") > F.col("v2"), "1").when(F.col("v1") < F.col("v2"), "2").otherwise("tie")
-    return a.join(b, ["pair", "field"], "full_outer").select("pair", F.col("field").alias("signal"), side.alias("side"))
+# Properties of which the larger value is the newer one, and those of which only equality says something.
+ORDERED_SIGNALS = (
+    "core.modified", "core.created", "core.revision", "app.TotalTime (edit minutes)", "app.Words", "app.Pages", "app.Characters", "unique w:rsid count", "last tracked-change date", "last comment date", "filesystem mtime",
+)
+IDENTITY_SIGNALS = ("core.lastModifiedBy", "app.AppVersion")
+HASH_SIGNALS = ("archive SHA-256", "normalized document.xml SHA-256")
+
+
+def signals(first: DataFrame, second: DataFrame, ordered: Sequence[str] = ORDERED_SIGNALS, identity: Sequence[str] = IDENTITY_SIGNALS, hashes: Sequence[str] = HASH_SIGNALS) -> DataFrame:
+    """(pair, signal, side): which side of a pair each property (pair, field, value) speaks for, one row for each of them.
+
+    Of ordered ones the larger value wins, the only one there is too; ``tie`` if equal, ``missing`` if neither has it.
+    Of identities: ``tie``, ``missing`` or ``n/a``; of hashes: ``tie`` or ``n/a``. Values that read as numbers are compared as such.
+    """
+    names = F.array(*[F.struct(F.lit(n).alias("field"), F.lit(k).alias("kind")) for k, group in (("ordered", ordered), ("identity", identity), ("hash", hashes)) for n in group])
+    pairs = first.select("pair").unionByName(second.select("pair")).distinct().select("pair", F.inline(names))
+    for n, side in ((1, first), (2, second)):
+        pairs = pairs.join(side.groupBy("pair", "field").agg(F.max("value").alias(f"v{n}")), ["pair", "field"], "left")
+    v1, v2 = F.col("v1"), F.col("v2")
+    n1, n2 = (v.cast("string").try_cast("double") for v in (v1, v2))
+    more = lambda a, b, x, y: F.coalesce(x > y, a > b)
+    newer = F.when(v1.isNull() & v2.isNull(), "missing").when(v1.isNull(), "2").when(v2.isNull(), "1").when((v1 == v2) | F.coalesce(n1 == n2, F.lit(False)), "tie").when(more(v1, v2, n1, n2), "1").otherwise("2")
+    same = F.when(v1.isNull() & v2.isNull(), "missing").when(v1.eqNullSafe(v2), "tie").otherwise("n/a")
+    equal = F.when(v1 == v2, "tie").otherwise("n/a")
+    side = F.when(F.col("kind") == "ordered", newer).when(F.col("kind") == "identity", same).otherwise(equal)
+    return pairs.select("pair", F.col("field").alias("signal"), side.alias("side"))
+
+
+def properties_of_package(properties: DataFrame, revisions: DataFrame, comments: DataFrame, files: DataFrame) -> DataFrame:
+    """(pair, field, value) of the signals from the views of packages: (doc, category, field, value), (doc, date) twice, and
+    (doc, modified, digest) of the files."""
+    label = F.concat_ws(".", "category", F.when(F.col("field") == "TotalTime", "TotalTime (edit minutes)").otherwise(F.col("field")))
+    own = properties.where(F.col("category").isin("core", "app")).select(F.col("doc").alias("pair"), label.alias("field"), "value")
+    body = properties.where("category = 'hash' and field = 'word/document.xml'").select(F.col("doc").alias("pair"), F.lit("normalized document.xml SHA-256").alias("field"), "value")
+    saves = properties.where("category = 'rsid'").groupBy(F.col("doc").alias("pair")).agg(F.count_distinct("value").cast("string").alias("value")).withColumn("field", F.lit("unique w:rsid count"))
+    dates = [df.groupBy(F.col("doc").alias("pair")).agg(F.max("date").alias("value")).withColumn("field", F.lit(n)) for df, n in ((revisions, "last tracked-change date"), (comments, "last comment date"))]
+    stored = files.select(F.col("doc").alias("pair"), F.inline(F.array(F.struct(F.lit("filesystem mtime").alias("field"), F.col("modified").cast("string").alias("value")), F.struct(F.lit("archive SHA-256").alias("field"), F.col("digest").alias("value")))))
+    out = own
+    for df in (body, saves, *dates, stored):
+        out = out.unionByName(df.select("pair", "field", "value"))
+    return out.where("value is not null")
 
 
 def tally(found: DataFrame) -> DataFrame:
@@ -279,6 +316,31 @@ def tally(found: DataFrame) -> DataFrame:
     return found.groupBy("pair").agg(count("1").alias("first"), count("2").alias("second"), count("tie").alias("tie"), count("missing", "n/a").alias("undecided"))
 
 
-def pair_status(texts: Column, metadata: Column, orphan: Column) -> Column:
-    """IDENTICAL, CHANGED, METADATA ONLY or ORPHAN from numbers of differences."""
-    return F.when(orphan, "ORPHAN").when(texts > 0, "CHANGED").when(metadata > 0, "METADATA ONLY").otherwise("IDENTICAL")
+def pair_status(texts: Column, metadata: Column, orphan: Column, error: Column | None = None) -> Column:
+    """ERROR, ORPHAN, CHANGED, METADATA ONLY or IDENTICAL: an error of either file, a file without partner, then numbers of
+    differences."""
+    failed = F.coalesce(error, F.lit(False)) if error is not None else F.lit(False)
+    return F.when(failed, "ERROR").when(orphan, "ORPHAN").when(texts > 0, "CHANGED").when(metadata > 0, "METADATA ONLY").otherwise("IDENTICAL")
+
+
+def compare_sets(pairs: DataFrame, first: DataFrame, second: DataFrame, properties: tuple[DataFrame, DataFrame], errors: DataFrame) -> dict[str, DataFrame]:
+    """The frames of a comparison of two document sets: ``pairs`` with their status, ``texts``, ``signals`` and ``tally``.
+
+    ``pairs`` is ``pair_files``' frame, ``first`` and ``second`` hold paragraphs (name, location, index, text), ``properties``
+    (name, field, value) of each side, ``errors`` (name) of unreadable files. Pairs are named by the first file.
+    """
+    whole = pairs.where("name1 is not null and name2 is not null").select(F.col("name1").alias("pair"), "name1", "name2")
+    side = lambda df, n: df.join(whole.select("pair", F.col(f"name{n}").alias("name")), "name").select("pair", "location", "index", "text")
+    texts = paragraph_diff(side(first, 1), side(second, 2), ("pair", "location"), "index", "text")
+    props = [df.join(whole.select("pair", F.col(f"name{n}").alias("name")), "name").select("pair", "field", "value") for n, df in ((1, properties[0]), (2, properties[1]))]
+    found = signals(*props)
+    differ = props[0].withColumnRenamed("value", "v1").join(props[1].withColumnRenamed("value", "v2"), ["pair", "field"], "full_outer").where(~F.col("v1").eqNullSafe(F.col("v2"))).groupBy("pair").agg(F.count(F.lit(1)).alias("metadata"))
+    counts = texts.groupBy("pair").agg(F.count(F.lit(1)).alias("texts"))
+    bad = errors.select("name").distinct().withColumn("_bad", F.lit(True))
+    rows = pairs.withColumn("pair", F.coalesce("name1", "name2")).join(counts, "pair", "left").join(differ, "pair", "left")
+    for n in (1, 2):
+        rows = rows.join(bad.withColumnsRenamed({"name": f"name{n}", "_bad": f"_bad{n}"}), f"name{n}", "left")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0))
+    error = F.coalesce(F.col("_bad1"), F.lit(False)) | F.coalesce(F.col("_bad2"), F.lit(False))
+    status = pair_status(n("texts"), n("metadata"), F.col("name1").isNull() | F.col("name2").isNull(), error)
+    return {"pairs": rows.select("name1", "name2", "how", status.alias("status"), n("texts").alias("texts"), n("metadata").alias("metadata")), "texts": texts, "signals": found, "tally": tally(found)}

@@ -73,3 +73,40 @@ def broad_targets(merged: DataFrame, family: Column, broad: int = 10, very_broad
 
 def family_code(identifier: Column) -> Column:
     return F.nullif(F.regexp_extract(identifier, r"^([A-Z]{2,4})[-.]", 1), F.lit(""))
+
+
+def stale_results(batches: DataFrame, results: DataFrame, name: str = "name") -> DataFrame:
+    """(name) of the result files ``<batch>_result.json`` that have no batch any more."""
+    wanted = batches.select(F.concat(F.regexp_replace(name, r"\.[^.]*$", ""), F.lit("_result.json")).alias(name)).distinct()
+    return results.select(name).distinct().join(wanted, name, "left_anti")
+
+
+def coverage_check(merged: DataFrame, sources: DataFrame, targets: DataFrame) -> DataFrame:
+    """(side, total, covered, uncovered, consistent, covered_share) for both sides: covered and uncovered are counted apart
+    and must make up the total; identifiers of the answers that a side does not have break that."""
+    cover = merged.where(F.col("confidence").isin(list(COVERING)))
+
+    def one(side: str, known: DataFrame, key: str) -> DataFrame:
+        total = known.select(key).distinct()
+        seen = cover.select(key).distinct()
+        marked = total.withColumn("_k", F.lit(1)).join(seen.withColumn("_c", F.lit(1)), key, "full_outer")
+        return marked.agg(F.count("_k").alias("total"), F.count("_c").alias("covered"), F.count_if(F.col("_c").isNull()).alias("uncovered")).select(
+            F.lit(side).alias("side"), "total", "covered", "uncovered", (F.col("covered") + F.col("uncovered") == F.col("total")).alias("consistent"), F.try_divide("covered", "total").alias("covered_share")
+        )
+
+    return one("source", sources, "source_id").unionByName(one("target", targets, "target_id"))
+
+
+def first_of_sources(frames: list[DataFrame], key: str, order: str) -> DataFrame:
+    """The first row of each key, frames in order (a catalog before a standard), then by ``order``."""
+    rows = frames[0].withColumn("_src", F.lit(0))
+    for k, frame in enumerate(frames[1:], 1):
+        rows = rows.unionByName(frame.withColumn("_src", F.lit(k)), allowMissingColumns=True)
+    names = [c for c in rows.columns if c not in (key, "_src")]
+    return rows.groupBy(key).agg(F.min_by(F.struct(*names), F.struct("_src", order)).alias("_r")).select(key, "_r.*")
+
+
+def family_of(identifier: Column, names: dict[str, str]) -> Column:
+    """The name of an identifier's family by its code, the code itself without one, empty without a code."""
+    code = F.coalesce(family_code(identifier), F.lit(""))
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), code), code)

@@ -15,7 +15,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.functions.text import safe_filename
 from paperloom.operators.headings import by_document
+from paperloom.operators.order import numbered, running
 
 SPLIT_CHARS, PAGE_CHARS, CHUNK_CHARS, OVERLAP_WORDS, CHUNK_LEAST = 36_000, 1_800, 1_500, 30, 100
 
@@ -205,7 +207,7 @@ def batches(rows: DataFrame, group: str, order: str, size: int) -> DataFrame:
     w = Window.partitionBy(group).orderBy(order)
     rows = rows.select(group, order).withColumn("_k", F.floor((F.row_number().over(w) - 1) / size))
     parts = rows.groupBy(group).agg(F.min(order).alias("_first"), F.max("_k").alias("_last"))
-    parts = parts.withColumn("_before", F.coalesce(F.sum(F.col("_last") + 1).over(Window.orderBy("_first", group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a group
+    parts = running(parts, [F.col("_first"), F.col(group)], F.col("_last") + 1, "_upto").withColumn("_before", F.col("_upto") - F.col("_last") - 1)
     name = F.when(F.col("_last") > 0, F.concat(F.col(group), F.lit(" (part "), F.col("_k") + 1, F.lit(")"))).otherwise(F.col(group))
     return rows.join(parts, group).select(group, order, (F.col("_before") + F.col("_k") + 1).cast("bigint").alias("batch_no"), name.alias("batch_name"))
 
@@ -222,77 +224,134 @@ def natural_key(identifier: Column) -> Column:
     return F.struct(prefix.alias("p"), F.coalesce(number.try_cast("int"), F.lit(0)).alias("n"), inner.alias("e"), identifier.alias("i"))
 
 
-def _groups(members: list[dict], most: int, budget: int) -> Iterator[list[dict]]:
-    """Members of an over-long family in runs that keep an identifier and its enhancements together."""
-    runs: list[list[dict]] = []
-    for m in members:
-        base = re.sub(r"\(.*$", "", m["id"]).strip()
-        if not runs or re.sub(r"\(.*$", "", runs[-1][0]["id"]).strip() != base:
-            runs.append([])
-        runs[-1].append(m)
-    current: list[dict] = []
-    for run in runs:
-        if current and (len(current) + len(run) > most or sum(x["chars"] for x in current + run) > budget):
-            yield current
-            current = []
-        current = current + run
-    if current:
-        yield current
-
-
-def combine_families(families: Sequence[tuple[str, list[dict]]], most: int, budget: int) -> list[tuple[list[str], list[dict]]]:
-    """(names, members) of chunks: families joined in order while under both budgets; a larger family is cut."""
-    out: list[tuple[list[str], list[dict]]] = []
-    names: list[str] = []
-    current: list[dict] = []
-
-    def flush() -> None:
-        nonlocal names, current
-        if current:
-            out.append((names, current))
-        names, current = [], []
-
+class FamilyPacker:
+    """Packs members that come one by one, families in order: families are joined while under both budgets; a larger
+    family is cut between identifiers, which keep their enhancements. Only the chunk at hand is held."""
+
+    def __init__(self, most: int, budget: int) -> None:
+        self.most, self.budget = most, budget
+        self.names: list[str] = []
+        self.count = self.chars = 0
+        self.run: tuple[str, int, int] | None = None
+        self.family: object = None
+        self.cutting = False
+
+    def close(self) -> Iterator[tuple[str, int, int]]:
+        if self.run:
+            yield from self._place(self.run)
+            self.run = None
+        if self.count:
+            yield "+".join(self.names), self.count, self.chars
+        self.names, self.count, self.chars = [], 0, 0
+
+    def _place(self, run: tuple[str, int, int]) -> Iterator[tuple[str, int, int]]:
+        if self.count and (self.count + run[1] > self.most or self.chars + run[2] > self.budget):
+            yield "+".join(self.names), self.count, self.chars
+            self.count = self.chars = 0
+        self.count, self.chars = self.count + run[1], self.chars + run[2]
+
+    def add(self, family: str, members: int, size: int, identifier: str, chars: int) -> Iterator[tuple[str, int, int]]:
+        """The chunks that are full when a member of a family of so many members and characters comes."""
+        if family != self.family:
+            large = members > self.most or size > self.budget
+            if self.cutting or large or self.count + members > self.most or self.chars + size > self.budget:
+                yield from self.close()
+            self.family, self.cutting, self.names = family, large, [*self.names, family]
+        if not self.cutting:
+            self.count, self.chars = self.count + 1, self.chars + chars
+            return
+        base = re.sub(r"\(.*$", "", identifier).strip()
+        if self.run and self.run[0] != base:
+            yield from self._place(self.run)
+            self.run = None
+        self.run = (base, (self.run[1] if self.run else 0) + 1, (self.run[2] if self.run else 0) + chars)
+
+
+def combine_families(families: Sequence[tuple[str, list[dict]]], most: int, budget: int) -> list[tuple[str, int, int]]:
+    """(names, members, chars) of the chunks of whole families (id, chars) in order."""
+    packer = FamilyPacker(most, budget)
+    out: list[tuple[str, int, int]] = []
     for name, members in families:
-        size = sum(m["chars"] for m in members)
-        if len(members) > most or size > budget:
-            flush()
-            out.extend(([name], run) for run in _groups(members, most, budget))
-            continue
-        if current and (len(current) + len(members) > most or sum(m["chars"] for m in current) + size > budget):
-            flush()
-        names = [*names, name]
-        current = current + members
-    flush()
-    return out
+        for m in members:
+            out.extend(packer.add(name, len(members), sum(x["chars"] for x in members), m["id"], m["chars"]))
+    return [*out, *packer.close()]
 
 
 def family_chunks(controls: DataFrame, most: int, budget: int) -> DataFrame:
     """(collection, chunk_no, families, members, chars) from (collection, family, ord, id, chars).
 
-    Families come in first-seen order within their collection, members in natural order.
+    Families come in first-seen order within their collection, members in natural order. ``family`` may be the prefix
+    of an identifier or the domain that a catalog gives it. Packing is a walk in order: a collection is sorted and
+    walked in one task, which holds one chunk at a time.
     """
-    member = F.struct(natural_key(F.col("id")).alias("k"), F.col("id"), F.col("chars"))
-    families = controls.groupBy("collection", "family").agg(F.min("ord").alias("first"), F.array_sort(F.collect_list(member)).alias("members"))
-    rows = families.groupBy("collection").agg(F.array_sort(F.collect_list(F.struct("first", "family", "members"))).alias("parts"))
-
-    def cut(parts: list[dict]) -> list[tuple]:
-        found = combine_families([(p["family"], p["members"]) for p in parts], most, budget)
-        return [(k, "+".join(n), len(m), sum(x["chars"] for x in m)) for k, (n, m) in enumerate(found)]
-
-    return fold(rows, "collection", "parts", cut, [("chunk_no", pa.int64()), ("families", pa.string()), ("members", pa.int64()), ("chars", pa.int64())])
+    sizes = controls.groupBy(F.col("collection").alias("_c"), F.col("family").alias("_f")).agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n"), F.sum("chars").cast("bigint").alias("size"))
+    rows = controls.join(sizes, F.col("collection").eqNullSafe(F.col("_c")) & F.col("family").eqNullSafe(F.col("_f"))).select("collection", "family", "first", "n", "size", "id", F.col("chars").cast("bigint").alias("chars"), natural_key(F.col("id")).alias("_k"))
+    walked = rows.repartition("collection").sortWithinPartitions("collection", "first", "family", "_k").select("collection", "family", "n", "size", "id", "chars")
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: object = object()
+        packer, number = FamilyPacker(most, budget), 0
+
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["collection", "chunk_no", "families", "members", "chars"])
+
+        for frame in frames:
+            out: list[tuple] = []
+            for collection, *member in zip(*(c.to_pylist() for c in frame.columns), strict=True):
+                if collection != at:
+                    out += [(at, number + k, *c) for k, c in enumerate(packer.close())]
+                    at, packer, number = collection, FamilyPacker(most, budget), 0
+                for chunk in packer.add(member[0] or "", *member[1:3], member[3] or "", member[4] or 0):
+                    out.append((at, number, *chunk))
+                    number += 1
+            yield batch(out)
+        yield batch([(at, number + k, *c) for k, c in enumerate(packer.close())])
+
+    return walked.mapInArrow(run, "collection string, chunk_no bigint, families string, members bigint, chars bigint")
 
 
 def pairs_of(sources: DataFrame, targets: DataFrame) -> DataFrame:
-    """Every source batch against every target chunk, numbered: the product of two short lists of names.
+    """(source, target, number, label): every source batch against every target chunk, numbered in order.
 
-    ``sources`` and ``targets`` have (name); the product is what is asked for, and both lists are driver-sized.
+    ``sources`` and ``targets`` have (name). The product is what is asked for: names are numbered on both sides, every
+    source is spread over the numbers of the targets, and these are joined on equality.
     """
-    names = sorted(r["name"] for r in targets.select("name").distinct().collect())
-    rows = sources.select(F.col("name").alias("source"), F.explode(F.array(*[F.lit(n) for n in names])).alias("target"))
-    w = Window.orderBy("source", "target")
-    return rows.withColumn("number", F.row_number().over(w).cast("bigint")).withColumn("label", F.format_string("%02d_%s_x_%s", F.col("number"), safe_label(F.col("source")), safe_label(F.col("target"))))
+    left, right = (numbered(df.select("name").distinct(), [F.col("name")], "_k") for df in (sources, targets))
+    many = F.lit(right.count())
+    rows = left.select(F.col("name").alias("source"), F.col("_k").alias("_s"), F.explode(F.sequence(F.lit(1).cast("bigint"), many)).alias("_k")).join(right.withColumnRenamed("name", "target"), "_k")
+    rows = rows.select("source", "target", ((F.col("_s") - 1) * many + F.col("_k")).alias("number"))
+    return rows.withColumn("label", F.format_string("%02d_%s_x_%s", F.col("number"), safe_label(F.col("source")), safe_label(F.col("target"))))
 
 
 def safe_label(name: Column) -> Column:
     """A name with every run of other characters than letters and digits as one underscore."""
     return F.regexp_replace(F.replace(name, F.lit("&"), F.lit("and")), "[^A-Za-z0-9]+", "_")
+
+
+def passed_through(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, part_no, chars): every document as its one part, for runs that split nothing."""
+    return documents.select(key, F.lit(1).cast("bigint").alias("part_no"), F.length(text).cast("bigint").alias("chars"))
+
+
+def chunk_names(chunks: DataFrame, name: str, heading: str) -> DataFrame:
+    """Add ``chunk_id`` and ``file``: the stem of the document's file name with the chunk's number, and a file name led by the
+    last heading in the chunk. ``chunks`` has ``chunk_index`` from 0."""
+    number = F.format_string("%03d", F.col("chunk_index") + 1)
+    stem = F.regexp_replace(name, r"\.[^.]*$", "")
+    return chunks.withColumns({"chunk_id": F.concat_ws("_", stem, number), "file": F.concat(number, F.lit("_"), F.coalesce(F.nullif(safe_filename(F.col(heading)), F.lit("")), stem), F.lit(".md"))})
+
+
+def patched_title(block: Column, title: Column) -> Column:
+    """A metadata block whose ``title:`` line says another title; a block without one gets it as its first line."""
+    line = F.concat(F.lit("title: "), title)
+    quoted = F.replace(F.replace(line, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+    return F.when(block.rlike(r"(?m)^title:"), F.regexp_replace(block, F.lit(r"(?m)^title:[^\n]*"), quoted)).otherwise(F.regexp_replace(block, F.lit(r"^---\n"), F.concat(F.lit("---\n"), quoted, F.lit("\n"))))
+
+
+def cloned_scope(chunks: DataFrame, scope: DataFrame) -> DataFrame:
+    """Chunks (doc_id, chunk_index, text), each after the first led by its document's scope (doc_id, scope), if it has one."""
+    joined = chunks.join(scope, "doc_id", "left")
+    later = (F.col("chunk_index") > 0) & (F.length("scope") > 0)
+    return joined.withColumn("text", F.when(later, F.concat("scope", F.lit("\n\n"), "text")).otherwise(F.col("text"))).drop("scope")

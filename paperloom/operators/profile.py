@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.text import WORD_END, WORD_START, keyword_hits, word_count
 from paperloom.operators import headings as H
-from paperloom.session import materialize
+from paperloom.operators.order import numbered
 
 # Limits, weights and words of the profile.
 PAGE_PARAGRAPHS, SPLIT_CHARS, PAGE_CHARS = 30, 36_000, 1_800
@@ -97,12 +97,22 @@ def classify(appendix_part: Column, table_part: Column, hits: Column) -> Column:
     return F.when(appendix_part >= 60, "D").when(table_part >= 40, "A").when(table_part <= 10, F.when(hits >= 2, "C").otherwise("B")).otherwise("C")
 
 
-def document_types(extents: DataFrame, documents: DataFrame) -> DataFrame:
-    """(doc_id, doc_type, procedure_hits)."""
-    sizes_of = extents.groupBy("doc_id").agg(F.sum(F.when(H.standard_section(F.col("heading")) == "appendix", F.col("chars")).otherwise(0)).alias("appendix"))
+def document_types(extents: DataFrame, documents: DataFrame, tables: DataFrame | None = None) -> DataFrame:
+    """(doc_id, doc_type, procedure_hits, reason). ``tables`` has (doc_id, table_chars): the characters in tables, which
+    count among those of the text; documents without a row have none."""
+    appendix = F.sum(F.when(H.standard_section(F.col("heading")) == "appendix", F.col("chars")).otherwise(0))
+    rows = extents.groupBy("doc_id").agg(appendix.alias("appendix"))
     texts = documents.select("doc_id", F.greatest(F.length("text"), F.lit(1)).alias("total"), keyword_hits(F.col("text"), PROCEDURE_WORDS).cast("bigint").alias("procedure_hits"))
-    part = F.col("appendix") * 100 / F.col("total")
-    return sizes_of.join(texts, "doc_id").select("doc_id", classify(part, F.lit(0.0), F.col("procedure_hits")).alias("doc_type"), "procedure_hits")
+    rows = rows.join(texts, "doc_id")
+    rows = rows.join(tables.select("doc_id", "table_chars"), "doc_id", "left") if tables is not None else rows.withColumn("table_chars", F.lit(0))
+    in_appendix, in_tables = F.col("appendix") * 100 / F.col("total"), F.coalesce("table_chars", F.lit(0)) * 100 / F.col("total")
+    kind = classify(in_appendix, in_tables, F.col("procedure_hits"))
+    share = lambda x: F.floor(x).cast("string")
+    reason = (
+        F.when(kind == "D", F.concat(F.lit("appendix "), share(in_appendix), F.lit("%"))).when(kind == "A", F.concat(F.lit("tables "), share(in_tables), F.lit("%")))
+        .otherwise(F.concat(F.lit("tables "), share(in_tables), F.lit("%, procedure words "), F.col("procedure_hits").cast("string")))
+    )
+    return rows.select("doc_id", kind.alias("doc_type"), "procedure_hits", reason.alias("reason"))
 
 
 def search_terms(texts: DataFrame, terms: Sequence[str], whole_words: bool = True) -> DataFrame:
@@ -114,7 +124,7 @@ def search_terms(texts: DataFrame, terms: Sequence[str], whole_words: bool = Tru
 
 def table_class(header: Column, columns: Column) -> Column:
     """The class whose keywords occur most often in a header row (the first of equals), given enough columns."""
-    joined = F.lower(F.array_join(header, " | "))
+    joined = F.lower(F.array_join(F.transform(header, lambda h: F.left(F.trim(h), F.lit(100))), " "))
     scores = [
         F.struct(F.when(columns >= least, keyword_hits(joined, words)).otherwise(0).alias("s"), F.lit(-k).alias("o"), F.lit(name).alias("name"))
         for k, (name, (least, words)) in enumerate(TABLE_CLASSES.items())
@@ -133,16 +143,35 @@ def table_profile(cells: DataFrame) -> DataFrame:
         (F.max("row_idx") + 1).cast("bigint").alias("rows"), (F.max("col_idx") + 1).cast("bigint").alias("columns"), F.sum(F.length("text")).cast("bigint").alias("chars"),
         F.sum(word_count(F.col("text"))).cast("bigint").alias("words"), (F.count("tc_id") > F.count_distinct("tc_id")).alias("merged"), header.alias("_h"),
     )
-    return rows.withColumn("table_class", table_class(F.transform("_h", lambda h: h["text"]), F.col("columns"))).drop("_h")
+    header = F.transform("_h", lambda h: h["text"])
+    return rows.withColumns({"table_class": table_class(header, F.col("columns")), "header_row": F.array_join(header, " | ")}).drop("_h")
+
+
+def table_stats(tables: DataFrame) -> DataFrame:
+    """(doc_id, tables, table_chars, table_words, merged_tables, classes): totals of ``table_profile``'s rows for each
+    document; ``classes`` is a map from class to number of tables."""
+    per_class = tables.groupBy("doc_id", "table_class").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("words").alias("words"), F.count_if("merged").alias("merged")
+    )
+    return per_class.groupBy("doc_id").agg(
+        F.sum("n").alias("tables"), F.sum("chars").alias("table_chars"), F.sum("words").alias("table_words"), F.sum("merged").alias("merged_tables"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("table_class", "n")))).alias("classes")
+    )
+
 
+def priority_scores(elements: DataFrame, extents: DataFrame, usage: Mapping[str, float] | None = None, tables: DataFrame | None = None, refs: DataFrame | None = None) -> DataFrame:
+    """(doc_id, filename, score): weighted sum of what makes a document laborious.
 
-def priority_scores(elements: DataFrame, extents: DataFrame, usage: Mapping[str, float] | None = None) -> DataFrame:
-    """(doc_id, filename, score): weighted sum of what makes a document laborious."""
+    ``tables`` has (doc_id, tables, merged_tables), ``refs`` (doc_id, cross_refs); documents without a row have none.
+    """
     kinds = extents.withColumn("_k", H.standard_section(F.col("heading"))).groupBy("doc_id").agg(F.count_distinct(F.when(F.col("_k") != "none", F.col("_k"))).alias("kinds"))
     own = elements.groupBy("doc_id", "filename").agg(F.count_if("fake").alias("fakes"), F.count(F.lit(1)).alias("paragraphs"), F.sum(F.length("text")).alias("chars"))
     rows = own.join(kinds, "doc_id")
+    rows = rows.join(tables.select("doc_id", "tables", "merged_tables"), "doc_id", "left") if tables is not None else rows.withColumns({"tables": F.lit(0), "merged_tables": F.lit(0)})
+    rows = rows.join(refs.select("doc_id", "cross_refs"), "doc_id", "left") if refs is not None else rows.withColumn("cross_refs", F.lit(0))
+    weighed = lambda column, weight: F.coalesce(F.col(column), F.lit(0)) * WEIGHTS[weight]
     score = (
-        (len(H.STANDARD_SECTIONS) - F.col("kinds")) * WEIGHTS["missing_sections"] + F.col("fakes") * WEIGHTS["fake_headings"] + pages(F.col("paragraphs")) * WEIGHTS["pages"]
+        weighed("tables", "tables") + weighed("cross_refs", "cross_refs") + weighed("merged_tables", "merged_tables") + weighed("fakes", "fake_headings")
+        + (len(H.STANDARD_SECTIONS) - F.col("kinds")) * WEIGHTS["missing_sections"] + pages(F.col("paragraphs")) * WEIGHTS["pages"]
         + F.when(F.col("chars") > SPLIT_CHARS, OVER_LIMIT_BONUS).otherwise(0.0)
     )
     if usage:
@@ -151,19 +180,9 @@ def priority_scores(elements: DataFrame, extents: DataFrame, usage: Mapping[str,
 
 
 def ranked(scores: DataFrame) -> DataFrame:
-    """(doc_id, filename, score_100, priority_rank): rank by falling score, then file name.
-
-    A rank over all rows needs their order. Rows are range-partitioned by it and numbered within their partition;
-    the sizes of the partitions before give the rest, so that no single task sorts the corpus.
-    """
-    order = [F.desc("score_100"), F.asc("filename")]
-    rows = materialize(scores.select("doc_id", "filename", F.round(F.col("score") * 100).cast("bigint").alias("score_100")))  # read for the ranges, the sizes and the rows
-    parts = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = rows.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
-    local = spread.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    counts = spread.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    ahead = counts.select(F.col("_p").alias("_q"), (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_before"))  # one row a partition
-    return local.join(F.broadcast(ahead), F.col("_p") == F.col("_q")).select("doc_id", "filename", "score_100", (F.col("_n") + F.col("_before")).cast("bigint").alias("priority_rank"))
+    """(doc_id, filename, score_100, priority_rank): rank by falling score, then file name (``order.numbered``)."""
+    rows = scores.select("doc_id", "filename", F.round(F.col("score") * 100).cast("bigint").alias("score_100"))
+    return numbered(rows, [F.desc("score_100"), F.asc("filename")], "priority_rank")
 
 
 def summary(profile: DataFrame) -> DataFrame:
@@ -184,3 +203,18 @@ def freshness(modified: Column, as_of: Column) -> Column:
     """Age band of a date: over 365 days, over 30 days, else current; null stays null."""
     age = F.date_diff(as_of, modified)
     return F.when(age > 365, "Overdue").when(age > 30, "Review Soon").when(age.isNotNull(), "Current")
+
+
+def totals_over_limit(parts: DataFrame, size: str, limit: int = SPLIT_CHARS) -> DataFrame:
+    """(parts, over_limit, largest): how many parts a split left over the limit."""
+    return parts.agg(F.count(F.lit(1)).alias("parts"), F.count_if(F.col(size) > limit).alias("over_limit"), F.max(size).alias("largest"))
+
+
+def step_report(found: DataFrame, step: str, file: str, error: str) -> DataFrame:
+    """(step, file, rows, failures): what a step made of each file, and how often it failed there."""
+    return found.groupBy(F.col(file).alias("file")).agg(F.count_if(F.col(error).isNull()).alias("rows"), F.count(error).alias("failures")).select(F.lit(step).alias("step"), "file", "rows", "failures")
+
+
+def with_all_keys(frames: Sequence[DataFrame]) -> DataFrame:
+    """The rows of all frames with the columns of any; what a frame lacks is null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -191,3 +191,54 @@ def key_value_rows(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFra
     """(key, ord, label, value): each row as labelled values, empty ones left out."""
     pairs = F.array(*[F.struct(F.lit(k).cast("bigint").alias("ord"), F.lit(c).alias("label"), F.trim(F.col(c).cast("string")).alias("value")) for k, c in enumerate(columns)])
     return rows.select(key, F.inline(pairs)).where("value <> ''")
+
+
+def list_kind(style: Column, level: Column) -> tuple[Column, Column]:
+    """(level, ordered) of a list paragraph: the level of its numbering, else the one that the style's name ends with, from
+    0; null for other paragraphs. Styles that name a number are ordered."""
+    by_style = F.when(F.lower(style).rlike("^list"), F.coalesce(F.nullif(F.regexp_extract(style, r"(\d+)$", 1), F.lit("")).cast("int") - 1, F.lit(0)))
+    return F.coalesce(level, by_style), F.coalesce(F.lower(style).rlike("number"), F.lit(False))
+
+
+def reference_text(controls: DataFrame, title: str | None = None, extras: Sequence[str] = (), mark: str = "###") -> DataFrame:
+    """(content): controls (ord, domain, id, title, description, extras...) as one list, by domain in first-seen order.
+
+    A null domain is ``Ungrouped``; without any domain column, one flat list. Lists of domains are joined from their
+    texts, so the one value at the end holds what the reference is: a text that people and prompts read.
+    """
+    entry = F.concat_ws(" ", F.concat(F.lit("- **"), "id", F.lit("**")), F.when(F.length("title") > 0, F.concat(F.lit("| "), "title")), F.concat(F.lit("| "), F.coalesce("description", F.lit(""))))
+    line = F.concat_ws("\n", entry, *[F.when(F.length(F.col(x)) > 0, F.concat(F.lit(f"  - *{x}*: "), F.col(x))) for x in extras])
+    domain = F.coalesce("domain", F.lit("Ungrouped")) if "domain" in controls.columns else F.lit("")
+    groups = controls.select("ord", domain.alias("_d"), line.alias("_l")).groupBy("_d").agg(F.min("ord").alias("_f"), F.array_sort(F.collect_list(F.struct("ord", "_l"))).alias("_r"))
+    body = F.array_join(F.transform("_r", lambda r: r["_l"]), "\n")
+    texts = groups.select("_f", F.when(F.col("_d") == "", body).otherwise(F.concat(F.lit(f"{mark} "), "_d", F.lit("\n"), body)).alias("_t"))
+    whole = texts.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_f", "_t"))), lambda g: g["_t"]), "\n\n").alias("content"))
+    return whole.select((F.concat(F.lit(f"# {title}\n\n"), "content") if title else F.col("content")).alias("content"))
+
+
+#: Ways to render the rows of a sheet.
+MODES = ("row_as_heading", "table", "key_value", "list", "prose")
+
+
+def render_rows(rows: DataFrame, key: str, columns: Sequence[str], mode: str) -> DataFrame:
+    """(key, pos, kind, level, text): the rows of a sheet as elements, in one of five ways; empty values are left out.
+
+    ``row_as_heading``: the first column as a heading, the others as labelled lines; ``table``: one line of a pipe table;
+    ``key_value``: a labelled line for each value; ``list``: one item, values joined; ``prose``: one paragraph.
+    """
+    if mode not in MODES:
+        raise ValueError(f"no such way to render: {mode}")
+    value = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    element = lambda kind, level, text: F.struct(F.lit(kind).alias("kind"), F.lit(level).cast("int").alias("level"), text.alias("text"))
+    labelled = lambda c: element("paragraph", None, F.when(value(c) != "", F.concat(F.lit(f"{c}: "), value(c))).otherwise(""))
+    if mode == "row_as_heading":
+        parts = [element("heading", 2, value(columns[0])), *[labelled(c) for c in columns[1:]]]
+    elif mode == "key_value":
+        parts = [labelled(c) for c in columns]
+    elif mode == "table":
+        parts = [element("table", None, F.concat(F.lit("| "), F.concat_ws(" | ", *[escape_cell(F.col(c).cast("string")) for c in columns]), F.lit(" |")))]
+    else:
+        joined = F.array_join(F.filter(F.array(*[value(c) for c in columns]), lambda v: v != ""), " - " if mode == "list" else " ")
+        parts = [element("list" if mode == "list" else "paragraph", None, joined)]
+    kept = F.filter(F.array(*parts), lambda e: e["text"] != "")
+    return rows.select(key, F.posexplode(kept).alias("pos", "_e")).select(key, F.col("pos").cast("bigint").alias("pos"), "_e.kind", F.col("_e.level").cast("bigint").alias("level"), "_e.text")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.operators.headings import by_document
+from paperloom.operators.headings import by_document, mapped_style, numbered_level, style_level
 
 CLEANING_ORDER = (
     "tracked_changes", "comments", "table_of_contents", "headers_footers", "page_numbers", "phrases",
@@ -121,3 +121,49 @@ def visible_rows(df: DataFrame, grants: Mapping[str, Sequence[str]]) -> DataFram
     if any("*" in values for values in grants.values()):
         return df
     return df.where(_any([F.col(c).isin(list(values)) for c, values in grants.items()]))
+
+
+def drop_comments(parts: DataFrame) -> DataFrame:
+    """Parts of packages without those that hold comments, and runs without their marks."""
+    kept = parts.where(~F.coalesce(F.col("location").rlike(r"^comments"), F.lit(False)))
+    return kept.withColumn("text", F.regexp_replace("text", r"\[comment:\d+\]", "")) if "text" in parts.columns else kept
+
+
+def clean(elements: DataFrame, phrases: Sequence[str] = (), custom: Mapping[str, str] | None = None, contains: Sequence[str] = (), equals: Sequence[str] = (), steps: Sequence[str] = CLEANING_ORDER) -> tuple[DataFrame, DataFrame]:
+    """(elements, log): the chosen steps of ``CLEANING_ORDER``, always in that order, over (doc_id, seq, location, text, rejected,
+    style, level, fake, header, runs); a step whose columns the elements lack is refused.
+
+    ``text`` is the accepted view, ``header`` the first row of a table or null. The log has (doc_id, step, removed,
+    changed) for every step that did something. All windows are by document, so the steps share one exchange.
+    """
+    unknown = [s for s in steps if s not in CLEANING_ORDER]
+    if unknown:
+        raise ValueError(f"no such steps: {unknown}")
+    none = F.lit(False)
+    header = F.coalesce(F.col("header"), F.array().cast("array<string>"))
+    gone: dict[str, Column] = {
+        "comments": F.coalesce(F.col("location").rlike(r"^comments"), none), "table_of_contents": F.startswith(F.upper(F.coalesce("style", F.lit(""))), F.lit("TOC")),
+        "headers_footers": F.coalesce(F.col("location").rlike(r"^(header|footer)\d*$"), none), "page_numbers": F.coalesce(_any([F.trim("text").rlike(p) for p in PAGE_NUMBERS]), none), "revision_tables": is_revision_table(header),
+    }
+    low = F.lower(F.trim("text"))
+    target = _any([F.contains(low, F.lit(x.lower())) for x in contains] + [low == x.lower() for x in equals])
+    new: dict[str, dict[str, Column]] = {
+        "tracked_changes": {"rejected": F.col("text")}, "phrases": {"text": delete_phrases(F.col("text"), phrases)},
+        "headings": {"style": F.coalesce(F.when(mapped_style(F.col("style"), custom or {}) != F.col("style"), mapped_style(F.col("style"), custom or {})), F.when(F.col("fake"), F.concat(F.lit("Heading "), numbered_level(F.col("text")).cast("string"))), F.col("style"))},
+        "definition_tables": {"text": F.when(F.exists(header, lambda h: F.contains(F.lower(h), F.lit("term"))), F.concat_ws(": ", header)).otherwise(F.col("text"))}, "italics": {"runs": drop_italics(F.col("runs"))},
+    }
+    rows = elements.withColumns({"_by": F.lit(None).cast("string"), "_did": F.array().cast("array<string>")})
+    for step in (s for s in CLEANING_ORDER if s in steps):
+        alive = F.col("_by").isNull()
+        if step in gone or step == "sections":
+            hit = gone[step] if step in gone else F.coalesce(in_deleted_section(F.coalesce(alive & target & F.col("level").isNotNull(), none)), none)
+            rows = rows.withColumn("_by", F.when(alive & hit, F.lit(step)).otherwise(F.col("_by")))
+        else:
+            values = {k: F.when(alive, v).otherwise(F.col(k)) for k, v in new[step].items()}
+            differs = _any([~F.col(k).eqNullSafe(v) for k, v in values.items()])
+            rows = rows.withColumns({**values, "_did": F.when(differs, F.array_append("_did", F.lit(step))).otherwise(F.col("_did"))})
+            if step == "headings":
+                rows = rows.withColumn("level", F.coalesce(F.when(alive, style_level(F.col("style"))), F.col("level")))
+    removed = rows.where("_by is not null").groupBy("doc_id", F.col("_by").alias("step")).agg(F.count(F.lit(1)).alias("removed")).withColumn("changed", F.lit(0).cast("bigint"))
+    changed = rows.select("doc_id", F.explode("_did").alias("step")).groupBy("doc_id", "step").agg(F.count(F.lit(1)).alias("changed")).withColumn("removed", F.lit(0).cast("bigint"))
+    return rows.where("_by is null").drop("_by", "_did"), removed.unionByName(changed)

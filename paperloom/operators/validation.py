@@ -24,9 +24,9 @@ def places_of_ids(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("control_id").agg(F.array_join(F.array_sort(F.collect_set("file")), ", ").alias("files"))
 
 
-def status_of(controls: DataFrame, mentions: DataFrame) -> DataFrame:
+def status_of(controls: DataFrame, mentions: DataFrame, split: bool = True) -> DataFrame:
     """(control_id, parent, found_in, status): PASS if a part of the control's own parent mentions it, MISSING if no
-    part does, else RELOCATED.
+    part does, else RELOCATED; N/A for all where documents were not split (there is no manifest of parts).
 
     ``controls`` has (control_id, parent), ``mentions`` (control_id, file, file_parent). Both sides are reduced to
     distinct rows before the join.
@@ -34,7 +34,7 @@ def status_of(controls: DataFrame, mentions: DataFrame) -> DataFrame:
     wanted = controls.select("control_id", "parent").distinct()
     seen = mentions.select("control_id", "file_parent", "file").distinct().groupBy("control_id", "file_parent").agg(F.count(F.lit(1)).alias("n"))
     joined = wanted.join(seen, "control_id", "left").groupBy("control_id", "parent").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("found_in"), F.coalesce(F.max(F.col("file_parent") == F.col("parent")), F.lit(False)).alias("own"))
-    return joined.select("control_id", "parent", "found_in", F.when(F.col("found_in") == 0, "MISSING").when(F.col("own"), "PASS").otherwise("RELOCATED").alias("status"))
+    return joined.select("control_id", "parent", "found_in", F.when(F.lit(not split), "N/A").when(F.col("found_in") == 0, "MISSING").when(F.col("own"), "PASS").otherwise("RELOCATED").alias("status"))
 
 
 def _has(text: Column, words: tuple[str, ...]) -> Column:
@@ -44,16 +44,15 @@ def _has(text: Column, words: tuple[str, ...]) -> Column:
 def confidence(controls: DataFrame, several: Column | None = None) -> DataFrame:
     """Add ``score`` (100 less the penalties, at least 0) and ``flags``. Blank and null fields are empty.
 
-    Repeats and siblings are counts over windows by identifier and file, not scans of all records. ``several`` says
-    whether a record shares its paragraph with another one.
+    Repeats and siblings are counted by identifier and file, and only these counts are joined back to the records.
+    ``several`` says whether a record shares its paragraph with another one.
     """
     t = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
     rows = controls.withColumns({"_id": t("control_id"), "_f": t("source_file")})
-    same = F.count(F.lit(1)).over(Window.partitionBy("_id", "_f"))
-    any_base = F.max(t("baseline") != "").over(Window.partitionBy("_f"))
-    any_name = F.max(t("control_name") != "").over(Window.partitionBy("_f"))
-    totals = controls.groupBy(t("control_id").alias("_k")).agg(F.count(F.lit(1)).alias("_all"))
-    rows = rows.withColumns({"_same": same, "_base": any_base, "_name": any_name}).join(totals, F.col("_id") == F.col("_k"))
+    seen = rows.groupBy("_id", "_f").agg(F.count(F.lit(1)).alias("_same"), F.max(t("baseline") != "").alias("_b"), F.max(t("control_name") != "").alias("_n"))
+    files = seen.groupBy("_f").agg(F.max("_b").alias("_base"), F.max("_n").alias("_name"))
+    totals = seen.groupBy("_id").agg(F.sum("_same").alias("_all"))
+    rows = rows.join(seen.select("_id", "_f", "_same").join(files, "_f").join(totals, "_id"), ["_id", "_f"])
     text, section = t("control_description"), F.lower(t("section_header"))
     low = F.lower(text)
     flag = lambda name, when: F.when(when, F.lit(name))
@@ -70,7 +69,7 @@ def confidence(controls: DataFrame, several: Column | None = None) -> DataFrame:
     table = F.create_map(*[F.lit(x) for kv in PENALTIES.items() for x in kv])
     rows = rows.withColumn("flags", flags)
     lost = F.aggregate("flags", F.lit(0), lambda a, f: a + F.element_at(table, f))
-    return rows.withColumn("score", F.greatest(F.lit(100) - lost, F.lit(0)).cast("bigint")).drop("_id", "_f", "_k", "_same", "_base", "_name", "_all")
+    return rows.withColumn("score", F.greatest(F.lit(100) - lost, F.lit(0)).cast("bigint")).drop("_id", "_f", "_same", "_base", "_name", "_all")
 
 
 def band(score: Column) -> Column:
@@ -130,3 +129,25 @@ def file_accuracy(reviewed: DataFrame) -> DataFrame:
     """(source_file, reviewed, wrong)."""
     seen = F.coalesce(F.trim("status"), F.lit("")) != ""
     return reviewed.groupBy("source_file").agg(F.count_if(seen).alias("reviewed"), F.count_if(F.col("status") == WRONG).alias("wrong"))
+
+
+def flag_correlation(reviewed: DataFrame, verdicts: tuple[str, ...], flag: str) -> DataFrame:
+    """(errors, with_flag, share): of the rows with one of these verdicts, how many carry a flag."""
+    wrong = reviewed.where(F.trim("status").isin(list(verdicts)))
+    rows = wrong.agg(F.count(F.lit(1)).alias("errors"), F.count_if(F.array_contains("flags", flag)).alias("with_flag"))
+    return rows.withColumn("share", F.try_divide("with_flag", "errors"))
+
+
+def missing_patterns(missing: DataFrame) -> DataFrame:
+    """(kind, value, n): rows that reviewers added, by file and by section (in lower case); blank ones are left out."""
+    parts = F.array(F.struct(F.lit("file").alias("kind"), F.trim("source_file").alias("value")), F.struct(F.lit("section").alias("kind"), F.lower(F.trim("section_header")).alias("value")))
+    return missing.select(F.inline(parts)).where("value <> ''").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def suggestions(patterns: DataFrame, correlation: DataFrame, bad_ids: DataFrame, least: int = 3) -> DataFrame:
+    """(type, value, n): what reviewers' verdicts suggest to change: sections that are often wrong, guidance words when
+    enough errors carry the flag, and identifiers that no pattern matches."""
+    a = patterns.where(F.col("wrong") >= least).select(F.lit("suspect_section").alias("type"), F.col("pattern").alias("value"), F.col("wrong").alias("n"))
+    b = correlation.where(F.col("with_flag") >= least).select(F.lit("guidance_keywords").alias("type"), F.lit("GUIDANCE_IN_DESC").alias("value"), F.col("with_flag").alias("n"))
+    c = bad_ids.groupBy(F.trim("control_id").alias("value")).agg(F.count(F.lit(1)).alias("n")).where("value <> ''").select(F.lit("control_id_pattern").alias("type"), "value", "n")
+    return a.unionByName(b).unionByName(c)

@@ -108,31 +108,36 @@ def d2_paragraph_diff(spark: SparkSession, d: str) -> DataFrame:
     return D.paragraph_diff(rows.where("copy_no = 1"), rows.where("copy_no = 2"))
 
 
-_PROPS = "with a as (select package_name as pair, count(*)::bigint as paragraphs, sum(coalesce(length(accepted), 0))::bigint as chars, count(case when has_tracked_changes then 1 end)::bigint as tracked from (select distinct * exclude (ingested_at) from paragraph) where copy_no = {0} group by 1)"
+_PROPS = "with a as (select package_name as pair, sum(coalesce(length(accepted), 0))::bigint as chars, count(*)::bigint as paragraphs, count(case when has_tracked_changes then 1 end) as tracked, min(location) as place, md5(max(accepted)) as digest from (select distinct * exclude (ingested_at) from paragraph) where copy_no = {0} group by 1)"
+_newer = lambda x: f"case when a.{x} is null and b.{x} is null then 'missing' when a.{x} is null then '2' when b.{x} is null then '1' when a.{x} = b.{x} then 'tie' when a.{x} > b.{x} then '1' else '2' end"
 _SIGNALS = (
     _PROPS.format(1) + ", " + _PROPS.format(2).replace("with a as", "b as")
-    + ", j as (select coalesce(a.pair, b.pair) as pair, a.paragraphs p1, b.paragraphs p2, a.chars c1, b.chars c2, a.tracked t1, b.tracked t2 from a full join b on a.pair = b.pair), s as (select pair, unnest(['paragraphs', 'chars', 'tracked']) as signal, unnest([p1, c1, t1]) as v1, unnest([p2, c2, t2]) as v2 from j),"
-    " g as (select pair, signal, case when v1 is null and v2 is null then 'n/a' when v1 is null or v2 is null then 'missing' when v1 > v2 then '1' when v1 < v2 then '2' else 'tie' end as side from s)"
+    + f", s as (select coalesce(a.pair, b.pair) as pair, unnest(['app.Characters', 'app.Paragraphs', 'tracked', 'core.place', 'digest']) as signal, unnest([{_newer('chars')}, {_newer('paragraphs')}, {_newer('tracked')},"
+    " case when a.place is null and b.place is null then 'missing' when a.place is not distinct from b.place then 'tie' else 'n/a' end, case when a.digest = b.digest then 'tie' else 'n/a' end]) as side from a full join b on a.pair = b.pair)"
 )
 
 
 def _properties(spark: SparkSession, d: str, copy: int) -> DataFrame:
     rows = table(spark, d, "paragraph").where(F.col("copy_no") == copy).drop("ingested_at").distinct()
-    wide = rows.groupBy(F.col("package_name").alias("pair")).agg(F.count(F.lit(1)).alias("paragraphs"), F.sum(F.coalesce(F.length("accepted"), F.lit(0))).cast("bigint").alias("chars"), F.count_if("has_tracked_changes").alias("tracked"))
-    return wide.unpivot(["pair"], ["paragraphs", "chars", "tracked"], "field", "value")
+    text = lambda c: c.cast("string")
+    wide = rows.groupBy(F.col("package_name").alias("pair")).agg(
+        text(F.sum(F.coalesce(F.length("accepted"), F.lit(0)))).alias("app.Characters"), text(F.count(F.lit(1))).alias("app.Paragraphs"), text(F.count_if("has_tracked_changes")).alias("tracked"), F.min("location").alias("core.place"), F.md5(F.max("accepted").cast("binary")).alias("digest")
+    )
+    names = ["`app.Characters`", "`app.Paragraphs`", "tracked", "`core.place`", "digest"]
+    return wide.unpivot(["pair"], names, "field", "value").where("value is not null")
 
 
 def _signals(spark: SparkSession, d: str) -> DataFrame:
-    return D.signals(_properties(spark, d, 1), _properties(spark, d, 2), ["paragraphs", "chars", "tracked"])
+    return D.signals(_properties(spark, d, 1), _properties(spark, d, 2), ("app.Characters", "app.Paragraphs", "tracked"), ("core.place",), ("digest",))
 
 
-@query("d4_signals", _SIGNALS + " select pair, signal, side from g")
+@query("d4_signals", _SIGNALS + " select pair, signal, side from s")
 def d4_signals(spark: SparkSession, d: str) -> DataFrame:
-    """Which copy of each package has more of each property."""
+    """Which copy of each package each property speaks for: ordered ones, an identity and a digest."""
     return _signals(spark, d)
 
 
-@query("d5_tally", _SIGNALS + " select pair, count(case when side = '1' then 1 end) as first, count(case when side = '2' then 1 end) as second, count(case when side = 'tie' then 1 end) as tie, count(case when side in ('missing', 'n/a') then 1 end) as undecided from g group by 1")
+@query("d5_tally", _SIGNALS + " select pair, count(case when side = '1' then 1 end) as first, count(case when side = '2' then 1 end) as second, count(case when side = 'tie' then 1 end) as tie, count(case when side in ('missing', 'n/a') then 1 end) as undecided from s group by 1")
 def d5_tally(spark: SparkSession, d: str) -> DataFrame:
     """Signals by side."""
     return D.tally(_signals(spark, d))
@@ -174,22 +179,89 @@ def _facts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q1_state_counts", "select o_orderpriority, count(*) as total, count(case when o_orderstatus = 'F' then 1 end) as finished, count(case when o_orderstatus in ('O', 'P') then 1 end) as open from orders group by 1")
 def q1_state_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Q1, Q2, Q7 to Q9, Q13: rows by state for each group."""
+    """Q1: rows by state for each group."""
     return Q.state_counts(table(spark, d, "orders"), ["o_orderpriority"], "o_orderstatus", {"finished": ["F"], "open": ["O", "P"]})
 
 
-@query("q3_cycle_times", _FACTS + ", d as (select o_orderpriority, date_diff('day', o_orderdate::date, ended::date) as n from f) select o_orderpriority, count(n) as finished, sum(n)::bigint as days, max(n) as longest, count(case when n <= 60 then 1 end) as in_time from d group by 1")
+@query("q2_state_shares", "select o_orderpriority, count(case when o_orderstatus = 'F' then 1 end) / nullif(count(*), 0)::double as approved_share, count(case when o_orderstatus = 'P' then 1 end) / nullif(count(*), 0)::double as rejected_share from orders group by 1")
+def q2_state_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Q2: shares of two states in each group."""
+    return Q.state_shares(table(spark, d, "orders"), ["o_orderpriority"], "o_orderstatus", {"approved": ["F"], "rejected": ["P"]})
+
+
+@query("q3_cycle_times", _FACTS + ", d as (select o_orderpriority, date_diff('day', o_orderdate::date, ended::date) as n from f) select o_orderpriority, count(n) as finished, sum(n)::bigint as days, avg(n) as average, max(n) as longest, count(case when n <= 60 then 1 end) as in_time, count(case when n <= 60 then 1 end) / nullif(count(n), 0)::double as in_time_share from d group by 1")
 def q3_cycle_times(spark: SparkSession, d: str) -> DataFrame:
-    """Q3, Q4, Q10: days from the first to the last date."""
+    """Q3, Q4: days from the first to the last date, and the share in time."""
     return Q.cycle_times(_facts(spark, d), ["o_orderpriority"], "o_orderdate", "ended", 60)
 
 
-@query("q5_pending_age", "select o_orderpriority, count(*) as pending, sum(n)::bigint as days, max(n) as oldest, count(case when n > 1000 then 1 end) as stuck from (select o_orderpriority, date_diff('day', o_orderdate::date, date '1999-01-01') as n from orders where o_orderstatus = 'O') group by 1")
+@query("q5_pending_age", "select o_orderpriority, count(*) as pending, sum(n)::bigint as days, avg(n) as average, max(n) as oldest, count(case when n > 1000 then 1 end) as stuck from (select o_orderpriority, date_diff('day', o_orderdate::date, date '1999-01-01') as n from orders where o_orderstatus = 'O') group by 1")
 def q5_pending_age(spark: SparkSession, d: str) -> DataFrame:
-    """Q5, Q12, Q14, Q15: the age of open rows at a fixed day."""
+    """Q5: the age of open rows at a fixed day."""
     return Q.pending_age(table(spark, d, "orders"), ["o_orderpriority"], "o_orderdate", F.col("o_orderstatus") == "O", F.lit("1999-01-01").cast("date"), 1_000)
 
 
+_DUE = _FACTS + ", g as (select f.*, o_orderdate::date + 60 as due, o_orderstatus = 'O' as is_open from f), h as (select *, date_diff('day', o_orderdate::date, ended::date) as cycle_days, case when is_open then date_diff('day', o_orderdate::date, date '1998-06-01') else 0 end as queue_days, is_open and due < date '1998-06-01' as is_overdue from g)"
+_STATES = {"pending": ["O"], "approved": ["F"], "rejected": ["P"]}
+_AS_OF = "1998-06-01"
+
+
+def _dated(spark: SparkSession, d: str) -> DataFrame:
+    return _facts(spark, d).withColumn("due", F.date_add(F.to_date("o_orderdate"), 60))
+
+
+def _people(spark: SparkSession, d: str, person: str) -> DataFrame:
+    return Q.person_measures(_dated(spark, d), person, "o_orderstatus", _STATES, "o_orderdate", "ended", "due", F.col("o_totalprice") < 1_000, F.lit(_AS_OF).cast("date"))
+
+
+_PERSON = _DUE + " select {0} as person, count(*) as total, count(case when o_orderstatus = 'O' then 1 end) as pending, count(case when o_orderstatus = 'F' then 1 end) as approved, count(case when o_orderstatus = 'P' then 1 end) as rejected, count(case when is_overdue then 1 end) as overdue, count(case when is_open and due = date '1998-06-01' then 1 end) as due_today, count(case when o_totalprice < 1000 then 1 end) as again, max(case when is_open then queue_days end) as oldest, avg(cycle_days) as average_days from h group by 1"
+
+
+@query("q7_requester_measures", _PERSON.format("o_custkey"))
+def q7_requester_measures(spark: SparkSession, d: str) -> DataFrame:
+    """Q7, Q9: the measures of every requester."""
+    return _people(spark, d, "o_custkey")
+
+
+@query("q8_approver_measures", _PERSON.format("o_orderpriority"))
+def q8_approver_measures(spark: SparkSession, d: str) -> DataFrame:
+    """Q8: the measures of every approver."""
+    return _people(spark, d, "o_orderpriority")
+
+
+@query("q9_selected_label", "select case when min(o_orderstatus) = max(o_orderstatus) then min(o_orderstatus) when count(o_orderstatus) > 0 then '(several)' end as label from orders")
+def q9_selected_label(spark: SparkSession, d: str) -> DataFrame:
+    """Q9: the label of a selection."""
+    return Q.selected_label(table(spark, d, "orders"), "o_orderstatus")
+
+
+@query("q12_age_columns", _DUE + " select o_orderkey, cycle_days, queue_days, is_overdue from h")
+def q12_age_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Q10, Q12: days of the cycle and in the queue, and whether a row is overdue."""
+    rows = Q.with_age_columns(_dated(spark, d), "o_orderdate", "ended", "due", F.col("o_orderstatus") == "O", F.lit(_AS_OF).cast("date"))
+    return rows.select("o_orderkey", "cycle_days", "queue_days", "is_overdue")
+
+
+@query("q13_board", "select o_orderstatus, o_orderkey, row_number() over (partition by o_orderstatus order by o_orderdate desc, o_orderkey) as place, count(*) over (partition by o_orderstatus) as cards from orders")
+def q13_board(spark: SparkSession, d: str) -> DataFrame:
+    """Q13: the cards of every state, the latest first, with their number."""
+    return Q.board(table(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_orderdate"), "o_orderstatus", [F.desc("o_orderdate"), F.asc("o_orderkey")], ["o_orderkey", "o_orderdate"]).drop("o_orderdate")
+
+
+@query("q14_stage_queue", _DUE + " select o_orderkey, queue_days as days, row_number() over (order by queue_days desc, o_orderkey) as place from h where o_orderstatus = 'O' and lower(o_orderpriority) = '1-urgent'")
+def q14_stage_queue(spark: SparkSession, d: str) -> DataFrame:
+    """Q14: one person's rows of a stage, the longest waiting first."""
+    rows = Q.with_age_columns(_dated(spark, d), "o_orderdate", "ended", "due", F.col("o_orderstatus") == "O", F.lit(_AS_OF).cast("date"))
+    return Q.stage_queue(rows, "o_orderstatus", "O", "queue_days", "o_orderkey", "o_orderpriority", "1-URGENT")
+
+
+@query("q15_reviews_due", "select o_orderkey, due, abs(n) as days, case when n < 0 then 'overdue' else 'due' end as status from (select o_orderkey, o_orderdate::date + 365 as due, date_diff('day', date '1998-06-01', o_orderdate::date + 365) as n from orders) where n <= 90")
+def q15_reviews_due(spark: SparkSession, d: str) -> DataFrame:
+    """Q15: reviews due within 90 days, and those overdue."""
+    rows = table(spark, d, "orders").select("o_orderkey", F.date_add(F.to_date("o_orderdate"), 365).alias("due"))
+    return Q.reviews_due(rows, "o_orderkey", "due", F.lit(_AS_OF).cast("date"), 90)
+
+
 @query(
     "q6_month_over_month",
     """with m as (select date_trunc('month', o_orderdate)::date as month, count(*) as n from orders group by 1), a as (select unnest(generate_series(min(month), max(month), interval 1 month))::date as month from m),
@@ -211,3 +283,44 @@ def q11_pivot(spark: SparkSession, d: str) -> DataFrame:
     """Q11: groups against states."""
     rows = table(spark, d, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).count().fillna(0)
     return rows.withColumnsRenamed({"F": "f", "O": "o", "P": "p"})
+
+
+@query("q11_leaders", "select o_custkey, count(*) as n from orders group by 1 order by n desc, o_custkey limit 10")
+def q11_leaders(spark: SparkSession, d: str) -> DataFrame:
+    """Q11: the ten customers with most orders."""
+    return Q.leaders(table(spark, d, "orders"), "o_custkey", 10)
+
+
+@query("q11_by_month", "select date_trunc('month', o_orderdate)::date as month, o_orderstatus, count(*) as n from orders group by 1, 2")
+def q11_by_month(spark: SparkSession, d: str) -> DataFrame:
+    """Q11: rows by month and state."""
+    return table(spark, d, "orders").groupBy(F.trunc("o_orderdate", "month").alias("month"), "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+_ENTRY = "'- **' || control_id || '**' || case when length(control_name) > 0 then ' | ' || control_name else '' end || ' | ' || coalesce(control_description, '') || case when length(baseline) > 0 then chr(10) || '  - *baseline*: ' || baseline else '' end"
+
+
+@query("e17_reference_text", f"with l as (select coalesce(extraction_source, 'Ungrouped') as dom, row_id as o, {_ENTRY} as line from control_row), g as (select dom, min(o) as f, '### ' || dom || chr(10) || string_agg(line, chr(10) order by o) as t from l group by 1) select '# Controls' || chr(10) || chr(10) || string_agg(t, chr(10) || chr(10) order by f) as content from g")
+def e17_reference_text(spark: SparkSession, d: str) -> DataFrame:
+    """The reference of all controls by domain."""
+    rows = table(spark, d, "control_row").select(F.col("row_id").alias("ord"), F.col("extraction_source").alias("domain"), F.col("control_id").alias("id"), F.col("control_name").alias("title"), F.col("control_description").alias("description"), "baseline")
+    return E.reference_text(rows, "Controls", ("baseline",))
+
+
+_value = lambda c: f"trim(coalesce({c}, ''), ' ')"
+_RENDERED = f"""with v as (select row_id, {_value('control_id')} as a, {_value('control_name')} as b, {_value('baseline')} as c from control_row), e as (
+  select row_id, 'row_as_heading' as mode, 0 as k, 'heading' as kind, 2 as level, a as text from v union all select row_id, 'row_as_heading', 1, 'paragraph', null, case when b <> '' then 'control_name: ' || b else '' end from v union all select row_id, 'row_as_heading', 2, 'paragraph', null, case when c <> '' then 'baseline: ' || c else '' end from v
+  union all select row_id, 'key_value', 0, 'paragraph', null, case when a <> '' then 'control_id: ' || a else '' end from v union all select row_id, 'key_value', 1, 'paragraph', null, case when b <> '' then 'control_name: ' || b else '' end from v union all select row_id, 'key_value', 2, 'paragraph', null, case when c <> '' then 'baseline: ' || c else '' end from v
+  union all select row_id, 'table', 0, 'table', null, '| ' || replace(a, '|', '\\|') || ' | ' || replace(b, '|', '\\|') || ' | ' || replace(c, '|', '\\|') || ' |' from v union all select row_id, 'list', 0, 'list', null, concat_ws(' - ', nullif(a, ''), nullif(b, ''), nullif(c, '')) from v union all select row_id, 'prose', 0, 'paragraph', null, concat_ws(' ', nullif(a, ''), nullif(b, ''), nullif(c, '')) from v)
+select mode, row_id, row_number() over (partition by mode, row_id order by k) - 1 as pos, kind, level::bigint as level, text from e where text <> ''"""
+
+
+@query("k21_rendered_rows", _RENDERED)
+def k21_rendered_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a sheet as elements, in each of the five ways."""
+    rows = table(spark, d, "control_row")
+    frames = [E.render_rows(rows, "row_id", ("control_id", "control_name", "baseline"), m).withColumn("mode", F.lit(m)) for m in E.MODES]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

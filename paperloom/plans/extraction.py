@@ -110,6 +110,16 @@ def _paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return rows.where(F.length(F.trim("text")) > 0)
 
 
+def _mentioned_context(spark: SparkSession, d: str) -> DataFrame:
+    """The paragraphs around the first mention of each control."""
+    from paperloom.operators import validation as V
+
+    rows = _paragraphs(spark, d).where("location = 'body'").select("package_name", "copy_no", "para_index", F.trim("text").alias("text"))
+    seen = rows.select("package_name", "copy_no", "para_index", F.explode(C.control_ids(F.col("text"))).alias("control_id"))
+    first = seen.groupBy("control_id").agg(F.min(F.struct("package_name", "copy_no", "para_index")).alias("_f")).select("control_id", "_f.package_name", "_f.copy_no", F.col("_f.para_index").alias("at"))
+    return V.source_context(rows, first, ["package_name", "copy_no"], "para_index")
+
+
 @query("c1_control_ids", f"with p as ({_P}) select copy_no, package_name, location, para_index, array_to_string(regexp_extract_all(t, '{_ID}'), ', ') as ids from p where regexp_matches(t, '{_ID}')")
 def c1_control_ids(spark: SparkSession, d: str) -> DataFrame:
     """The control identifiers of every paragraph."""
@@ -247,3 +257,14 @@ def x5_pattern_counts(spark: SparkSession, d: str) -> DataFrame:
 def r5_bad_ids(spark: SparkSession, d: str) -> DataFrame:
     """Identifiers that no pattern matches as a whole."""
     return table(spark, d, "control_row").where(~F.trim("control_id").rlike(f"^(?:{ANY_CONTROL_ID})$")).select("row_id", "control_id")
+
+
+@query(
+    "c7_bodies",
+    f"""with p as ({_P}), a as (select copy_no, package_name, location, para_index, t, regexp_extract_all(t, '{_ID}')[1] as id from p where regexp_matches(t, '{_ID}')), b as (select *, regexp_replace(substr(t, instr(t, id) + length(id)), '^{_BASE}', '') as r from a)
+    select copy_no, package_name, location, para_index, id as control_id, trim(case when regexp_matches(r, '^\\s*[-–—]\\s*[^\\n]+') then regexp_replace(r, '^\\s*[-–—]\\s*[^\\n]+', '') when regexp_matches(r, '{_BASE}') then regexp_extract(r, '(?s)^.*?{_BASE}(.*)$', 2) else r end) as body from b""",
+)
+def c7_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """The paragraphs with an identifier, without it, its baseline and its name."""
+    rows = _paragraphs(spark, d).withColumn("text", F.trim("text")).withColumn("control_id", F.try_element_at(C.control_ids(F.col("text")), F.lit(1))).where("control_id is not null")
+    return rows.select(*_PLACE, "para_index", "control_id", C.strip_prefix(F.col("text"), F.col("control_id")).alias("body"))

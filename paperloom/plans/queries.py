@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paperloom.operators import reconcile, timestamps
-from paperloom.plans import compare, extraction, incremental, records, review, structure
+from paperloom.plans import compare, extraction, incremental, inventory, records, review, structure
 from paperloom.session import table
 
 
@@ -26,7 +26,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.paragraph_differences(table(spark, sf_dir, "paragraph"), table(spark, sf_dir, "paragraph_diff"))
 
 
-_FAMILIES = (structure.R, records.R, extraction.R, review.R, compare.R, incremental.R)
+_FAMILIES = (structure.R, records.R, extraction.R, review.R, inventory.R, compare.R, incremental.R)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f.__name__: f for f in (p3_found, p3_dates, p5_found)},
     **{name: f for family in _FAMILIES for name, f in family.queries.items()},

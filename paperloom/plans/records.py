@@ -262,3 +262,74 @@ def z2_freshness(spark: SparkSession, d: str) -> DataFrame:
 def b18_truncated(spark: SparkSession, d: str) -> DataFrame:
     """Descriptions cut at the end of a sentence."""
     return table(spark, d, "control_row").where("control_description is not null").select("row_id", T.truncate_at_sentence(F.col("control_description"), 300).alias("text"))
+
+
+@query(
+    "f12_cleaned_documents",
+    EL + """, w as (select *, upper(style) like 'TOC%' as toc, coalesce(regexp_matches(trim(text, ' '), '^Page\\s+[0-9]+(\\s+of\\s+[0-9]+)?$', 'i') or regexp_matches(trim(text, ' '), '^[0-9]+$') or regexp_matches(trim(text, ' '), '^-\\s*[0-9]+\\s*-$'), false) as num from el),
+    a as (select *, case when toc then 'table_of_contents' when num then 'page_numbers' end as gone from w),
+    b as (select *, case when gone is null then trim(regexp_replace(regexp_replace(text, 'in line with the', '', 'gi'), '  +', ' ', 'g')) else text end as t2 from a),
+    c as (select *, case when gone is null and fake then case when regexp_matches(t2, '^[0-9]+\\.[0-9]+\\.[0-9]+\\s+') then 3 when regexp_matches(t2, '^(?:[0-9]+\\.0\\s+|[IVXLC]+\\.\\s+)') then 1 else 2 end end as fl from b),
+    d as (select *, case when gone is not null then level when fl is not null and not regexp_matches(style, '^Heading [0-9]$') and lower(style) not like 'policyhead_' then fl when gone is null and regexp_matches(style, '^Heading [0-9]$') then right(style, 1)::int when gone is null and lower(style) like 'policyhead_' then right(style, 1)::int else level end as l2 from c),
+    e as (select *, gone is null and l2 is not null and contains(lower(trim(t2, ' ')), 'glossary') as aim from d),
+    f as (select *, """ + ", ".join(f"max(case when aim and l2 = {k} then seq end) over z as a{k}, max(case when l2 <= {k} then seq end) over z as c{k}" for k in (1, 2, 3, 4)) + """ from e window z as (partition by doc_id order by seq rows between unbounded preceding and current row))
+    select doc_id, seq, t2 as text from f where gone is null and not (coalesce(a1 = c1, false) or coalesce(a2 = c2, false) or coalesce(a3 = c3, false) or coalesce(a4 = c4, false))""",
+)
+def f12_cleaned_documents(spark: SparkSession, d: str) -> DataFrame:
+    """all rewrites of a document in their fixed order."""
+    from paperloom.plans.structure import CUSTOM
+
+    rows = elements(spark, d).withColumns({"location": F.lit("body"), "rejected": F.col("text"), "header": F.array().cast("array<string>"), "runs": F.array().cast("array<struct<text:string,italic:boolean>>")})
+    kept, _ = W.clean(rows, phrases=("in line with the",), custom=CUSTOM, contains=("glossary",))
+    return _long(kept, "doc_id", "seq", "text")
+
+
+@query(
+    "j9_pairs_as_text",
+    f"""with s as (select * from (values {_SITE_ROWS}) t(ord, name, url)), d as (select doc_id, {_SOURCE_KEY} k from documents)
+    select d.doc_id, coalesce(string_agg(name || ' = ' || url, '; ' order by ord), '') as pairs from d left join s on length(k) > 0 and (contains(k, name) or contains(name, k)) and not contains(url, '_ERROR') group by 1""",
+)
+def j9_pairs_as_text(spark: SparkSession, d: str) -> DataFrame:
+    """All matching entries without errors, each as ``name = value``."""
+    rows = table(spark, d, "documents").select("doc_id", F.lower(F.trim(F.regexp_replace("source", r"[_\-\s]+", " "))).alias("_k"))
+    found = J.list_values(rows, "_k", _sites(spark), "name", "url", "ord", "name")
+    return found.select("doc_id", F.array_join("found", "; ").alias("pairs"))
+
+
+@query(
+    "j6_tags",
+    f"""with s as (select * from (values {_SITE_ROWS}) t(ord, name, url)), d as (select doc_id, lower(source) as n1, replace(lower(source), '_', ' ') as n2 from documents),
+    m as (select doc_id, coalesce((select min_by(url, ord) from s where name = n1), (select min_by(url, ord) from s where name = n2), (select min_by(url, ord) from s where length(n1) > 0 and (contains(n1, name) or contains(name, n1)))) as u from d)
+    select doc_id, case when u is null then 'Corpus' else u || ', Corpus' end as tags from m""",
+)
+def j6_tags(spark: SparkSession, d: str) -> DataFrame:
+    """The tags of the equal name, else of the name with blanks, else of the first that contains it or lies in it."""
+    rows = table(spark, d, "documents").select("doc_id", "source")
+    entries = _sites(spark).select("ord", "name", F.array("url").alias("tags"))
+    found = J.tags_of(rows, "source", entries, "name", "tags", "ord", F.array(F.lit("Corpus")))
+    return found.select("doc_id", F.array_join("tags", ", ").alias("tags"))
+
+
+_STEM = "lower(regexp_replace(regexp_replace(filename, '\\.[^.]*$', ''), '(_fixed|_optimized|_backup)$', '', 'i'))"
+
+
+@query(
+    "j11_resolved_parents",
+    f"""with m as (select distinct lower(filename) as part, lower(policy_key) as parent from documents where contains(filename, ' - ')), u as (select part, min(parent) as parent from m group by 1)
+    select doc_id, coalesce(u.parent, split_part({_STEM}, ' - ', 1)) as parent, case when u.parent is not null then 'manifest' else 'name' end as origin from documents d left join u on lower(d.filename) = u.part""",
+)
+def j11_resolved_parents(spark: SparkSession, d: str) -> DataFrame:
+    """The parent of a part from the manifest of parts, else from its name."""
+    docs = table(spark, d, "documents").select("doc_id", "filename", "policy_key")
+    manifest = docs.where(F.contains("filename", F.lit(" - "))).select(F.col("filename").alias("part"), F.col("policy_key").alias("parent"))
+    return J.resolved_parents(docs, "filename", manifest).select("doc_id", "parent", "origin")
+
+
+@query(
+    "j12_profiles_of_parents",
+    f"""with k as (select distinct lower(regexp_replace(regexp_replace(filename, '\\.[^.]*$', ''), '(_fixed|_optimized|_backup)$', '', 'i')) as k, doc_type from document_profile), g as (select k, min(doc_type) as doc_type from k group by 1)
+    select doc_id, g.doc_type from documents d left join g on {_STEM} = g.k""",
+)
+def j12_profiles_of_parents(spark: SparkSession, d: str) -> DataFrame:
+    """The profile of a document by the stem of its file name."""
+    return J.by_stem(table(spark, d, "documents").select("doc_id", "filename"), "filename", table(spark, d, "document_profile"), "filename", "doc_type").select("doc_id", "doc_type")

@@ -10,7 +10,7 @@ from paperloom.operators import controls as C
 from paperloom.operators import mapping as M
 from paperloom.operators import packing as B
 from paperloom.operators import validation as V
-from paperloom.plans.extraction import _ID, _P, _paragraphs
+from paperloom.plans.extraction import _ID, _P, _mentioned_context, _paragraphs
 from paperloom.plans.registry import Registry
 from paperloom.plans.structure import EL, elements
 from paperloom.session import table
@@ -60,7 +60,21 @@ def b13_batches(spark: SparkSession, d: str) -> DataFrame:
     return B.batches(table(spark, d, "part"), "p_brand", "p_partkey", 50)
 
 
-@query("b15_family_chunks")
+# Units are families, or of larger ones the runs of one identifier with its enhancements; a walk puts them into chunks.
+_FAMILY_CHUNKS = """with recursive m as (select source_file as collection, regexp_extract(control_id, '^([A-Z]+)', 1) as family, row_id as ord, control_id as id, coalesce(length(control_description), 0) as chars, regexp_extract(control_id, '^([A-Za-z&]+)[-. ]?0*([0-9]*)(.*)$', 1) as p,
+  coalesce(try_cast(regexp_extract(control_id, '^([A-Za-z&]+)[-. ]?0*([0-9]*)(.*)$', 2) as int), 0) as n, list_transform(regexp_extract_all(regexp_extract(control_id, '^([A-Za-z&]+)[-. ]?0*([0-9]*)(.*)$', 3), '[0-9]+'), lambda x: x::int) as e from control_row),
+f as (select collection, family, min(ord) as first, count(*) > 30 or sum(chars) > 7000 as large from m group by 1, 2),
+o as (select m.*, first, large, trim(regexp_replace(id, '\\(.*$', '')) as base, row_number() over (partition by m.collection order by first, m.family, p, n, e, id, ord) as k from m join f on m.collection = f.collection and m.family = f.family),
+s as (select *, case when family is distinct from lag(family) over (partition by collection order by k) or (large and base is distinct from lag(base) over (partition by collection order by k)) then 1 else 0 end as new from o),
+t as (select *, sum(new) over (partition by collection order by k) as unit from s),
+u as (select collection, unit, any_value(family) as family, bool_or(large) as large, count(*) as members, sum(chars) as chars from t group by 1, 2),
+w as (select collection, unit, family, large, 0::bigint as chunk_no, members, chars::hugeint as chars from u where unit = 1
+  union all select u.collection, u.unit, u.family, u.large, w.chunk_no + b.b, u.members + case when b.b = 1 then 0 else w.members end, u.chars + case when b.b = 1 then 0 else w.chars end
+  from w join u on u.collection = w.collection and u.unit = w.unit + 1, lateral (select case when u.large <> w.large or (u.large and u.family <> w.family) or w.members + u.members > 30 or w.chars + u.chars > 7000 then 1 else 0 end as b) b)
+select collection, chunk_no, string_agg(family, '+' order by f_at) as families, max(m)::bigint as members, max(c)::bigint as chars from (select collection, chunk_no, family, min(unit) as f_at, max(members) as m, max(chars) as c from w group by 1, 2, 3) group by 1, 2"""
+
+
+@query("b15_family_chunks", _FAMILY_CHUNKS)
 def b15_family_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Families of identifiers packed under two budgets, one collection for each file."""
     rows = table(spark, d, "control_row").select(
@@ -112,10 +126,36 @@ def m5_full_mapping(spark: SparkSession, d: str) -> DataFrame:
     return M.full_mapping(_merged(spark, d))
 
 
-@query("m3_completeness", "select distinct c_custkey as k, 'missing' as state from customer where c_custkey not in (select o_custkey from orders) union all select distinct o_custkey, 'extra' from orders where o_custkey not in (select c_custkey from customer)")
+@query("m3_completeness", "with a as (select distinct filename as k from documents), b as (select distinct filename as k from tracked_change where filename is not null union select distinct document from acronym_per_document where document like 'P%') select k, 'missing' as state from a where k not in (select k from b) union all select k, 'extra' from b where k not in (select k from a)")
 def m3_completeness(spark: SparkSession, d: str) -> DataFrame:
-    """M3: expected keys without answer, and answers without expected key."""
-    return M.completeness(table(spark, d, "customer").select(F.col("c_custkey").alias("k")), table(spark, d, "orders").select(F.col("o_custkey").alias("k")), "k")
+    """M3: expected names without answer, and answers without expected name."""
+    found = table(spark, d, "tracked_change").select(F.col("filename").alias("k")).unionByName(table(spark, d, "acronym_per_document").where("document like 'P%'").select(F.col("document").alias("k"))).where("k is not null")
+    return M.completeness(table(spark, d, "documents").select(F.col("filename").alias("k")), found, "k")
+
+
+@query("m3_stale_results", "select distinct regexp_replace(filename, '\\.[^.]*$', '') || '_result.json' as name from documents where regexp_replace(filename, '\\.[^.]*$', '') not in (select regexp_replace(filename, '\\.[^.]*$', '') from tracked_change where filename is not null)")
+def m3_stale_results(spark: SparkSession, d: str) -> DataFrame:
+    """M3: result files without a batch."""
+    results = table(spark, d, "documents").select(F.concat(F.regexp_replace("filename", r"\.[^.]*$", ""), F.lit("_result.json")).alias("name"))
+    return M.stale_results(table(spark, d, "tracked_change").where("filename is not null").select(F.col("filename").alias("name")), results)
+
+
+@query(
+    "m6_coverage_check",
+    _MATCHES + """, c as (select * from g where confidence in ('high', 'medium')), s as (select distinct s_suppkey as k from supplier), t as (select distinct p_partkey as k from part),
+    a as (select 'source' as side, (select count(*) from s) as total, (select count(distinct source_id) from c) as covered, (select count(*) from s where k not in (select source_id from c)) as uncovered union all select 'target', (select count(*) from t), (select count(distinct target_id) from c), (select count(*) from t where k not in (select target_id from c)))
+    select side, total, covered, uncovered, covered + uncovered = total as consistent, covered / nullif(total, 0)::double as covered_share from a""",
+)
+def m6_coverage_check(spark: SparkSession, d: str) -> DataFrame:
+    """M6: whether covered and uncovered identifiers make up each side."""
+    return M.coverage_check(_merged(spark, d), table(spark, d, "supplier").select(F.col("s_suppkey").alias("source_id")), table(spark, d, "part").select(F.col("p_partkey").alias("target_id")))
+
+
+@query("m8_first_of_sources", "select control_id, row_id, extraction_source from (select *, row_number() over (partition by control_id order by case extraction_source when 'table' then 0 else 1 end, row_id) as n from (select control_id, row_id, extraction_source from control_row where control_id is not null and extraction_source is not null)) where n = 1")
+def m8_first_of_sources(spark: SparkSession, d: str) -> DataFrame:
+    """M8: the first row of each identifier, those from tables before the others."""
+    rows = table(spark, d, "control_row").where("control_id is not null and extraction_source is not null").select("control_id", "row_id", "extraction_source")
+    return M.first_of_sources([rows.where("extraction_source = 'table'"), rows.where("extraction_source <> 'table'")], "control_id", "row_id")
 
 
 @query("m7_broad_targets", _MATCHES + ", c as (select target_id, count(*) as sources, count(distinct source_id % 7) as families, count(case when confidence = 'medium' then 1 end) as medium from g where confidence in ('high', 'medium') group by 1), f as (select *, concat_ws(', ', case when sources >= 15 then 'very broad' when sources >= 10 then 'broad' end, case when families >= 3 then 'cross family' end, case when medium = sources and medium >= 3 then 'medium only' end) as flags from c) select * from f where flags <> ''")
@@ -202,10 +242,7 @@ def v6_flag_counts(spark: SparkSession, d: str) -> DataFrame:
 )
 def v7_source_context(spark: SparkSession, d: str) -> DataFrame:
     """V7: the paragraphs around the first mention of each control."""
-    rows = _paragraphs(spark, d).where("location = 'body'").select("package_name", "copy_no", "para_index", F.trim("text").alias("text"))
-    seen = rows.select("package_name", "copy_no", "para_index", F.explode(C.control_ids(F.col("text"))).alias("control_id"))
-    first = seen.groupBy("control_id").agg(F.min(F.struct("package_name", "copy_no", "para_index")).alias("_f")).select("control_id", "_f.package_name", "_f.copy_no", F.col("_f.para_index").alias("at"))
-    return V.source_context(rows, first, ["package_name", "copy_no"], "para_index")
+    return _mentioned_context(spark, d)
 
 
 @query("r1_confirmed", _SCORED + " select row_id, coalesce(status, '(none)') as status from fl where status is distinct from 'Wrong-FalsePositive'")
@@ -238,3 +275,33 @@ def r6_flag_precision(spark: SparkSession, d: str) -> DataFrame:
 def r7_file_accuracy(spark: SparkSession, d: str) -> DataFrame:
     """Verdicts by file."""
     return V.file_accuracy(_scored(spark, d))
+
+
+@query("r4_flag_correlation", _SCORED + " select count(*) as errors, count(case when list_contains(flags, 'TABLE_SOURCE') then 1 end) as with_flag, count(case when list_contains(flags, 'TABLE_SOURCE') then 1 end) / nullif(count(*), 0)::double as share from fl where trim(status) = 'Wrong-FalsePositive'")
+def r4_flag_correlation(spark: SparkSession, d: str) -> DataFrame:
+    """How many of the wrong records carry a flag."""
+    return V.flag_correlation(_scored(spark, d), (V.WRONG,), "TABLE_SOURCE")
+
+
+@query("r5_missing_patterns", "with m as (select source_file, section_header from control_row where not contains(coalesce(control_id, ''), '-')), u as (select 'file' as kind, trim(source_file, ' ') as value from m union all select 'section', lower(trim(section_header, ' ')) from m) select kind, value, count(*) as n from u where value <> '' group by 1, 2")
+def r5_missing_patterns(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose identifier is not in the usual style, by file and by section."""
+    return V.missing_patterns(table(spark, d, "control_row").where(~F.contains(F.coalesce("control_id", F.lit("")), F.lit("-"))))
+
+
+@query("k19_suggestions", _SCORED + f""", a as (select 'suspect_section' as type, s as value, count(*) as n from fl where status = 'Wrong-FalsePositive' group by 2 having count(*) >= 3), b as (select count(case when list_contains(flags, 'TABLE_SOURCE') then 1 end) as n from fl where trim(status) = 'Wrong-FalsePositive'),
+    cp as (select 'control_id_pattern' as type, trim(control_id, ' ') as value, count(*) as n from control_row where not regexp_full_match(trim(control_id, ' '), '{_ID}') group by 2)
+    select * from a union all select 'guidance_keywords', 'GUIDANCE_IN_DESC', n from b where n >= 3 union all select * from cp where value <> ''""")
+def k19_suggestions(spark: SparkSession, d: str) -> DataFrame:
+    """What the verdicts suggest to change."""
+    from paperloom.plans.extraction import r5_bad_ids
+
+    rows = _scored(spark, d)
+    patterns = V.error_patterns(rows, F.lower(F.trim(F.coalesce("section_header", F.lit("")))))
+    return V.suggestions(patterns, V.flag_correlation(rows, (V.WRONG,), "TABLE_SOURCE"), r5_bad_ids(spark, d))
+
+
+@query("b5_parts_as_they_are", "select doc_id, 1::bigint as part_no, length(text)::bigint as chars from documents where text is not null")
+def b5_parts_as_they_are(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that are passed on uncut."""
+    return B.passed_through(table(spark, d, "documents").where("text is not null"), "doc_id", "text")

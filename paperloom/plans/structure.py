@@ -257,12 +257,6 @@ z as (select p.doc_id, t.filename, appendix_chars, greatest(length(t.text), 1) a
   + (contains(lower(t.text), 'workflow'))::int + (contains(lower(t.text), 'response process'))::int + (contains(lower(t.text), 'playbook'))::int as hits from p join t on p.doc_id = t.doc_id)""".format(kind=section_kind_sql("heading"))
 
 
-@query("g10_document_types", _EXTENTS + _TYPE_SQL + " select doc_id, case when 100 * appendix_chars >= 60 * total then 'D' when hits >= 2 then 'C' else 'B' end as doc_type, cast(hits as bigint) as procedure_hits from z")
-def g10_document_types(spark: SparkSession, d: str) -> DataFrame:
-    """The type of every document by appendix share, table share (none here) and procedure words."""
-    return G.document_types(H.section_extents(elements(spark, d)), table(spark, d, "documents"))
-
-
 @query(
     "g13_search_terms",
     """select doc_id, cast(len(regexp_extract_all(upper(t), '\\bAC\\b')) as bigint) as term_ac, cast(len(regexp_extract_all(upper(t), '\\bCLOUD\\b')) as bigint) as term_cloud, cast(len(regexp_extract_all(upper(t), '\\bAUDIT\\b')) as bigint) as term_audit
@@ -273,18 +267,6 @@ def g13_search_terms(spark: SparkSession, d: str) -> DataFrame:
     return G.search_terms(table(spark, d, "documents").where("text is not null"), ("AC", "Cloud", "Audit"))
 
 
-_RANKED = _EXTENTS + f""", k as (select x.doc_id, any_value(el.filename) as filename, count(distinct case when {section_kind_sql('heading')} <> 'none' then {section_kind_sql('heading')} end) as kinds from x join el on x.doc_id = el.doc_id group by 1),
-f as (select doc_id, count(case when fake then 1 end) as fakes, count(*) as paragraphs, sum(length(text)) as chars from el group by 1),
-sc as (select k.doc_id, filename, (5 - kinds) * 1.5 + fakes * 1.0 + round_even(paragraphs / 30.0, 1) * 0.5 + case when chars > 36000 then 3 else 0 end as score from k join f on k.doc_id = f.doc_id)"""
-
-
-@query("a0_ranked_profile", _RANKED + " select doc_id, filename, cast(round(score * 100) as bigint) as score_100, row_number() over (order by cast(round(score * 100) as bigint) desc, filename) as priority_rank from sc")
-def a0_ranked_profile(spark: SparkSession, d: str) -> DataFrame:
-    """G12 and the ranking: documents by how much work they need."""
-    rows = elements(spark, d, "filename")
-    return G.ranked(G.priority_scores(rows, H.section_extents(rows)))
-
-
 @query(
     "g17_corpus_summary",
     _G1 + """, s as (select count(*) as documents, sum(chars) as chars, sum(words) as words, sum(paragraphs) as paragraphs, count(case when over_limit then 1 end) as over_limit, max(chars) as largest from p)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import zipfile
 from collections.abc import Mapping, Sequence
 from xml.sax.saxutils import escape, quoteattr
@@ -10,6 +11,8 @@ from xml.sax.saxutils import escape, quoteattr
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.sources.office import workbook_rows
+
 #: Rows of a sheet; a workbook is for reading by people, a larger table belongs into CSV or Parquet.
 SHEET_ROWS = 1_048_575
 
@@ -24,9 +27,19 @@ def write_json_lines(df: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).json(path)
 
 
-def profile_envelope(profiles: DataFrame, version: str) -> DataFrame:
-    """One JSON text with version, count and list. For small collections: the list is one value."""
-    return profiles.agg(F.to_json(F.struct(F.lit(version).alias("profiler_version"), F.count(F.lit(1)).alias("document_count"), F.collect_list(F.struct(*profiles.columns)).alias("profiles"))).alias("value"))
+def envelope_lines(profiles: DataFrame, key: str, version: str) -> DataFrame:
+    """(ord, key, value): the lines of one JSON text with version, count and list, one profile a line; sorted by ord and key
+    and written in order, they are the envelope, and no task holds the list."""
+    total = profiles.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"))
+    opening = total.select(F.lit(0).alias("ord"), F.lit(None).cast(dict(profiles.dtypes)[key]).alias("key"), F.concat(F.lit('{"profiler_version": '), F.lit(json.dumps(version)), F.lit(', "document_count": '), F.col("n").cast("string"), F.lit(', "profiles": [')).alias("value"))
+    body = profiles.select(F.col(key).alias("key"), F.to_json(F.struct(*profiles.columns), {"ignoreNullFields": "false"}).alias("_j")).join(F.broadcast(total.select(F.col("first").alias("key"), F.lit(True).alias("_first"))), "key", "left")
+    lines = body.select(F.lit(1).alias("ord"), "key", F.concat(F.when(F.col("_first"), "").otherwise(","), "_j").alias("value"))
+    return opening.unionByName(lines).unionByName(total.select(F.lit(2).alias("ord"), F.lit(None).cast(dict(profiles.dtypes)[key]).alias("key"), F.lit("]}").alias("value")))
+
+
+def write_envelope(profiles: DataFrame, key: str, version: str, folder: str) -> None:
+    """The envelope as text parts that, one after the other by name, are one JSON text. ``key`` must be unique."""
+    envelope_lines(profiles, key, version).repartitionByRange("ord", "key").sortWithinPartitions("ord", "key").select("value").write.mode("overwrite").text(folder)
 
 
 def write_texts(files: DataFrame, folder: str) -> None:
@@ -75,7 +88,9 @@ def workbook(sheets: Mapping[str, Sequence[Sequence[object]]]) -> bytes:
 
 
 def write_workbook(frames: Mapping[str, DataFrame], path: str) -> None:
-    """Frames as the sheets of one workbook, empty ones left out; a frame beyond a sheet's rows is refused."""
+    """Frames as the sheets of one workbook, in their order, empty ones left out; a frame beyond a sheet's rows is refused."""
+    if not frames:
+        raise ValueError("a workbook needs a sheet")
     sheets: dict[str, list[list[object]]] = {}
     for name, df in frames.items():
         rows = df.limit(SHEET_ROWS + 1).collect()
@@ -83,8 +98,55 @@ def write_workbook(frames: Mapping[str, DataFrame], path: str) -> None:
             raise ValueError(f"{name} has more rows than a sheet; write it as CSV")
         if rows:
             sheets[name] = [list(df.columns), *[list(r) for r in rows]]
-    spark: SparkSession = next(iter(frames.values())).sparkSession
+    _save(next(iter(frames.values())).sparkSession, path, workbook(sheets))
+
+
+def _save(spark: SparkSession, path: str, content: bytes) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
-    out.write(bytearray(workbook(sheets)))
+    out.write(bytearray(content))
     out.close()
+
+
+def append_to_workbook(rows: DataFrame, path: str, sheet: str, content: bytes | None) -> None:
+    """Rows after those that a sheet of a workbook has; ``content`` is the book as it is, None for a new one. Columns go by
+    the sheet's header; a book is never read back half written, since it is replaced as a whole."""
+    sheets: dict[str, list[list[object]]] = {}
+    for name, _, values in workbook_rows(content) if content else ():
+        sheets.setdefault(name, []).append(list(values))
+    head = [str(h) for h in sheets[sheet][0]] if sheet in sheets else list(rows.columns)
+    found = rows.limit(SHEET_ROWS + 1).collect()
+    if len(found) + len(sheets.get(sheet, ())) > SHEET_ROWS:
+        raise ValueError(f"{sheet} would have more rows than a sheet; write CSV")
+    sheets.setdefault(sheet, [list(head)]).extend([r.asDict().get(h) for h in head] for r in found)
+    _save(rows.sparkSession, path, workbook(sheets))
+
+
+def consolidated(spark: SparkSession, outputs: Mapping[str, str], order: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Sheets by name from the CSV files or folders that the steps wrote, those of ``order`` first (issues before all); files that
+    are not there are left out. What comes back goes into ``write_workbook``."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    there = {}
+    for name, path in outputs.items():
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if target.getFileSystem(hadoop).exists(target):
+            there[name] = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return {n: there[n] for n in [*[o for o in order if o in there], *[n for n in there if n not in order]]}
+
+
+def comparison_book(found: Mapping[str, DataFrame], revisions: DataFrame, comments: DataFrame, properties: DataFrame) -> dict[str, DataFrame]:
+    """The seven sheets of a comparison of two document sets from ``docdiff.compare_sets`` and the views of the packages."""
+    texts = found["texts"].withColumn("inline_ops", F.to_json("inline_ops"))
+    return {"Summary": found["pairs"], "Text": texts, "Tracked changes": revisions, "Comments": comments, "Metadata": properties, "Signals": found["signals"], "Tally": found["tally"]}
+
+
+def gap_book(merged: DataFrame, full: DataFrame, gaps: DataFrame) -> dict[str, DataFrame]:
+    """The sheets of a gap analysis: sources without covering target, targets without covering source, the full mapping."""
+    return {"Source unique": full.where("unique_to_source").select("source_id"), "Target unique": gaps, "Full mapping": full.drop("unique_to_source"), "Answers": merged}
+
+
+def conversion_book(stats: DataFrame, issues: DataFrame) -> dict[str, DataFrame]:
+    """The sheets of a conversion's log: every document, totals, and what went wrong."""
+    numbers = [c for c, t in stats.dtypes if t in ("int", "bigint", "double") and c != "doc_id"]
+    total = stats.agg(F.count(F.lit(1)).alias("documents"), *[F.sum(c).alias(c) for c in numbers])
+    return {"Documents": stats, "Totals": total.select(*[F.col(c).cast("double").alias(c) for c in total.columns]).unpivot([], total.columns, "label", "value"), "Issues": issues}

@@ -28,6 +28,8 @@ PARTS = "doc string, location string, idx int, accepted string, rejected string,
 REVISIONS = "doc string, location string, rev_type string, author string, date string, text string"
 COMMENTS = "doc string, comment_id string, parent_id string, author string, initials string, date string, anchor_text string, text string, resolved boolean"
 PROPERTIES = "doc string, category string, field string, value string"
+FLAGS = "doc string, nested_tables int, has_text_boxes boolean, has_tracked_changes boolean, has_comments boolean, has_images boolean, has_embedded_objects boolean, has_password_protection boolean, error string"
+LINKS = "doc string, seq int, target_url string, url_display_text string, url_type string"
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.docx", recursive: bool = False, exclude: Sequence[str] = ()) -> DataFrame:
@@ -93,6 +95,20 @@ class Package:
         walk(p, None)
         return out
 
+    def boxes(self, p: ET.Element, rejected: bool = False) -> list[str]:
+        """The texts of the paragraphs in a paragraph's text boxes; the copy for older programs is left out."""
+        found: list[ET.Element] = []
+
+        def walk(node: ET.Element) -> None:
+            for child in node:
+                if child.tag == f"{_W}txbxContent":
+                    found.extend(child.iter(f"{_W}p"))
+                elif not child.tag.endswith("}Fallback"):
+                    walk(child)
+
+        walk(p)
+        return [self.text(x, rejected) for x in found]
+
     def style(self, p: ET.Element) -> tuple[str, bool, float | None]:
         found = p.find(f"{_W}pPr/{_W}pStyle")
         return self.styles.get(found.get(f"{_W}val", "") if found is not None else "Normal", ("Normal", False, None))
@@ -131,6 +147,9 @@ def elements_of(doc: str, package: Package) -> list[dict]:
             tables += 1
         if row["kind"]:
             out.append(row)
+        for text in package.boxes(node) if node.tag == f"{_W}p" else ():
+            if text.strip():
+                out.append({"doc": doc, "seq": len(out), "kind": "textbox", "style": "Normal", "text": text, "bold_all": False, "bold_any": False, "bold_text": "", "error": None})
     return out
 
 
@@ -216,13 +235,44 @@ def properties_of(doc: str, package: Package) -> list[dict]:
     return [{"doc": doc, "category": a, "field": b, "value": c} for a, b, c in rows]
 
 
-_READERS = {"elements": (elements_of, ELEMENTS), "cells": (cells_of, CELLS), "parts": (parts_of, PARTS), "revisions": (revisions_of, REVISIONS), "comments": (comments_of, COMMENTS), "properties": (properties_of, PROPERTIES)}
+def flags_of(doc: str, package: Package) -> list[dict]:
+    """One row: tables in tables, and what a conversion loses or doubles."""
+    root, settings = package.xml("word/document.xml"), package.xml("word/settings.xml")
+
+    def depth(node: ET.Element, inside: bool) -> int:
+        table = node.tag == f"{_W}tbl"
+        return int(table and inside) + sum(depth(c, inside or table) for c in node)
+
+    tags = {n.tag for _, part in package.parts() for n in part.iter()}
+    return [{
+        "doc": doc, "nested_tables": depth(root, False) if root is not None else 0, "has_text_boxes": f"{_W}txbxContent" in tags, "has_tracked_changes": bool(tags & (_INSERTED | _DELETED)), "has_comments": f"{_W}commentReference" in tags or "word/comments.xml" in package.names,
+        "has_images": any(n.startswith("word/media/") for n in package.names), "has_embedded_objects": f"{_W}object" in tags or any(n.startswith("word/embeddings/") for n in package.names), "has_password_protection": settings is not None and settings.find(f"{_W}documentProtection") is not None, "error": None,
+    }]
+
+
+def links_of(doc: str, package: Package) -> list[dict]:
+    """Links of the body's paragraphs: addresses outside, anchors inside, and addresses that stand as plain text."""
+    out = []
+    for e in elements_of(doc, package):
+        linked = ""
+        for r in e.get("runs") or ():
+            if r["href"]:
+                linked += r["text"]
+                out.append({"doc": doc, "seq": e["seq"], "target_url": r["href"], "url_display_text": r["text"], "url_type": "internal_anchor" if r["href"].startswith("#") else "external"})
+        for url in re.findall(r"https?://[^\s<>\"')\]]+|www\.[^\s<>\"')\]]+", e.get("text") or ""):
+            if url not in linked:
+                out.append({"doc": doc, "seq": e["seq"], "target_url": url, "url_display_text": url, "url_type": "plain_text"})
+    return out
+
+
+_READERS = {"flags": (flags_of, FLAGS), "links": (links_of, LINKS), "elements": (elements_of, ELEMENTS), "cells": (cells_of, CELLS), "parts": (parts_of, PARTS), "revisions": (revisions_of, REVISIONS), "comments": (comments_of, COMMENTS), "properties": (properties_of, PROPERTIES)}
 
 
 def read_word(files: DataFrame, view: str) -> DataFrame:
-    """One view of all packages: elements, cells, parts, revisions, comments or properties.
+    """One view of all packages: elements, cells, parts, revisions, comments, properties, flags or links.
 
-    A package that cannot be read gives one element with its error, and nothing in the other views.
+    A package that cannot be read gives one row with its error in the views of elements and flags, and nothing in the
+    others; ``unreadable`` names all such packages.
     """
     function, schema = _READERS[view]
     names = [c.split(" ")[0] for c in re.split(r", (?![^<]*>)", schema)]
@@ -234,13 +284,18 @@ def read_word(files: DataFrame, view: str) -> DataFrame:
                 try:
                     rows += function(doc, Package(bytes(content)))
                 except (zipfile.BadZipFile, ET.ParseError, KeyError, AttributeError, ValueError) as e:
-                    if view == "elements":
+                    if "error" in names:
                         rows.append({"doc": doc, "seq": 0, "kind": "error", "error": f"{type(e).__name__}: {e}"})
             yield pd.DataFrame([{n: r.get(n) for n in names} for r in rows], columns=names).astype(object)
 
     return files.select("doc", "content").mapInPandas(run, schema)
 
 
+def unreadable(files: DataFrame) -> DataFrame:
+    """(filename, error) of the packages that cannot be read."""
+    return read_word(files, "flags").where("error is not null").select(F.col("doc").alias("filename"), "error")
+
+
 def _column(ref: str) -> int:
     n = 0
     for c in re.match(r"[A-Z]+", ref)[0]:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 from pyspark.sql.types import StructType
 
 
@@ -32,10 +34,18 @@ def idempotent_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def first_per_key(stream: DataFrame, keys: list[str], time: str, late: str) -> DataFrame:
-    """One row of each key within the time that late rows may take; the state older than that is dropped."""
+    """One row of each key: repeats of it are dropped as long as they come within the time that late rows may take.
+
+    ``late`` bounds the state: keys older than it are forgotten, and a repeat that comes later still passes again.
+    """
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
+def triggers(stream: DataFrame, state: Column, lock: Column, keys: list[str], time: str, late: str = "7 days") -> DataFrame:
+    """The changes that start an action: rows in the state whose lock is empty, each change (``keys``) once."""
+    return first_per_key(stream.where(state & (F.length(F.trim(F.coalesce(lock.cast("string"), F.lit("")))) == 0)), keys, time, late)
+
+
 def ready_rows(stream: DataFrame, ready: Column, done: Column) -> tuple[DataFrame, DataFrame]:
     """(to copy, to warn of): ready rows that are not done, and rows that are done without being ready."""
     return stream.where(ready & ~F.coalesce(done, F.lit(False))), stream.where(~F.coalesce(ready, F.lit(False)) & F.coalesce(done, F.lit(False)))
@@ -55,7 +65,53 @@ def session_counts(rows: DataFrame, time: str, keys: list[str], gap: str = "30 m
 
 def state_steps(rows: DataFrame, key: str, time: str, state: str) -> DataFrame:
     """(state, next, n): how often each state is followed by each other one, by key in order of time."""
-    from pyspark.sql import Window
-
     step = rows.withColumn("next", F.lead(state).over(Window.partitionBy(key).orderBy(time, state)))
     return step.where("next is not null").groupBy(F.col(state).alias("state"), "next").agg(F.count(F.lit(1)).alias("n"))
+
+
+def bad_steps(rows: DataFrame, key: str, time: str, state: str, allowed: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(key, time, state, next) of the changes that a state machine does not allow; staying in a state is allowed."""
+    step = rows.withColumn("next", F.lead(state).over(Window.partitionBy(key).orderBy(time, state))).where("next is not null")
+    table = F.create_map(*[x for k, v in allowed.items() for x in (F.lit(k), F.array(*[F.lit(y) for y in v]) if v else F.array().cast("array<string>"))])
+    fine = (F.col(state) == F.col("next")) | F.coalesce(F.array_contains(F.element_at(table, F.col(state)), F.col("next")), F.lit(False))
+    return step.where(~fine).select(key, time, F.col(state).alias("state"), "next")
+
+
+def state_machine(stream: DataFrame, key: str, time: str, state: str, allowed: Mapping[str, Sequence[str]], late: str = "7 days") -> DataFrame:
+    """(key, time, state, next, valid): every change of state on a stream, checked against a state machine.
+
+    The state kept for a key is its last state and the time of it; it is dropped when the watermark has passed that
+    time by ``late``. Rows of a key within one batch are taken in order of time.
+    """
+    kind, kept = dict(stream.dtypes), "state string, at timestamp"
+
+    def walk(keys: tuple, frames: Iterator[pd.DataFrame], memory: GroupState) -> Iterator[pd.DataFrame]:
+        if memory.hasTimedOut:
+            memory.remove()
+            return
+        last, at = memory.get if memory.exists else (None, None)
+        out = []
+        for when, now in sorted((w, s) for f in frames for w, s in zip(f[time], f[state], strict=True)):
+            if last is not None:
+                out.append((keys[0], when, last, now, now == last or now in allowed.get(last, ())))
+            last, at = now, when
+        memory.update((last, at))
+        memory.setTimeoutTimestamp(max(int(pd.Timestamp(at).timestamp() * 1000), memory.getCurrentWatermarkMs()) + 1 + int(pd.Timedelta(late).total_seconds() * 1000))
+        yield pd.DataFrame(out, columns=[key, time, "state", "next", "valid"])
+
+    marked = stream.select(key, time, state).withWatermark(time, late)
+    return marked.groupBy(key).applyInPandasWithState(walk, f"{key} {kind[key]}, {time} timestamp, state string, next string, valid boolean", kept, "append", "EventTimeTimeout")
+
+
+def versions(old: DataFrame, new: DataFrame, key: str, label: str) -> DataFrame:
+    """(key, label, changed): the labels of the new rows, and whether they differ from the old ones: writing only the
+    changed ones makes an update that may run again."""
+    joined = new.select(key, label).join(old.select(key, F.col(label).alias("_old")), key, "left")
+    return joined.select(key, label, (~F.col(label).eqNullSafe(F.col("_old"))).alias("changed"))
+
+
+def reminders(facts: DataFrame, key: str, open_rows: Column, since: str, as_of: Column, every: int = 7) -> DataFrame:
+    """(key, days, round): the open rows that a run at a day reminds of: those waiting for ``every`` days or more, and the
+    how many-th reminder it is; run again on the same day, it gives the same rows."""
+    days = F.date_diff(as_of, F.to_date(since)).cast("bigint")
+    return facts.where(open_rows).select(key, days.alias("days")).where(F.col("days") >= every).withColumn("round", F.floor(F.col("days") / every).cast("bigint"))

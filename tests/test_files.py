@@ -72,7 +72,9 @@ def test_text_files(spark, tmp_path):
     assert "ü" in "".join(f.read_text(encoding="utf-8") for f in (tmp_path / "j").glob("*.json"))
     sinks.write_csv(df, f"file://{tmp_path}/c", quote_all=True)
     assert spark.read.option("header", True).option("escape", '"').csv(f"file://{tmp_path}/c").where("t is not null").first()["t"] == 'ü "q"'
-    assert json.loads(sinks.profile_envelope(df, "1").first()["value"])["document_count"] == 2
+    sinks.write_envelope(df, "k", "1", f"file://{tmp_path}/e")
+    whole = json.loads("".join(f.read_text(encoding="utf-8") for f in sorted((tmp_path / "e").glob("part*.txt"))))
+    assert whole == {"profiler_version": "1", "document_count": 2, "profiles": [{"k": "a", "t": 'ü "q"'}, {"k": "b", "t": None}]}
     sinks.write_texts(spark.createDataFrame([("one.md", "# x\ny")], "file string, content string"), f"file://{tmp_path}/m")
     assert next((tmp_path / "m/file=one.md").glob("*.txt")).read_text() == "# x\ny\n"
     log = sinks.issue_log(df, "step", "k", "error", F.col("t"), F.lit("now"))
@@ -94,3 +96,65 @@ def test_streams_go_on_where_they_stopped(spark, tmp_path):
     spark.createDataFrame([(3, "c")], "id int, kind string").write.mode("append").parquet(source)
     run()
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_marks_links_and_text_boxes(spark, tmp_path):
+    box = "<w:p><w:r><w:t>around</w:t></w:r><w:r><w:pict><w:txbxContent>" + p("boxed") + "</w:txbxContent></w:pict></w:r></w:p>"
+    nested = "<w:tbl><w:tr><w:tc>" + TABLE + "</w:tc></w:tr></w:tbl>"
+    anchor = '<w:p><w:hyperlink w:anchor="there"><w:r><w:t>see there</w:t></w:r></w:hyperlink><w:r><w:t> and www.example.org/x or nothing</w:t></w:r></w:p>'
+    settings = f"<w:settings {W}><w:documentProtection/></w:settings>"
+    (tmp_path / "a.docx").write_bytes(package(box + nested + TRACKED + anchor, settings=settings))
+    (tmp_path / "bad.docx").write_bytes(b"no package")
+    docs = office.list_files(spark, str(tmp_path))
+    flags = {r["doc"]: r for r in office.read_word(docs, "flags").collect()}
+    a = flags["a.docx"]
+    assert (a["nested_tables"], a["has_text_boxes"], a["has_tracked_changes"], a["has_password_protection"]) == (1, True, True, True)
+    assert not (a["has_images"] or a["has_comments"] or a["has_embedded_objects"]) and "BadZipFile" in flags["bad.docx"]["error"]
+    assert [r["filename"] for r in office.unreadable(docs).collect()] == ["bad.docx"]
+    links = {(r["url_type"], r["target_url"], r["url_display_text"]) for r in office.read_word(docs, "links").collect()}
+    assert links == {("internal_anchor", "#there", "see there"), ("plain_text", "www.example.org/x", "www.example.org/x")}
+    rows = [(r["kind"], r["text"]) for r in office.read_word(docs, "elements").where("doc = 'a.docx'").orderBy("seq").collect()]
+    assert rows[:2] == [("paragraph", "around"), ("textbox", "boxed")]
+
+
+def test_manifests_catalogs_and_settings(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('original_doc,sub_doc_filename,heading_text,character_count,page_estimate\nA_fixed.docx,A - One.docx,"One, two",120,0.1\nB.docx,,x,,\n')
+    rows, parents = files.split_manifest(spark, f"file://{tmp_path}/m.csv")
+    assert rows.count() == 2 and [tuple(r) for r in parents.collect()] == [("a - one", "a_fixed")]
+    sheet = spark.createDataFrame([(0, "AC-1", "d1", "Access"), (1, None, "lost", "x"), (2, " AC-2 ", None, None)], "ord int, c0 string, c1 string, c2 string")
+    assert [tuple(r) for r in files.framework_controls(sheet, 0, 1, {"Domain": 2, "Title": 9}).orderBy("ord").collect()] == [(0, "AC-1", "d1", "Access", ""), (2, "AC-2", "", "", "")]
+    got = files.catalog_controls(sheet.withColumnsRenamed({"c0": "Control ID", "c1": "Text"}), {"control_id": "control id", "text": "text", "none": "zzz"}, "catalog", {"AC": "Access Control"}).orderBy("control_id").collect()
+    assert [(r["control_id"], r["family"], r["source"], r["none"]) for r in got] == [("AC-1", "Access Control", "catalog", None), ("AC-2", "Access Control", "catalog", None)]
+    assert [r["row_idx"] for r in files.with_row_index(sheet, "ord").orderBy("ord").collect()] == [0, 1, 2]
+    book = sinks.workbook({"General": [["Setting", "Value"], ["a.b", "3"], ["# note", "x"], ["a.c", "yes"]], "Ignore Words": [["Word"], ["THE"], ["AND"]], "Sites": [["name", "url"], ["x", "u"], ["y", None]]})
+    assert files.settings_of_sheets(book) == {"a": {"b": 3, "c": True}, "ignore_words": ["THE", "AND"], "sites": [{"name": "x", "url": "u"}, {"name": "y", "url": None}]}
+    (tmp_path / "c.xlsx").write_bytes(book)
+    assert files.load_settings(spark, [str(tmp_path / "none.yaml"), str(tmp_path / "c.xlsx")], {"a": {"d": 1}})["a"] == {"b": 3, "c": True, "d": 1}
+    assert files.load_settings(spark, [str(tmp_path / "none.yaml")], {"k": 1}) == {"k": 1}
+
+
+def test_books(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1)], "k string, n int")
+    path = tmp_path / "grow.xlsx"
+    sinks.append_to_workbook(df, f"file://{path}", "Rows", None)
+    sinks.append_to_workbook(spark.createDataFrame([(2, "b", "extra")], "n int, k string, more string"), f"file://{path}", "Rows", path.read_bytes())
+    assert [r[2] for r in office.workbook_rows(path.read_bytes())] == [["k", "n"], ["a", "1"], ["b", "2"]]
+    sinks.write_csv(df, f"file://{tmp_path}/s1")
+    sinks.write_csv(df, f"file://{tmp_path}/issues")
+    sheets = sinks.consolidated(spark, {"Step 1": f"file://{tmp_path}/s1", "Gone": f"file://{tmp_path}/gone", "Issues": f"file://{tmp_path}/issues"}, ["Issues"])
+    assert list(sheets) == ["Issues", "Step 1"]
+    stats = spark.createDataFrame([("d", 3, 1)], "doc string, paragraphs int, headings int")
+    log = sinks.conversion_book(stats, df)
+    assert {r["label"]: r["value"] for r in log["Totals"].collect()} == {"documents": 1.0, "paragraphs": 3.0, "headings": 1.0}
+
+
+def test_a_state_machine_on_a_stream(spark, tmp_path):
+    source, out, state = (f"file://{tmp_path}/{n}" for n in ("in", "out", "state"))
+    rows = spark.createDataFrame([("a", "2024-01-01 00:00:00", "draft"), ("a", "2024-01-01 01:00:00", "review"), ("b", "2024-01-01 00:00:00", "draft"), ("b", "2024-01-01 02:00:00", "published")], "k string, t string, s string").selectExpr("k", "cast(t as timestamp) as t", "s")
+    rows.write.parquet(source)
+    allowed = {"draft": ["review"], "review": ["published"]}
+    run = lambda: events.run_available(events.state_machine(events.stream_table(spark, source, rows.schema), "k", "t", "s", allowed), events.idempotent_sink(out), state)
+    run()
+    spark.createDataFrame([("a", "2024-01-01 03:00:00", "published")], "k string, t string, s string").selectExpr("k", "cast(t as timestamp) as t", "s").write.mode("append").parquet(source)
+    run()
+    assert sorted((r["k"], r["state"], r["next"], r["valid"]) for r in spark.read.parquet(out).collect()) == [("a", "draft", "review", True), ("a", "review", "published", True), ("b", "draft", "published", False)]
