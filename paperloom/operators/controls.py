@@ -13,7 +13,7 @@ from paperloom.operators.headings import ANY_CONTROL_ID, by_document, is_section
 
 # Words that part a description from its guidance, and what begins document metadata.
 GUIDANCE = ("implementation guidance", "implementation:", "guidelines:", "how to implement", "supplemental guidance")
-TRIGGERS = {"purpose": "purpose|objective|intent", "scope": "scope|coverage|boundary", "applicability": "applicability|applies to|applies for"}
+TRIGGERS = {"purpose": ("purpose", "objective", "intent"), "scope": ("scope", "coverage", "boundary"), "applicability": ("applicability", "applies to", "applies for")}
 METADATA_LINES = 40
 _BASELINE = r"\s*\(\s*([LMH](?:\s*,\s*[LMH])*)\s*\)"
 
@@ -88,10 +88,10 @@ def document_metadata(elements: DataFrame, first_lines: int = METADATA_LINES) ->
     """(doc_id, purpose, scope, applicability): the text from a line with a trigger word to the next such line or
     heading, within the first lines; a line with triggers of several fields feeds them all; the first text wins."""
     rows = elements.where((F.col("seq") < first_lines) & (F.length(F.trim("text")) > 0))
-    fires = {k: F.lower("text").rlike(rf"\b({p})\b") for k, p in TRIGGERS.items()}
+    fires = {k: F.lower("text").rlike(rf"\b({'|'.join(p)})\b") for k, p in TRIGGERS.items()}
     any_fires = F.when(fires["purpose"] | fires["scope"] | fires["applicability"] | F.col("level").isNotNull(), 1)
     rows = rows.withColumn("_i", F.count(any_fires).over(by_document()))
-    label = rf"(?i)^\s*[\d.]*\s*({'|'.join(TRIGGERS.values())})\s*[:\-]?\s*"
+    label = rf"(?i)^\s*[\d.]*\s*({'|'.join(w for p in TRIGGERS.values() for w in p)})\s*[:\-]?\s*"
     body = F.when(any_fires.isNotNull(), F.trim(F.regexp_replace("text", label, ""))).otherwise(F.trim("text"))
     rows = rows.where("_i > 0").groupBy("doc_id", "_i").agg(
         *[F.bool_or(F.coalesce(any_fires.isNotNull() & c, F.lit(False))).alias(f"_{k}") for k, c in fires.items()], F.array_sort(F.collect_list(F.struct("seq", body.alias("t")))).alias("_l")

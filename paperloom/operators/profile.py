@@ -18,6 +18,7 @@ PAGE_PARAGRAPHS, SPLIT_CHARS, PAGE_CHARS = 30, 36_000, 1_800
 PROCEDURE_WORDS = ("step 1", "step 2", "procedure", "escalation", "workflow", "response process", "playbook")
 WEIGHTS = {"tables": 2.0, "cross_refs": 1.5, "fake_headings": 1.0, "pages": 0.5, "missing_sections": 1.5, "merged_tables": 1.0}
 OVER_LIMIT_BONUS, USAGE_WEIGHT = 3.0, 2.0
+# The classes of tables, with the fewest columns and the words of each.
 TABLE_CLASSES: dict[str, tuple[int, tuple[str, ...]]] = {
     "control_matrix": (3, ("control id", "control", "requirement", "framework", "nist", "status", "implementation", "responsible", "owner")),
     "applicability_table": (2, ("applies to", "applicability", "system", "environment", "in scope", "yes", "no", "n/a")),

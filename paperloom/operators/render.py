@@ -242,3 +242,18 @@ def render_rows(rows: DataFrame, key: str, columns: Sequence[str], mode: str) ->
         parts = [element("list" if mode == "list" else "paragraph", None, joined)]
     kept = F.filter(F.array(*parts), lambda e: e["text"] != "")
     return rows.select(key, F.posexplode(kept).alias("pos", "_e")).select(key, F.col("pos").cast("bigint").alias("pos"), "_e.kind", F.col("_e.level").cast("bigint").alias("level"), "_e.text")
+
+
+# Labels of the retrieval text's fields, those on the label's own line, and those below it.
+INLINE_LABELS = {"family_name": "Family", "baseline": "Baseline", "applicability": "Applicability"}
+BLOCK_LABELS = {"description": "Description", "supplemental_guidance": "Supplemental Guidance", "purpose": "Purpose", "scope": "Scope"}
+RETRIEVAL_ORDER = ("family_name", "baseline", "description", "supplemental_guidance", "purpose", "scope", "applicability")
+
+
+def rag_content(columns: Mapping[str, Column]) -> Column:
+    """One text of a record for retrieval: ``Control <id>: <name>``, then its fields in order, long ones below their label;
+    blank and absent ones are left out."""
+    value = lambda k: F.trim(F.coalesce(columns[k].cast("string"), F.lit("")))
+    head = F.when(value("control_id") != "", F.concat_ws(": ", F.concat(F.lit("Control "), value("control_id")), F.nullif(value("control_name"), F.lit(""))))
+    lines = [F.when(value(k) != "", F.concat(F.lit(f"{INLINE_LABELS[k]}: " if k in INLINE_LABELS else f"\n{BLOCK_LABELS[k]}:\n"), value(k))) for k in RETRIEVAL_ORDER if k in columns]
+    return F.trim(F.concat_ws("\n", head, *lines))

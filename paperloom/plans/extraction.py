@@ -18,7 +18,12 @@ query = R.query
 
 #: Letters and digits beyond ASCII as ``x``, so that the word ends of the statement's patterns are those of the text.
 _MASKED = "regexp_replace(regexp_replace(text, '[^\\x00-\\x7F\\P{L}]', 'x', 'g'), '[^\\x00-\\x7F\\P{N}]', 'x', 'g')"
-_IGNORED = ", ".join(f"'{w}'" for w in A.IGNORED)
+_NO_ACRONYMS = (
+    "THE", "AND", "FOR", "NOT", "BUT", "ALL", "ARE", "CAN", "HAS", "HER", "WAS", "ONE", "OUR", "OUT", "YOU", "USE", "MAY", "SHALL", "MUST", "WILL", "WITH", "THIS", "THAT", "FROM", "THEY", "BEEN",
+    "HAVE", "EACH", "MAKE", "WHEN", "DOES", "INTO", "THEM", "THEN", "THAN", "ONLY", "OVER", "SUCH", "ALSO", "SOME", "THESE", "OTHER", "WHICH", "THEIR", "THERE", "WOULD", "ABOUT", "AFTER", "COULD", "WHERE", "SHOULD", "THOSE",
+    "II", "III", "IV", "VI", "VII", "VIII", "IX", "XI", "XII", "PAGE", "DATE", "DRAFT", "FINAL", "NOTE", "TABLE", "FIGURE", "REV", "VER", "NA", "TBD", "TODO", "YES", "NO",
+)
+_IGNORED = ", ".join(f"'{w}'" for w in _NO_ACRONYMS)
 _HITS = f"""with h as (select doc_id, unnest(regexp_extract_all({_MASKED}, '\\b[A-Z]{{2,8}}\\b')) as acronym from documents where text is not null union all
   select doc_id, unnest(regexp_extract_all({_MASKED}, '([A-Za-z\\s\\-]+?)\\s*\\(([A-Z][A-Z\\-/]{{1,9}})\\)', 2)) from documents where text is not null),
 k as (select doc_id, regexp_replace(regexp_replace(acronym, '^-+|-+$', '', 'g'), '^/+|/+$', '', 'g') as acronym from h),
@@ -187,7 +192,7 @@ def c6_baseline_names(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(*_PLACE, "para_index", "control_id", baseline.alias("baseline"), name.alias("name"))
 
 
-_TRIG = C.TRIGGERS
+_TRIG = {"purpose": "purpose|objective|intent", "scope": "scope|coverage|boundary", "applicability": "applicability|applies to|applies for"}
 _LABEL = f"^\\s*[0-9.]*\\s*({'|'.join(_TRIG.values())})\\s*[:\\-]?\\s*"
 _FIRES = {k: f"regexp_matches(lower(text), '\\b({p})\\b')" for k, p in _TRIG.items()}
 
@@ -204,7 +209,12 @@ def c10_document_metadata(spark: SparkSession, d: str) -> DataFrame:
     return C.document_metadata(elements(spark, d))
 
 
-@query("c13_id_matches")
+@query(
+    "c13_id_matches",
+    f"""with t as (select doc_id, text, string_split_regex(text, '{_ID}') as p, regexp_extract_all(text, '{_ID}') as m from documents where regexp_matches(text, '{_ID}')), u as (select *, unnest(range(1, len(m) + 1)) as i from t),
+    q as (select doc_id, text, m[i] as control_id, (list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::bigint as position from u)
+    select doc_id, position, control_id, substr(text, greatest(position - 50, 0) + 1, position + length(control_id) + 50 - greatest(position - 50, 0)) as context, contains(substr(text, position + length(control_id) + 1, 50), '.') as ends_sentence from q""",
+)
 def c13_id_matches(spark: SparkSession, d: str) -> DataFrame:
     """Every identifier of the documents with its place and surroundings."""
     return C.id_matches(table(spark, d, "documents"), "doc_id", "text")

@@ -179,13 +179,25 @@ def k10_missing_sheet(spark: SparkSession, d: str) -> DataFrame:
     return I.export_rows(rows, names)
 
 
-_EXPORT = ("control_id", "control_name", "baseline", "control_description", "supplemental_guidance", "purpose", "scope", "applicability", "miscellaneous", "section_header", "source_file", "extraction_source", "compliance_date", "published_url")
+_FAMILY_NAMES = {"AC": "Access Control", "AU": "Audit and Accountability", "CM": "Configuration Management", "SI": "System and Information Integrity"}
+_t = lambda c: f"trim(coalesce({c}, ''), ' ')"
 
 
-@query("k17_export_rows", f"select {', '.join(f'''coalesce({c}, '') as {c}''' for c in _EXPORT)} from control_row")
+@query(
+    "k17_export_rows",
+    f"""with c as (select *, regexp_extract(upper(control_id), '^([A-Z]{{2,4}})[-.]', 1) as family from control_row), n as (select *, case family {' '.join(f"when '{k}' then '{v}'" for k, v in _FAMILY_NAMES.items())} else family end as family_name from c)
+    select {', '.join(f"coalesce({c}, '') as {c}" for c in ("control_id", "control_name", "family", "family_name", "supplemental_guidance", "baseline", "purpose", "scope", "applicability", "compliance_date", "published_url"))}, coalesce(control_description, '') as description, 'catalog' as source,
+      trim(concat_ws(chr(10), case when {_t('control_id')} <> '' then 'Control ' || {_t('control_id')} || case when {_t('control_name')} <> '' then ': ' || {_t('control_name')} else '' end end, case when {_t('family_name')} <> '' then 'Family: ' || {_t('family_name')} end, case when {_t('baseline')} <> '' then 'Baseline: ' || {_t('baseline')} end,
+      {', '.join(f"case when {_t(c)} <> '' then chr(10) || '{label}:' || chr(10) || {_t(c)} end" for c, label in (("control_description", "Description"), ("supplemental_guidance", "Supplemental Guidance"), ("purpose", "Purpose"), ("scope", "Scope")))}, case when {_t('applicability')} <> '' then 'Applicability: ' || {_t('applicability')} end), ' ') as rag_content from n""",
+)
 def k17_export_rows(spark: SparkSession, d: str) -> DataFrame:
-    """The 14 columns of the export, nulls as empty texts."""
-    return I.export_rows(table(spark, d, "control_row"), {c: c for c in _EXPORT})
+    """The 14 columns of the export, with the family's name and the text for retrieval."""
+    from paperloom.operators.mapping import family_code, family_of
+    from paperloom.operators.render import rag_content
+
+    ident = F.upper("control_id")
+    columns = {**{c: F.col(c) for c in ("control_id", "control_name")}, "family": family_code(ident), "family_name": family_of(ident, _FAMILY_NAMES), "description": F.col("control_description"), **{c: F.col(c) for c in ("supplemental_guidance", "baseline", "purpose", "scope", "applicability", "compliance_date", "published_url")}, "source": F.lit("catalog")}
+    return I.export_rows(table(spark, d, "control_row"), {**columns, "rag_content": rag_content(columns)})
 
 
 @query("g18_totals_over_limit", f"with p as ({_EXTENTS} select own + end_seq - start_seq - 1 as chars from x) select count(*) as parts, count(case when chars > 3000 then 1 end) as over_limit, max(chars)::bigint as largest from p")

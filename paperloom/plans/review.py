@@ -31,7 +31,20 @@ def b1_h1_parts(spark: SparkSession, d: str) -> DataFrame:
     return B.split_at_h1(elements(spark, d))
 
 
-@query("b4_oversized_parts")
+_WALK = EL.replace("with ", "with recursive ", 1)
+
+
+@query(
+    "b4_oversized_parts",
+    _WALK + """, n as (select *, count(case when level = 1 then 1 end) over (partition by doc_id order by seq) as s from el), l as (select doc_id, sum(case when s = 0 then length(text) else 0 end) as lead from n group by 1),
+    h as (select n.*, lead, count(case when level = 2 then 1 end) over (partition by n.doc_id, s order by seq) as g, sum(length(text)) over (partition by n.doc_id, s) as whole from n join l on n.doc_id = l.doc_id where s > 0),
+    u as (select doc_id, s, case when lead + whole > 3000 then g else 0 end as g, lead, arg_min(text, seq) as heading, sum(length(text)) as chars, count(*) as elements from h group by 1, 2, 3, 4),
+    r as (select *, row_number() over (partition by doc_id, s order by g) as k from u),
+    w as (select doc_id, s, k, 0::bigint as part_no, heading, chars::hugeint as chars, elements from r where k = 1
+      union all select r.doc_id, r.s, r.k, w.part_no + b.b, case when b.b = 1 then r.heading else w.heading end, r.chars + case when b.b = 1 then 0 else w.chars end, r.elements + case when b.b = 1 then 0 else w.elements end
+      from w join r on r.doc_id = w.doc_id and r.s = w.s and r.k = w.k + 1, lateral (select case when r.lead + w.chars > 3000 then 1 else 0 end as b) b)
+    select doc_id || '/' || s as section, part_no, any_value(heading) as heading, max(chars)::bigint as chars, max(elements)::bigint as elements from w group by 1, 2""",
+)
 def b4_oversized_parts(spark: SparkSession, d: str) -> DataFrame:
     """Sections over the limit cut at level 2 (limit 3,000 here)."""
     return B.split_oversized(elements(spark, d), 3_000)
@@ -43,7 +56,13 @@ def b7_chunks(spark: SparkSession, d: str) -> DataFrame:
     return B.document_chunks(elements(spark, d))
 
 
-@query("b11_markdown_files")
+@query(
+    "b11_markdown_files",
+    _WALK + """, n as (select *, count(level) over (partition by doc_id order by seq) as n from el), u as (select doc_id, n, arg_min(text, seq) as heading, sum(length(text) + 1) as chars from n group by 1, 2), r as (select *, row_number() over (partition by doc_id order by n) as k from u),
+    w as (select doc_id, k, 0::bigint as file_no, heading, chars::hugeint as chars, 1::bigint as sections from r where k = 1
+      union all select r.doc_id, r.k, w.file_no + b.b, r.heading, r.chars + case when b.b = 1 then 0 else w.chars end, 1 + case when b.b = 1 then 0 else w.sections end from w join r on r.doc_id = w.doc_id and r.k = w.k + 1, lateral (select case when w.chars + r.chars > 4000 then 1 else 0 end as b) b)
+    select doc_id, file_no, arg_max(heading, k) as heading, max(chars)::bigint as chars, max(sections) as sections from w group by 1, 2""",
+)
 def b11_markdown_files(spark: SparkSession, d: str) -> DataFrame:
     """Sections packed greedily into files of at most 4,000 characters."""
     return B.packed_markdown(elements(spark, d), 4_000)
@@ -199,16 +218,22 @@ def v2_control_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 _like = lambda column, words: "(" + " or ".join(f"contains({column}, '{w}')" for w in words) + ")"
+_SUSPECT = ("revision history", "framework crosswalk", "references", "glossary", "definitions", "document control")
+_LOSS = {
+    "EMPTY_DESCRIPTION": 40, "SHORT_DESCRIPTION": 30, "LONG_DESCRIPTION": 20, "SUSPECT_SECTION": 35, "APPENDIX_SECTION": 15, "DUPLICATE_ID_SAME_DOC": 25, "DUPLICATE_ID_CROSS_DOC": 10, "TABLE_HEADERS_IN_DESC": 20, "GUIDANCE_IN_DESC": 15, "TABLE_SOURCE": 10,
+    "EMPTY_BASELINE": 10, "EMPTY_NAME": 5,
+}
 _FLAGS = [
-    ("EMPTY_DESCRIPTION", "t = ''"), ("SHORT_DESCRIPTION", "length(t) > 0 and length(t) < 20"), ("LONG_DESCRIPTION", "length(t) > 2000"), ("SUSPECT_SECTION", _like("s", V.SUSPECT_SECTIONS)),
-    ("APPENDIX_SECTION", f"not {_like('s', V.SUSPECT_SECTIONS)} and contains(s, 'appendix')"), ("DUPLICATE_ID_SAME_DOC", "same > 1"), ("DUPLICATE_ID_CROSS_DOC", "same = 1 and total > 1"),
-    ("TABLE_HEADERS_IN_DESC", _like("lower(t)", V.TABLE_WORDS)), ("GUIDANCE_IN_DESC", _like("lower(t)", C.GUIDANCE)), ("TABLE_SOURCE", "src = 'table'"), ("EMPTY_BASELINE", "b = '' and any_b"), ("EMPTY_NAME", "nm = '' and any_n"),
+    ("EMPTY_DESCRIPTION", "t = ''"), ("SHORT_DESCRIPTION", "length(t) > 0 and length(t) < 20"), ("LONG_DESCRIPTION", "length(t) > 2000"), ("SUSPECT_SECTION", _like("s", _SUSPECT)),
+    ("APPENDIX_SECTION", f"not {_like('s', _SUSPECT)} and contains(s, 'appendix')"), ("DUPLICATE_ID_SAME_DOC", "same > 1"), ("DUPLICATE_ID_CROSS_DOC", "same = 1 and total > 1"),
+    ("TABLE_HEADERS_IN_DESC", _like("lower(t)", ("control id", "nist mapping", "implementation status", "responsible party", "framework ref", "control family"))),
+    ("GUIDANCE_IN_DESC", _like("lower(t)", ("implementation guidance", "implementation:", "guidelines:", "how to implement", "supplemental guidance"))), ("TABLE_SOURCE", "src = 'table'"), ("EMPTY_BASELINE", "b = '' and any_b"), ("EMPTY_NAME", "nm = '' and any_n"),
 ]
 _SCORED = f"""with c as (select row_id, source_file, status, trim(coalesce(control_id, '')) as id, trim(coalesce(source_file, '')) as f, trim(coalesce(control_description, '')) as t, lower(trim(coalesce(section_header, ''))) as s, trim(coalesce(baseline, '')) as b, trim(coalesce(control_name, '')) as nm, lower(trim(coalesce(extraction_source, ''))) as src
   from (select *, case row_id % 7 when 0 then 'Wrong-FalsePositive' when 1 then '' when 2 then null else 'Correct' end as status from control_row)),
 w as (select *, count(*) over (partition by id, f) as same, count(*) over (partition by id) as total, bool_or(b <> '') over (partition by f) as any_b, bool_or(nm <> '') over (partition by f) as any_n from c),
 fl as (select *, list_filter([{', '.join(f"case when {c} then '{n}' end" for n, c in _FLAGS)}], lambda x: x is not null) as flags,
-  greatest(100 - ({' + '.join(f"case when {c} then {V.PENALTIES[n]} else 0 end" for n, c in _FLAGS)}), 0)::bigint as score from w)"""
+  greatest(100 - ({' + '.join(f"case when {c} then {_LOSS[n]} else 0 end" for n, c in _FLAGS)}), 0)::bigint as score from w)"""
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:

@@ -122,7 +122,12 @@ def h11_section_extents(spark: SparkSession, d: str) -> DataFrame:
 
 _KINDS = " ".join(
     f"when {' or '.join(f'''contains(lower(trim({{0}})), '{k}') or contains('{k}', lower(trim({{0}})))''' for k in keywords)} then '{name}'"
-    for name, keywords in H.STANDARD_SECTIONS.items()
+    for name, keywords in {
+        "purpose": ("purpose", "policy purpose", "1.0 purpose", "document purpose"), "scope": ("scope", "policy scope", "2.0 scope", "applicability", "applicability and scope"),
+        "intent": ("intent", "policy intent", "3.0 intent", "objective", "policy objective", "security objective"),
+        "controls": ("controls", "technical controls", "security controls", "4.0 controls", "control requirements", "requirements", "policy requirements", "implementation requirements"),
+        "appendix": ("appendix", "appendices", "5.0 appendix", "supplementary", "reference", "references", "glossary", "definitions"),
+    }.items()
 )
 
 
