@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paperloom.llm.splitting import LIMIT
+LIMIT = 1_500
 
 # Characters in tables of the statement's own: what goes, what becomes a blank or a hyphen, and what looks like what.
 _gone = "[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0]"
@@ -25,6 +25,12 @@ P1 = f"""with t as (select 'control_description' as field_name, row_id as id, co
 f as (select field_name, id, x, nfc_normalize({_form}) as form from t where length(x) > 0)
 select distinct a.field_name, least(a.id, b.id) as id_1, greatest(a.id, b.id) as id_2 from f a join f b on a.field_name = b.field_name and a.form = b.form and a.id < b.id and a.x <> b.x"""
 
+P2 = f"""with t as (select 'control_description' as field_name, row_id as id, control_description as x from control_row union select 'supplemental_guidance', row_id, supplemental_guidance from control_row),
+w as (select field_name, id, regexp_extract_all(lower(nfc_normalize({_form})), '[\\p{{L}}\\p{{N}}]+') as w from t where length(x) > 0), k as (select * from w where len(w) >= 8),
+s as (select distinct field_name, id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as g from k), z as (select field_name, id, count(*) as n from s group by 1, 2),
+c as (select a.field_name, a.id as i, b.id as j, count(*) as common from s a join s b on a.field_name = b.field_name and a.g = b.g and a.id < b.id group by 1, 2, 3)
+select c.field_name, i as row_id_1, j as row_id_2 from c join z x on x.field_name = c.field_name and x.id = i join z y on y.field_name = c.field_name and y.id = j where common >= 0.6::double * (x.n + y.n - common) - 1e-9"""
+
 P6 = """with r as (select distinct entry_id, document, acronym, occurrences from acronym_per_document),
 v as (select document, upper(regexp_replace(acronym, '^[\\s/-]+|[\\s/-]+$', '', 'g')) as acronym, occurrences from r),
 c as (select acronym, sum(occurrences)::bigint as occurrences, count(distinct document) as documents from v where acronym <> '' and occurrences > 0 group by 1),
@@ -41,6 +47,7 @@ from t join m1 on t.doc_id = m1.doc_id join m2 on t.doc_id = m2.doc_id join m3 o
 
 SQL: dict[str, str] = {
     "p1_found": P1,
+    "p2_found": P2,
     "p4_found": P4,
     "p6_found": P6 + " select acronym, band from b where band <> 'kept'",
     "p6_counts": P6 + " select acronym, occurrences, documents, band from b",
