@@ -81,17 +81,22 @@ def scratch(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as parquet into the shared folder and read it back.
 
-    The files survive the loss of executors; ``cleanup`` (also run at exit) removes them. Spark deletes a shuffle's
-    files once the driver has collected its plan, which a large heap puts off; asking for a collection here lets
-    them go before the next step writes its own.
+    The files survive the loss of executors; ``cleanup`` (also run at exit) removes them. The shuffles behind them are let
+    go at once.
     """
     spark = df.sparkSession
     path = scratch(spark)
     df.write.option("compression", "zstd").parquet(path)
-    spark._jvm.System.gc()
+    free_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the files of finished shuffles go before the next step writes its own: Spark deletes them once the driver has
+    collected their plan, which a large heap puts off, so a collection is asked for."""
+    spark._jvm.System.gc()
+
+
 def cleanup() -> None:
     """Remove every table that ``materialize`` wrote."""
     while _written:
