@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.groups import components
 from paperloom.llm.lookalikes import visible
-from paperloom.session import materialize
+from paperloom.session import free_shuffles, materialize
 
 #: Segments and symbols in each: at similarity 0.6 a segment differs in at most one of 4 symbols with probability
 #: 0.475, so that 12 segments miss a pair with probability 0.0005 (0.000003 at 0.7).
@@ -450,14 +450,16 @@ def similar_texts(texts: DataFrame, candidates: DataFrame, members: DataFrame, r
     they are read, so that the other texts are neither shuffled nor parsed again.
     """
     bits = _filter_bits(rows)
+    candidates = materialize(candidates.distinct())
     ids = candidates.select("field", F.explode(F.array("a", "b")).alias("id")).distinct()
     chosen = members.groupBy("field", "digest").agg(F.min("key").alias("key"), F.first("id").alias("id")).join(ids, ["field", "id"], "left_semi")
     marked = texts.sparkSession.sparkContext.broadcast(_filter_of(chosen, bits))
+    free_shuffles(texts.sparkSession)
     said = texts.select("field", "text", _place("field", "key", bits).alias("place")).mapInArrow(_chosen(least, marked), "field int, id bigint, digest binary, words string")
     said = said.dropDuplicates(["field", "digest"])
     a = said.select("field", F.col("id").alias("a"), F.col("digest").alias("digest_a"), F.col("words").alias("words_a"))
     b = said.select("field", F.col("id").alias("b"), F.col("digest").alias("digest_b"), F.col("words").alias("words_b"))
-    met = candidates.repartition("field", "a").distinct().join(a, ["field", "a"]).join(b, ["field", "b"])
+    met = candidates.join(a, ["field", "a"]).join(b, ["field", "b"])
     met = met.where((F.col("a") != F.col("b")) | (F.col("digest_a") < F.col("digest_b"))).select("field", "digest_a", "digest_b", "words_a", "words_b")
     return met.mapInArrow(_verified(size, threshold), "field int, digest_a binary, digest_b binary")
 
