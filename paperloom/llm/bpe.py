@@ -18,7 +18,8 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 
 from paperloom.llm.arrow import offsets, ragged
 
@@ -174,7 +175,7 @@ _BLOCK = 2_000
 
 def _encoded(folder: str, vocabulary: str, count_only: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(folder, vocabulary)
+        tool = encoder(*_place(folder, vocabulary))
         for whole in batches:
             for at in range(0, whole.num_rows, _BLOCK):
                 batch = whole.slice(at, _BLOCK)
@@ -189,7 +190,26 @@ def _encoded(folder: str, vocabulary: str, count_only: bool):
     return run
 
 
+def _place(folder: str, vocabulary: str) -> tuple[str, str]:
+    """Where an executor finds the vocabulary: beside the files that the driver sent, else in the folder named."""
+    sent = SparkFiles.get(vocabulary)
+    return (os.path.dirname(sent), vocabulary) if os.path.isfile(sent) else (folder, vocabulary)
+
+
+_sent: set[tuple[str, str]] = set()
+
+
+def send_vocabulary(spark: SparkSession, folder: str, vocabulary: str) -> None:
+    """Send the vocabulary to every executor, once for each application, where the driver has it: executors need no copy at
+    the same path. Two vocabularies of one name in different folders are refused by Spark."""
+    path, key = os.path.join(folder, vocabulary), (spark.sparkContext.applicationId, vocabulary)
+    if key not in _sent and os.path.isfile(path):
+        _sent.add(key)
+        spark.sparkContext.addFile(path)
+
+
 def _mapped(df: DataFrame, keep: list[str], text: str, out: str, kind: str, folder: str, vocabulary: str) -> DataFrame:
+    send_vocabulary(df.sparkSession, folder, vocabulary)
     rows = df.select(*keep, df[text].alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(_encoded(folder, vocabulary, kind == "bigint"), f"{schema}{', ' if keep else ''}out {kind}").withColumnRenamed("out", out)
