@@ -23,7 +23,7 @@ PROFILE_PATTERNS = {
     r"see the\s+\w+\s+policy": "See policy reference",
     r"as specified in\s+(the|section)": "As specified in reference",
 }
-URL = r"https?://[^\s<>\"')\]]+|www\.[^\s<>\"')\]]+"
+URL = r"https?://[^\s<>\"]+|www\.[^\s<>\"]+"
 
 
 def reference_patterns(internal: Sequence[str] = INTERNAL_PHRASES, external: Sequence[str] = EXTERNAL_PHRASES, words: Sequence[str] = DOCUMENT_WORDS) -> list[tuple[str, str]]:
@@ -63,3 +63,27 @@ def link_kind(text: Column) -> Column:
 def urls(rows: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
     """(keep..., pos, url): every web address in a text, in order."""
     return rows.select(*keep, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(URL), F.lit(0))).alias("pos", "url"))
+
+
+#: The columns of the list of references and links.
+RECORD = ("source_doc", "source_section", "source_paragraph_index", "matched_text", "reference_type", "target_reference", "resolution_status", "target_url", "url_display_text", "url_type")
+
+
+def reference_records(elements: DataFrame, patterns: Sequence[tuple[str, str]], links: DataFrame | None = None) -> DataFrame:
+    """The list of references and links, ten columns, empty texts where a column does not apply.
+
+    ``elements`` has (doc_id, seq, filename, text, level). Every match of every pattern and every web address in a text is a
+    row, with the last heading of level 1 or 2 before it; ``links`` (doc_id, seq, target_url, url_display_text, url_type) adds those of packages.
+    """
+    from paperloom.operators.headings import parent_heading
+
+    rows = parent_heading(elements, "source_section").where(F.trim("text") != "")
+    head = [F.col("filename").alias("source_doc"), "source_section", F.col("seq").cast("bigint").alias("source_paragraph_index")]
+    filled = lambda df: df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in df.columns and c != "source_paragraph_index" else F.col(c) if c in df.columns else F.lit("").alias(c) for c in RECORD])
+    said = references(rows, patterns, ("filename", "source_section", "seq")).select(*head, F.trim("matched").alias("matched_text"), "reference_type", F.trim("target").alias("target_reference"))
+    bare = urls(rows, ("filename", "source_section", "seq"), "text").select(*head, F.col("url").alias("target_url"), F.lit("bare_text").alias("url_type"))
+    out = filled(said).unionByName(filled(bare))
+    if links is not None:
+        linked = links.where("url_type <> 'bare_text'").join(rows.select("doc_id", "seq", "filename", "source_section"), ["doc_id", "seq"])
+        out = out.unionByName(filled(linked.select(*head, "target_url", "url_display_text", "url_type")))
+    return out

@@ -240,7 +240,7 @@ def x2_references(spark: SparkSession, d: str) -> DataFrame:
     return _long(X.references(elements(spark, d), _PATTERNS), "doc_id", "seq", "ord", "match_no", "reference_type", "matched", "target")
 
 
-@query("x4_urls", "select row_id, unnest(regexp_extract_all(published_url, 'https?://[^\\s<>\"'')\\]]+|www\\.[^\\s<>\"'')\\]]+')) as url from control_row where published_url is not null")
+@query("x4_urls", "select row_id, unnest(regexp_extract_all(published_url, 'https?://[^\\s<>\"]+|www\\.[^\\s<>\"]+')) as url from control_row where published_url is not null")
 def x4_urls(spark: SparkSession, d: str) -> DataFrame:
     """Web addresses."""
     return X.urls(table(spark, d, "control_row"), ("row_id",), "published_url").select("row_id", "url")
@@ -278,3 +278,16 @@ def c7_bodies(spark: SparkSession, d: str) -> DataFrame:
     """The paragraphs with an identifier, without it, its baseline and its name."""
     rows = _paragraphs(spark, d).withColumn("text", F.trim("text")).withColumn("control_id", F.try_element_at(C.control_ids(F.col("text")), F.lit(1))).where("control_id is not null")
     return rows.select(*_PLACE, "para_index", "control_id", C.strip_prefix(F.col("text"), F.col("control_id")).alias("body"))
+
+
+@query(
+    "x2_reference_records",
+    EL + """, p as (select *, coalesce(last_value(case when level <= 2 then text end ignore nulls) over (partition by doc_id order by seq rows between unbounded preceding and 1 preceding), '(No heading found)') as parent from el),
+    m as (select filename, parent, seq, 'external' as t, unnest(regexp_extract_all(text, '(?i)in line with the ([a-z]+) plan', 0)) as a, unnest(regexp_extract_all(text, '(?i)in line with the ([a-z]+) plan', 1)) as b, '' as u, '' as k from p
+    union all select filename, parent, seq, 'internal', unnest(regexp_extract_all(text, '(?i)section\\s+([0-9]+(?:\\.[0-9]+)*)', 0)), unnest(regexp_extract_all(text, '(?i)section\\s+([0-9]+(?:\\.[0-9]+)*)', 1)), '', '' from p
+    union all select filename, parent, seq, '', '', '', unnest(regexp_extract_all(text, 'https?://[^\\s<>"]+|www\\.[^\\s<>"]+')), 'bare_text' from p)
+    select filename as source_doc, parent as source_section, seq as source_paragraph_index, trim(a) as matched_text, t as reference_type, trim(b) as target_reference, '' as resolution_status, u as target_url, '' as url_display_text, k as url_type from m""",
+)
+def x2_reference_records(spark: SparkSession, d: str) -> DataFrame:
+    """The list of references and links of the documents."""
+    return X.reference_records(elements(spark, d, "filename"), _PATTERNS)

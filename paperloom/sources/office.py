@@ -8,6 +8,7 @@ import re
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -251,17 +252,14 @@ def flags_of(doc: str, package: Package) -> list[dict]:
 
 
 def links_of(doc: str, package: Package) -> list[dict]:
-    """Links of the body's paragraphs: addresses outside, anchors inside, and addresses that stand as plain text."""
+    """Links of the body's paragraphs: addresses outside, anchors inside, and addresses that stand in the text."""
     out = []
     for e in elements_of(doc, package):
-        linked = ""
-        for r in e.get("runs") or ():
-            if r["href"]:
-                linked += r["text"]
-                out.append({"doc": doc, "seq": e["seq"], "target_url": r["href"], "url_display_text": r["text"], "url_type": "internal_anchor" if r["href"].startswith("#") else "external"})
-        for url in re.findall(r"https?://[^\s<>\"')\]]+|www\.[^\s<>\"')\]]+", e.get("text") or ""):
-            if url not in linked:
-                out.append({"doc": doc, "seq": e["seq"], "target_url": url, "url_display_text": url, "url_type": "plain_text"})
+        for href, run in groupby(e.get("runs") or (), lambda r: r["href"]):
+            if href:
+                inside = href.startswith("#")
+                out.append({"doc": doc, "seq": e["seq"], "target_url": href[1:] if inside else href, "url_display_text": "".join(r["text"] for r in run).strip(), "url_type": "internal" if inside else "external"})
+        out += [{"doc": doc, "seq": e["seq"], "target_url": u, "url_display_text": "", "url_type": "bare_text"} for u in re.findall(r"https?://[^\s<>\"]+|www\.[^\s<>\"]+", e.get("text") or "")]
     return out
 
 
@@ -291,6 +289,18 @@ def read_word(files: DataFrame, view: str) -> DataFrame:
     return files.select("doc", "content").mapInPandas(run, schema)
 
 
+def element_inventory(files: DataFrame) -> DataFrame:
+    """(doc, paragraphs, headings, tables, lists, textboxes, <kind>_links, images, tracked_changes, comments): what a conversion
+    of every package meets; unreadable ones are left out."""
+    kind = lambda k: F.count_if(F.col("kind") == k)
+    rows = read_word(files, "elements").where("error is null").groupBy("doc").agg(
+        kind("paragraph").alias("paragraphs"), F.count_if(F.col("style").rlike(r"^Heading \d$")).alias("headings"), kind("table").alias("tables"), F.count("list_level").alias("lists"), kind("textbox").alias("textboxes")
+    )
+    links = read_word(files, "links").groupBy("doc").agg(*[F.count_if(F.col("url_type") == t).alias(n) for t, n in (("external", "external_links"), ("internal", "internal_links"), ("bare_text", "bare_links"))])
+    flags = read_word(files, "flags").select("doc", F.col("has_images").alias("images"), F.col("has_tracked_changes").alias("tracked_changes"), F.col("has_comments").alias("comments"))
+    return rows.join(links, "doc", "left").fillna(0).join(flags, "doc")
+
+
 def unreadable(files: DataFrame) -> DataFrame:
     """(filename, error) of the packages that cannot be read."""
     return read_word(files, "flags").where("error is not null").select(F.col("doc").alias("filename"), "error")

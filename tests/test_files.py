@@ -112,7 +112,9 @@ def test_marks_links_and_text_boxes(spark, tmp_path):
     assert not (a["has_images"] or a["has_comments"] or a["has_embedded_objects"]) and "BadZipFile" in flags["bad.docx"]["error"]
     assert [r["filename"] for r in office.unreadable(docs).collect()] == ["bad.docx"]
     links = {(r["url_type"], r["target_url"], r["url_display_text"]) for r in office.read_word(docs, "links").collect()}
-    assert links == {("internal_anchor", "#there", "see there"), ("plain_text", "www.example.org/x", "www.example.org/x")}
+    assert links == {("internal", "there", "see there"), ("bare_text", "www.example.org/x", "")}
+    found = {r["doc"]: (r["paragraphs"], r["tables"], r["textboxes"], r["internal_links"], r["bare_links"], r["images"]) for r in office.element_inventory(docs).collect()}
+    assert found["a.docx"] == (3, 1, 1, 1, 1, False)
     rows = [(r["kind"], r["text"]) for r in office.read_word(docs, "elements").where("doc = 'a.docx'").orderBy("seq").collect()]
     assert rows[:2] == [("paragraph", "around"), ("textbox", "boxed")]
 

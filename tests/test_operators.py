@@ -172,6 +172,19 @@ def test_family_packing():
     assert packing.pack_sections([{"heading": h, "chars": c} for h, c in (("a", 5), ("b", 6), ("c", 30), ("d", 1))], 12) == [("b", 11, 2), ("c", 30, 1), ("d", 1, 1)]
 
 
+def test_known_packings(spark):
+    """A published catalog of 207 controls packs into 9 chunks, and 36 controls of 6 domains into 8 batches."""
+    sizes = {"A&A": (6, 1349), "AIS": (8, 1753), "BCR": (11, 2553), "CCC": (9, 1996), "CEK": (21, 5132), "DCS": (18, 4483), "DSP": (19, 4490), "GRC": (8, 1779), "HRS": (13, 3579), "IAM": (15, 3265),
+             "IPY": (4, 1274), "I&S": (9, 2251), "LOG": (14, 2827), "SEF": (10, 2529), "STA": (16, 3317), "TVM": (12, 2920), "UEM": (14, 2474)}
+    rows = [("c", f, k, f"{f}-{n + 1:02d}", chars // count + (n < chars % count)) for k, (f, (count, chars)) in enumerate(sizes.items()) for n in range(count)]
+    chunks = packing.family_chunks(spark.createDataFrame(rows, "collection string, family string, ord int, id string, chars int").repartition(5), 30, 7_000)
+    want = [("A&A+AIS+BCR", 25), ("CCC", 9), ("CEK", 21), ("DCS", 18), ("DSP+GRC", 27), ("HRS+IAM", 28), ("IPY+I&S+LOG", 27), ("SEF+STA", 26), ("TVM+UEM", 26)]
+    assert [(r["families"], r["members"]) for r in chunks.orderBy("chunk_no").collect()] == want
+    domains = [(d, 100 * d + k) for d, n in enumerate((4, 1, 21, 2, 7, 1)) for k in range(n)]
+    numbers = packing.batches(spark.createDataFrame(domains, "d int, k int").selectExpr("cast(d as string) as d", "k"), "d", "k", 8).groupBy("batch_no").count().orderBy("batch_no").collect()
+    assert [r["count"] for r in numbers] == [4, 1, 8, 8, 5, 2, 7, 1]
+
+
 def test_identifiers(spark):
     rows = [one(spark, packing.base_id(F.lit(x))) for x in ("AC-2", "AC-2(1)", "AC-2(1)(a)", "A&A-01")]
     assert rows == ["AC-2", "AC-2", "AC-2", "A&A-01"]
