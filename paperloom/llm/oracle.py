@@ -31,6 +31,10 @@ s as (select distinct field_name, id, unnest(list_transform(range(1, len(w) - 1)
 c as (select a.field_name, a.id as i, b.id as j, count(*) as common from s a join s b on a.field_name = b.field_name and a.g = b.g and a.id < b.id group by 1, 2, 3)
 select c.field_name, i as row_id_1, j as row_id_2 from c join z x on x.field_name = c.field_name and x.id = i join z y on y.field_name = c.field_name and y.id = j where common >= 0.6::double * (x.n + y.n - common) - 1e-9"""
 
+P2_GROUPS = f"""with recursive p as ({P2}), e as (select field_name, row_id_1 as a, row_id_2 as b from p union all select field_name, row_id_2, row_id_1 from p),
+r as (select distinct field_name, a, a as n from e union select r.field_name, r.a, e.b from r join e on e.field_name = r.field_name and e.a = r.n), g as (select field_name, a, min(n) as group_id from r group by 1, 2), d as (select field_name, a, count(*) as links from e group by 1, 2)
+select g.field_name, g.a as row_id, group_id, links from g join d on g.field_name = d.field_name and g.a = d.a"""
+
 P6 = """with r as (select distinct entry_id, document, acronym, occurrences from acronym_per_document),
 v as (select document, upper(regexp_replace(acronym, '^[\\s/-]+|[\\s/-]+$', '', 'g')) as acronym, occurrences from r),
 c as (select acronym, sum(occurrences)::bigint as occurrences, count(distinct document) as documents from v where acronym <> '' and occurrences > 0 group by 1),
@@ -48,6 +52,7 @@ from t join m1 on t.doc_id = m1.doc_id join m2 on t.doc_id = m2.doc_id join m3 o
 SQL: dict[str, str] = {
     "p1_found": P1,
     "p2_found": P2,
+    "p2_groups": P2_GROUPS,
     "p4_found": P4,
     "p6_found": P6 + " select acronym, band from b where band <> 'kept'",
     "p6_counts": P6 + " select acronym, occurrences, documents, band from b",
