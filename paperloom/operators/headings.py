@@ -111,7 +111,8 @@ def section_extents(elements: DataFrame, deepest: int = 3) -> DataFrame:
 
     A section of level k ends before the next heading of level k or less; its characters are those of its paragraphs
     with one between two, the heading included. Running sums give the sizes, so no paragraph is joined to a section.
-    A document without headings is one section.
+    A document without headings is one section, chosen with the others and not by a union: within larger plans, Spark loses
+    the partitioning of a union that it has relied on, and the query fails.
     """
     w = by_document()
     real = F.when(~F.col("fake"), F.col("level"))
@@ -122,15 +123,14 @@ def section_extents(elements: DataFrame, deepest: int = 3) -> DataFrame:
     end = {k: F.min(F.when(F.col("level") <= k, F.struct("seq", "sum_before"))).over(after(w)) for k in range(1, deepest + 1)}
     chosen = F.coalesce(*[F.when(F.col("level") == k, end[k]) for k in end])
     rows = rows.withColumns({"e": chosen, "total": total, "count": count.cast("bigint"), "has": has})
-    inside = rows.where(F.col("level").between(1, deepest)).select(
-        "doc_id", F.col("seq").cast("bigint").alias("start_seq"), F.coalesce(F.col("e.seq").cast("bigint"), F.col("count")).alias("end_seq"), F.col("level").cast("bigint").alias("level"),
-        F.col("text").alias("heading"), "sum_before", F.coalesce(F.col("e.sum_before"), F.col("total")).alias("sum_end"),
-    )
-    whole = rows.where(F.col("has").isNull() & (F.col("seq") == 0)).select(
-        "doc_id", F.lit(0).cast("bigint").alias("start_seq"), F.col("count").alias("end_seq"), F.lit(0).cast("bigint").alias("level"), F.lit(NO_HEADINGS).alias("heading"), F.lit(0).cast("bigint").alias("sum_before"), F.col("total").alias("sum_end"),
+    whole = F.col("has").isNull() & (F.col("seq") == 0)
+    zero = F.lit(0).cast("bigint")
+    sections = rows.where(F.col("level").between(1, deepest) | whole).select(
+        "doc_id", F.col("seq").cast("bigint").alias("start_seq"), F.coalesce(F.col("e.seq").cast("bigint"), F.col("count")).alias("end_seq"), F.when(whole, zero).otherwise(F.col("level").cast("bigint")).alias("level"),
+        F.when(whole, F.lit(NO_HEADINGS)).otherwise(F.col("text")).alias("heading"), F.when(whole, zero).otherwise(F.col("sum_before")).alias("sum_before"), F.coalesce(F.col("e.sum_before"), F.col("total")).alias("sum_end"),
     )
     n = F.col("end_seq") - F.col("start_seq")
-    return inside.unionByName(whole).select("doc_id", "start_seq", "end_seq", "level", "heading", (F.col("sum_end") - F.col("sum_before") + n - 1).alias("chars"), n.alias("paragraphs"))
+    return sections.select("doc_id", "start_seq", "end_seq", "level", "heading", (F.col("sum_end") - F.col("sum_before") + n - 1).alias("chars"), n.alias("paragraphs"))
 
 
 def standard_section(heading: Column) -> Column:

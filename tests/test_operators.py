@@ -295,3 +295,18 @@ def test_elements_with_nulls_and_no_rows(spark):
     assert got == [(2, 0, None), (3, 0, None), (3, 1, 2)]
     assert text_lines(docs.where("false")).count() == 0
     assert measures.month_over_month(spark.createDataFrame([], "d date"), "d").count() == 0
+
+
+def test_extents_join_without_broadcast(spark):
+    docs = spark.createDataFrame([(d, "\n".join(f"line {k}" for k in range(9))) for d in range(300)], "doc_id bigint, text string").repartition(4)
+    sections = spark.createDataFrame([(d, s, "Heading 1", 1, False) for d in range(0, 300, 2) for s in (0, 5)], "doc_id bigint, start_para_index bigint, heading_style string, heading_level int, is_fake_heading boolean").repartition(4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = text_elements(docs, sections)
+        extents = headings.section_extents(lines)
+        whole = profile.sizes(lines).join(profile.standard_presence(extents), "doc_id", "left").join(profile.largest_section(extents), "doc_id", "left")
+        rows = whole.collect()
+        assert len(rows) == 300 and sum(r["largest_section"] == headings.NO_HEADINGS for r in rows) == 150 and {r["missing"] for r in rows} == {"purpose, scope, intent, controls, appendix"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
