@@ -6,9 +6,11 @@ import difflib
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import groupby
+from itertools import combinations, groupby
+from math import comb
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +25,11 @@ RARE = 16
 LEVELS = (0.96, 0.93)
 #: Longest grams of names that are compared, and counters of their frequency.
 LONGEST_GRAM, COUNTERS = 6, 1 << 16
+#: Most shortened forms of a name that are compared whole; most characters without partner of two names that are compared by
+#: halves, and the shortest half.
+FORMS, APART, HALF = 500, 5, 8
+#: Bytes of forms that are matched at once, and names that are shortened at once.
+PART_BYTES, NAMES = 8 << 20, 1_000
 
 
 def least_shared(n1: int, n2: int, threshold: float) -> int:
@@ -55,8 +62,146 @@ def grams(text: str, q: int) -> list[tuple[str, int]]:
     return out
 
 
+def sides(n1: int, n2: int, threshold: float) -> tuple[str, list[list[tuple]]] | None:
+    """How names of these lengths are compared, and what each side does for it: (salt, from the end, characters taken, characters
+    left out) for every kind of shortened form. None if they can't be more alike than the threshold.
+
+    Names with a common subsequence of M characters have an equal form once all but M are left out (``whole``). Where these are
+    too many: if at most ``APART`` characters have no partner, either the first half of the first name and what stands before a
+    cut of the second have less than half of them, or the rest of both at most half (``halves``). Else their grams are compared.
+    """
+    least = least_shared(n1, n2, threshold)
+    if least > min(n1, n2):
+        return None
+    a, b = n1 - least, n2 - least
+    if comb(n1, a) <= FORMS and comb(n2, b) <= FORMS:
+        return "whole", [[(f"{least}", False, n1, a)], [(f"{least}", False, n2, b)]]
+    half = n1 // 2
+    if a + b > APART or half < HALF:
+        return "grams", [[], []]
+    out: list[list[tuple]] = [[], []]
+    for back, taken, most in ((False, half, (a + b - 1) // 2), (True, n1 - half, (a + b) // 2)):
+        for x in range(min(a, most) + 1):
+            for y in range(min(b, most - x) + 1):
+                if taken - x + y <= n2:
+                    salt = f"{back} {taken} {x} {y}"
+                    out[0].append((salt, back, taken, x))
+                    out[1].append((salt, back, taken - x + y, y))
+    return "halves", out
+
+
+def forms(codes: np.ndarray, left_out: int) -> np.ndarray:
+    """Hashes of all that remains of each row when so many of its characters are left out; equal texts have equal ones."""
+    n = codes.shape[1]
+    base, around = 0x9E3779B97F4A7C15, 1 << 64
+    sums = np.zeros((len(codes), n + 1), np.uint64)
+    np.cumsum(codes * np.array([pow(base, k, around) for k in range(n)], np.uint64), axis=1, out=sums[:, 1:])
+    gone = np.array(list(combinations(range(n), left_out)), np.int64).reshape(comb(n, left_out), left_out)
+    out, start = np.zeros((len(codes), len(gone)), np.uint64), np.zeros(len(gone), np.int64)
+    for k in range(left_out + 1):
+        end = gone[:, k] if k < left_out else np.full(len(gone), n)
+        out += (sums[:, end] - sums[:, start]) * np.uint64(pow(base, -k, around))
+        start = end + 1
+    return out
+
+
+def shortened_pairs(left: DataFrame, right: DataFrame, kinds: tuple[dict[int, list[tuple]], dict[int, list[tuple]]], parts: int) -> DataFrame:
+    """(name1, k1, name2, k2): the pairs with an equal shortened form, and few others. ``kinds`` has, for each side and
+    length, the forms that are compared (``sides``).
+
+    A form is 4 bytes of its hash and 4 of its name's; those of one part of the hashes are sorted and met in one step.
+    """
+    from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
+
+    kind = np.dtype([("form", "<u4"), ("id", "<i4")])
+
+    def signed(side: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            salts: dict[str, np.uint64] = {}
+            for batch in batches:
+                of_length: dict[int, list[tuple[int, str]]] = {}
+                for ident, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    of_length.setdefault(len(text), []).append((ident, text))
+                for n, names in of_length.items():
+                    for at in range(0, len(names), NAMES):
+                        some = names[at : at + NAMES]
+                        ids = np.array([i for i, _ in some], np.int32)
+                        codes = np.array([t for _, t in some], f"U{n}").view(np.uint32).reshape(len(some), n).astype(np.uint64) + np.uint64(1) if n else np.zeros((len(some), 0), np.uint64)
+                        for salt, back, taken, left_out in kinds[side].get(n, ()):
+                            if salt not in salts:
+                                salts[salt] = np.uint64(crc32(salt.encode()) * 0xD6E8FEB86659FD93 % (1 << 64))
+                            found = forms(codes[:, n - taken :] if back else codes[:, :taken], left_out)
+                            own = np.repeat(ids, found.shape[1])
+                            h = found.ravel() + salts[salt]
+                            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+                            h ^= h >> np.uint64(32)
+                            part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+                            order = np.argsort(part, kind="stable")
+                            rows = np.empty(len(h), kind)
+                            rows["form"], rows["id"] = (h & np.uint64(0xFFFFFFFF))[order], own[order]
+                            which, starts = np.unique(part[order], return_index=True)
+                            cut = [x.tobytes() for x in np.split(rows, starts[1:])]
+                            yield pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), pa.array([side] * len(which), pa.int32()), pa.array(cut, pa.binary())], names=["part", "side", "forms"])
+
+        return run
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def matched(held: tuple[list, list]) -> Iterator[pa.RecordBatch]:
+            a, b = (np.unique(np.frombuffer(b"".join(x), kind)) for x in held)
+            low, high = np.searchsorted(b["form"], a["form"], "left"), np.searchsorted(b["form"], a["form"], "right")
+            hit = np.nonzero(high > low)[0]
+            ends = np.cumsum(high[hit] - low[hit])
+            at = 0
+            while at < len(hit):  # at most a million pairs at once, but for a form that has more
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 1_000_000, "right")))
+                some, counts = hit[at:to], (high - low)[hit[at:to]]
+                inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                pairs = np.unique(np.stack([np.repeat(a["id"][some], counts), b["id"][np.repeat(low[some], counts) + inside]], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["id1", "id2"])
+                at = to
+
+        now, held = None, ([], [])
+        for batch in batches:
+            for part, side, some in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != now:
+                    yield from matched(held)
+                    now, held = part, ([], [])
+                held[side].append(some)
+        yield from matched(held)
+
+    schema = StructType([StructField("part", IntegerType()), StructField("side", IntegerType()), StructField("forms", BinaryType())])
+    one, two = left.withColumn("id1", F.hash("name1")), right.withColumn("id2", F.hash("name2"))
+    signs = one.select("id1", "k1").mapInArrow(signed(0), schema).unionByName(two.select("id2", "k2").mapInArrow(signed(1), schema))
+    met = signs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(meet, "id1 int, id2 int").distinct()
+    return met.join(one, "id1").join(two, "id2").select("name1", "k1", "name2", "k2")
+
+
 def candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """(name1, k1, name2, k2): all pairs that can be more alike than the threshold, and others.
+    """(name1, k1, name2, k2): all pairs that can be more alike than the threshold, and others: by shortened forms where
+    these are few (``sides``), else by shared grams."""
+    lengths = [{r["n"]: r["c"] for r in df.groupBy(F.length(k).alias("n")).agg(F.count(F.lit(1)).alias("c")).collect()} for df, k in ((left, "k1"), (right, "k2"))]
+    kinds: tuple[dict[int, list[tuple]], dict[int, list[tuple]]] = ({}, {})
+    filters = {}
+    for x in sorted(lengths[0]):
+        for y in sorted(lengths[1]):
+            if not x + y or not (how := sides(x, y, threshold)):
+                continue
+            if how[0] == "grams":
+                filters[x, y] = gram_filter(x, y, threshold)
+            for own, n, told in zip(kinds, (x, y), how[1], strict=True):
+                own[n] = list(dict.fromkeys([*own.get(n, ()), *told]))
+    entries = sum(counts[n] * comb(taken, left_out) for counts, own in zip(lengths, kinds, strict=True) for n, told in own.items() for _, _, taken, left_out in told)
+    found = shortened_pairs(left, right, kinds, 1 + 8 * entries // PART_BYTES) if entries else None
+    if filters:
+        others = shared_grams(left, right, filters)
+        found = found.unionByName(others).distinct() if found is not None else others
+    if found is None:
+        return left.sparkSession.createDataFrame([], "name1 string, k1 string, name2 string, k2 string")
+    return found
+
+
+def shared_grams(left: DataFrame, right: DataFrame, filters: dict[tuple[int, int], tuple[int, int]]) -> DataFrame:
+    """(name1, k1, name2, k2): all pairs of these lengths that share as many grams as ``filters`` says, and others.
 
     Of two texts that share c grams, some one is among the rarest n - c + 1 of both, whatever order is taken; these
     are joined on equality, for every two lengths. Counters of fixed size tell what is rare.
@@ -72,8 +217,6 @@ def candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame
 
     keys = left.select(F.col("k1").alias("k")).unionByName(right.select(F.col("k2").alias("k")))
     often = {r["g"]: r["n"] for r in keys.mapInArrow(count, "g int, n bigint").groupBy("g").agg(F.sum("n").alias("n")).collect()}
-    lengths = [sorted(r[0] for r in df.select(F.length(k)).distinct().collect()) for df, k in ((left, "k1"), (right, "k2"))]
-    filters = {(x, y): f for x in lengths[0] for y in lengths[1] if x + y and (f := gram_filter(x, y, threshold))}
     shared = spark.sparkContext.broadcast((often, filters))
 
     def signed(side: int):

@@ -310,3 +310,18 @@ def test_extents_join_without_broadcast(spark):
         assert len(rows) == 300 and sum(r["largest_section"] == headings.NO_HEADINGS for r in rows) == 150 and {r["missing"] for r in rows} == {"purpose, scope, intent, controls, appendix"}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_few_pairs_of_numbered_names_are_compared(spark):
+    rng = random.Random(6)
+    names = sorted({f"{rng.choice(['pol', 'std', 'gdl'])} {rng.choice(['sc', 'ac', 'ir'])} 20{rng.randrange(18, 26)} {rng.randrange(30_000):06}{rng.choice(['', ' ', ' part '])}{rng.randrange(10**6)}" for _ in range(400)})
+    names += [n[:k] + n[k + 1 :] for n in names[::3] for k in (3, len(n) - 2)] + [n[:20] + "xyzuv"[: rng.randrange(1, 6)] + n[20:] for n in names[::5]]
+    names = sorted({n[:30] for n in names})
+    left, right = names[::2], names[1::2]
+    for threshold in (0.93, 0.9):
+        kinds = {docdiff.sides(len(x), len(y), threshold)[0] for x in left for y in right if docdiff.sides(len(x), len(y), threshold)}
+        assert kinds == {"whole", "halves"}
+        want = {(x, y) for x in left for y in right if difflib.SequenceMatcher(None, x, y).ratio() > threshold}
+        one_, two = (spark.createDataFrame([(n, n) for n in side], f"name{k} string, k{k} string") for k, side in ((1, left), (2, right)))
+        got = {(r["name1"], r["name2"]) for r in docdiff.candidates(one_, two, threshold).collect()}
+        assert want <= got and len(got) < 10 * len(want)
