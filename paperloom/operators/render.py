@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import zlib
+from array import array
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +15,8 @@ from paperloom.functions.text import name_key, truncate_at_sentence
 from paperloom.operators.controls import control_ids
 
 LONG_VALUE = 120
+#: Characters of a reference that are joined in one block.
+BLOCK = 1 << 18
 
 
 def resolve(field: Mapping[str, str], columns: Mapping[str, Column]) -> tuple[Column, Column]:
@@ -203,17 +209,48 @@ def list_kind(style: Column, level: Column) -> tuple[Column, Column]:
 def reference_text(controls: DataFrame, title: str | None = None, extras: Sequence[str] = (), mark: str = "###") -> DataFrame:
     """(content): controls (ord, domain, id, title, description, extras...) as one list, by domain in first-seen order.
 
-    A null domain is ``Ungrouped``; without any domain column, one flat list. Lists of domains are joined from their
-    texts, so the one value at the end holds what the reference is: a text that people and prompts read.
+    A null domain is ``Ungrouped``; without any domain column, one flat list. Rows are sorted over all tasks and joined to
+    blocks there. The one value at the end holds what the reference is, a text that people and prompts read; one task only
+    appends the blocks, which are packed until then, to it outside the heap.
     """
     entry = F.concat_ws(" ", F.concat(F.lit("- **"), "id", F.lit("**")), F.when(F.length("title") > 0, F.concat(F.lit("| "), "title")), F.concat(F.lit("| "), F.coalesce("description", F.lit(""))))
     line = F.concat_ws("\n", entry, *[F.when(F.length(F.col(x)) > 0, F.concat(F.lit(f"  - *{x}*: "), F.col(x))) for x in extras])
     domain = F.coalesce("domain", F.lit("Ungrouped")) if "domain" in controls.columns else F.lit("")
-    groups = controls.select("ord", domain.alias("_d"), line.alias("_l")).groupBy("_d").agg(F.min("ord").alias("_f"), F.array_sort(F.collect_list(F.struct("ord", "_l"))).alias("_r"))
-    body = F.array_join(F.transform("_r", lambda r: r["_l"]), "\n")
-    texts = groups.select("_f", F.when(F.col("_d") == "", body).otherwise(F.concat(F.lit(f"{mark} "), "_d", F.lit("\n"), body)).alias("_t"))
-    whole = texts.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_f", "_t"))), lambda g: g["_t"]), "\n\n").alias("content"))
-    return whole.select((F.concat(F.lit(f"# {title}\n\n"), "content") if title else F.col("content")).alias("content"))
+    lines = controls.select("ord", domain.alias("_d"), line.alias("_l"))
+    firsts = lines.groupBy("_d").agg(F.min("ord").alias("_f"), F.min(F.struct("ord", "_l")).alias("_s"))
+    head = F.when(F.struct("ord", "_l").eqNullSafe(F.col("_s")), F.when(F.col("_d") == "", "").otherwise(F.concat(F.lit(f"{mark} "), "_d", F.lit("\n"))))
+    rows = lines.join(firsts, "_d").select("_f", "_d", "ord", "_l", head.alias("_h"))
+    spark = controls.sparkSession
+    order = ("_f", "_d", "ord", "_l")  # equal rows come to one partition, so a domain begins once
+    placed = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).select("_d", "_h", "_l")
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, size, n, last = TaskContext.get().partitionId(), [], 0, 0, None
+        emit = lambda: pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n], pa.int32()), pa.array([zlib.compress("".join(held).encode(), 1)], pa.binary())], names=["part", "n", "text"])
+        for batch in batches:
+            for own, heading, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held += ["\n\n", heading, text] if heading is not None and own != last else ["\n", text]
+                last, size = own, size + len(text)
+                if size > BLOCK:
+                    yield emit()
+                    held, size, n = [], 0, n + 1
+        if held:
+            yield emit()
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, title_size = bytearray(), None
+        for batch in batches:
+            for packed in batch.column(0):
+                piece = zlib.decompress(packed.as_buffer())
+                whole += piece[2:] if title_size == len(whole) else piece  # the first domain needs no parting lines
+                title_size = len(whole) if title_size is None else title_size
+        batch = packed = piece = None  # noqa: F841  # let go before the value is sent
+        ends = pa.py_buffer(array("i", [0, len(whole)]).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(1, ends, pa.py_buffer(whole))], names=["content"])
+
+    opening = spark.range(1).select(F.lit(-1).alias("part"), F.lit(0).alias("n"), F.lit(zlib.compress(f"# {title}\n\n".encode() if title else b"")).alias("text"))
+    pieces = opening.unionByName(placed.mapInArrow(blocks, "part int, n int, text binary"))
+    return pieces.repartition(1).sortWithinPartitions("part", "n").select("text").mapInArrow(join, "content string")
 
 
 #: Ways to render the rows of a sheet.

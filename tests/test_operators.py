@@ -325,3 +325,16 @@ def test_few_pairs_of_numbered_names_are_compared(spark):
         one_, two = (spark.createDataFrame([(n, n) for n in side], f"name{k} string, k{k} string") for k, side in ((1, left), (2, right)))
         got = {(r["name1"], r["name2"]) for r in docdiff.candidates(one_, two, threshold).collect()}
         assert want <= got and len(got) < 10 * len(want)
+
+
+def test_reference_text_is_joined_from_blocks(spark, monkeypatch):
+    monkeypatch.setattr(render, "BLOCK", 40)
+    rows = [(7, "b", "x", "t", "é"), (7, "b", "x", "t", "é"), (3, None, "y", None, None), (9, "a", "z", "", "d"), (8, "b", "w", "u", "v")] + [(k, "c", f"i{k}", None, "text") for k in range(10, 60)]
+    df = spark.createDataFrame(rows, "ord bigint, domain string, id string, title string, description string").repartition(5)
+    line = lambda r: f"- **{r[2]}**" + (f" | {r[3]}" if r[3] else "") + f" | {r[4] or ''}"
+    want = "# All\n\n" + "\n\n".join(f"### {d or 'Ungrouped'}\n" + "\n".join(line(r) for r in sorted((r for r in rows if r[1] == d), key=lambda r: r[0])) for d in (None, "b", "a", "c"))
+    text = render.reference_text(df, "All")
+    assert [r["content"] for r in text.collect()] == [want]
+    assert render.reference_text(df.drop("domain")).first()["content"] == "\n".join(line(r) for r in sorted(rows, key=lambda r: r[0]))
+    assert render.reference_text(df.where("false"), "All").collect()[0]["content"] == "# All\n\n"
+    assert "collect_list" not in text._jdf.queryExecution().optimizedPlan().toString()  # no task holds all rows
