@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import difflib
+import heapq
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import combinations, groupby
 from math import comb
 from zlib import crc32
@@ -23,8 +24,12 @@ FUZZY, CHANGED = 0.9, 0.6
 RARE = 16
 #: Likeness above which names are paired first, so that fewer are left for the weaker filters of lower ones.
 LEVELS = (0.96, 0.93)
-#: Longest grams of names that are compared, and counters of their frequency.
-LONGEST_GRAM, COUNTERS = 6, 1 << 16
+#: Pairs of names of two lengths up to which all are compared, and pairs that are compared in the time that a form takes.
+MANY, FORM_COST = 1 << 34, 128
+#: Pairs and names of each side that one task compares, about; pairs that are compared at once, and pairs held for the next step.
+TASK_PAIRS, TASK_NAMES, AT_ONCE, HELD = 100_000_000, 1 << 15, 1 << 15, 1 << 20
+#: Classes of characters: bits for the counts of each (digits, others; others in finer classes), and symbols that are told apart.
+DIGIT_BITS, OTHER_BITS, FINE_BITS, SYMBOLS = [5] * 10, [2] * 7, [2] * 32, 91
 #: Most shortened forms of a name that are compared whole; most characters without partner of two names that are compared by
 #: halves, and the shortest half.
 FORMS, APART, HALF = 500, 5, 8
@@ -40,35 +45,14 @@ def least_shared(n1: int, n2: int, threshold: float) -> int:
     return least
 
 
-def gram_filter(n1: int, n2: int, threshold: float) -> tuple[int, int] | None:
-    """(q, c): texts of these lengths that are more alike than the threshold share at least c > 0 grams of q characters,
-    repeats counted; None if they can't be. The matched characters form at most one block more than there are others.
-    """
-    least = least_shared(n1, n2, threshold)
-    if least > min(n1, n2):
-        return None
-    shared = lambda q: least - (q - 1) * (n1 + n2 - 2 * least + 1)
-    return next((q, shared(q)) for q in range(LONGEST_GRAM, 0, -1) if q == 1 or (shared(q) > 0 and 2 * (max(n1, n2) - q + 1 - shared(q) + 1) <= min(n1, n2) - q + 2))
-
-
-def grams(text: str, q: int) -> list[tuple[str, int]]:
-    """The grams of a text, each with the number of its repeat."""
-    seen: Counter[str] = Counter()
-    out = []
-    for k in range(len(text) - q + 1):
-        gram = text[k : k + q]
-        out.append((gram, seen[gram]))
-        seen[gram] += 1
-    return out
-
-
 def sides(n1: int, n2: int, threshold: float) -> tuple[str, list[list[tuple]]] | None:
     """How names of these lengths are compared, and what each side does for it: (salt, from the end, characters taken, characters
     left out) for every kind of shortened form. None if they can't be more alike than the threshold.
 
     Names with a common subsequence of M characters have an equal form once all but M are left out (``whole``). Where these are
     too many: if at most ``APART`` characters have no partner, either the first half of the first name and what stands before a
-    cut of the second have less than half of them, or the rest of both at most half (``halves``). Else their grams are compared.
+    cut of the second have less than half of them, or the rest of both at most half (``halves``). Else there are no forms that
+    are few enough (``all``), and every pair is compared.
     """
     least = least_shared(n1, n2, threshold)
     if least > min(n1, n2):
@@ -78,7 +62,7 @@ def sides(n1: int, n2: int, threshold: float) -> tuple[str, list[list[tuple]]] |
         return "whole", [[(f"{least}", False, n1, a)], [(f"{least}", False, n2, b)]]
     half = n1 // 2
     if a + b > APART or half < HALF:
-        return "grams", [[], []]
+        return "all", [[], []]
     out: list[list[tuple]] = [[], []]
     for back, taken, most in ((False, half, (a + b - 1) // 2), (True, n1 - half, (a + b) // 2)):
         for x in range(min(a, most) + 1):
@@ -176,110 +160,232 @@ def shortened_pairs(left: DataFrame, right: DataFrame, kinds: tuple[dict[int, li
     return met.join(one, "id1").join(two, "id2").select("name1", "k1", "name2", "k2")
 
 
-def candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """(name1, k1, name2, k2): all pairs that can be more alike than the threshold, and others: by shortened forms where
-    these are few (``sides``), else by shared grams."""
-    lengths = [{r["n"]: r["c"] for r in df.groupBy(F.length(k).alias("n")).agg(F.count(F.lit(1)).alias("c")).collect()} for df, k in ((left, "k1"), (right, "k2"))]
-    kinds: tuple[dict[int, list[tuple]], dict[int, list[tuple]]] = ({}, {})
-    filters = {}
-    for x in sorted(lengths[0]):
-        for y in sorted(lengths[1]):
-            if not x + y or not (how := sides(x, y, threshold)):
-                continue
-            if how[0] == "grams":
-                filters[x, y] = gram_filter(x, y, threshold)
-            for own, n, told in zip(kinds, (x, y), how[1], strict=True):
-                own[n] = list(dict.fromkeys([*own.get(n, ()), *told]))
-    entries = sum(counts[n] * comb(taken, left_out) for counts, own in zip(lengths, kinds, strict=True) for n, told in own.items() for _, _, taken, left_out in told)
-    found = shortened_pairs(left, right, kinds, 1 + 8 * entries // PART_BYTES) if entries else None
-    if filters:
-        others = shared_grams(left, right, filters)
-        found = found.unionByName(others).distinct() if found is not None else others
-    if found is None:
-        return left.sparkSession.createDataFrame([], "name1 string, k1 string, name2 string, k2 string")
-    return found
-
-
-def shared_grams(left: DataFrame, right: DataFrame, filters: dict[tuple[int, int], tuple[int, int]]) -> DataFrame:
-    """(name1, k1, name2, k2): all pairs of these lengths that share as many grams as ``filters`` says, and others.
+def counted(classes: np.ndarray, bits: list[int]) -> np.ndarray:
+    """For each row, how often each class occurs, as so many ones of its bits; classes beyond ``bits`` don't count.
 
-    Of two texts that share c grams, some one is among the rarest n - c + 1 of both, whatever order is taken; these
-    are joined on equality, for every two lengths. Counters of fixed size tell what is rare.
+    The bits in which two rows differ are at most the characters without partner in both.
     """
-    spark = left.sparkSession
+    most = np.array(bits, np.int64)
+    kinds = len(bits) + 1
+    of = np.minimum(classes, len(bits)) + np.arange(len(classes))[:, None] * kinds
+    counts = np.bincount(of.ravel(), minlength=len(classes) * kinds).reshape(len(classes), kinds)[:, :-1]
+    ones = (np.uint64(1) << np.minimum(counts, most).astype(np.uint64)) - np.uint64(1)
+    return np.bitwise_or.reduce(ones << (np.cumsum(most) - most).astype(np.uint64), axis=1)
+
+
+class Names:
+    """Texts of one length as arrays: their codes, and the counts of their characters, coarse and fine."""
+
+    def __init__(self, texts: list[str]):
+        self.n = len(texts[0])
+        self.texts = texts
+        codes = np.array(texts, f"U{self.n}").view(np.uint32).reshape(len(texts), self.n).astype(np.int64)
+        digit = (codes >= 48) & (codes < 58)
+        self.coarse = counted(np.where(digit, codes - 48, 10 + codes % len(OTHER_BITS)), DIGIT_BITS + OTHER_BITS)
+        self.fine = counted(np.where(digit, len(FINE_BITS), codes % len(FINE_BITS)), FINE_BITS)
+        self.codes = codes % SYMBOLS
+        self._places: np.ndarray | None = None
+
+    @property
+    def places(self) -> np.ndarray:
+        """For each text and symbol, a bit for every place where it stands (at most 64)."""
+        if self._places is None:
+            self._places = np.zeros((len(self.texts), SYMBOLS), np.uint64)
+            for k in range(self.n):
+                self._places[np.arange(len(self.texts)), self.codes[:, k]] |= np.uint64(1 << k)
+        return self._places
+
+
+def common(one: Names, two: Names, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The length of the longest common subsequence of every two texts (i of one, j of two), or more, where characters that
+    are told apart as one symbol make it longer. Bits of a word stand for the places of the first text (Hyyro 2004)."""
+    if one.n > 64:
+        return np.array([common_of_long(one.texts[x], two.texts[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
+    open_, table, at = np.full(len(i), (1 << 64) - 1, np.uint64), one.places.ravel(), i * SYMBOLS
+    for k in range(two.n):
+        met = open_ & table[at + two.codes[j, k]]
+        open_ = (open_ + met) | (open_ - met)
+    return one.n - np.bitwise_count(open_ & np.uint64((1 << one.n) - 1)).astype(np.int64)
+
+
+def common_of_long(a: str, b: str) -> int:
+    """The length of the longest common subsequence of two texts of any length."""
+    places: dict[str, int] = {}
+    for k, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << k
+    every = open_ = (1 << len(a)) - 1
+    for c in b:
+        met = open_ & places.get(c, 0)
+        open_ = ((open_ + met) | (open_ - met)) & every
+    return len(a) - open_.bit_count()
+
+
+def close_pairs(one: Names, two: Names, apart: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, common) of all pairs with at most ``apart`` characters without partner, told by their longest common subsequence:
+    the counts of characters are compared for every pair, all else for few."""
+    digits = np.uint64((1 << sum(DIGIT_BITS)) - 1)
+
+    def close(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        unlike = np.bitwise_count((one.coarse[i] ^ two.coarse[j]) & digits) + np.bitwise_count(one.fine[i] ^ two.fine[j])
+        i, j = i[unlike <= apart], j[unlike <= apart]
+        shared = common(one, two, i, j)
+        near = one.n + two.n - 2 * shared <= apart
+        return i[near], j[near], shared[near]
+
+    width = min(len(two.texts), AT_ONCE // 4)
+    height = max(1, AT_ONCE // width)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    count = 0
+    for right in range(0, len(two.texts), width):
+        some = two.coarse[right : right + width]
+        for left in range(0, len(one.texts), height):
+            hits = np.flatnonzero(np.bitwise_count(one.coarse[left : left + height, None] ^ some) <= apart)
+            if len(hits):
+                i, j = np.divmod(hits, len(some))
+                held.append((left + i, right + j))
+                count += len(hits)
+            if count >= HELD:
+                yield close(*map(np.concatenate, zip(*held, strict=True)))
+                held, count = [], 0
+    if held:
+        yield close(*map(np.concatenate, zip(*held, strict=True)))
+
+
+CANDIDATE = "name1 string, k1 string, name2 string, k2 string, bound double"
+
+
+def by_length(rows: list[tuple[str, str]]) -> dict[int, tuple[pa.Array, Names]]:
+    """For each length of the keys, the names with it and their keys."""
+    of: dict[int, list[tuple[str, str]]] = {}
+    for name, key in rows:
+        of.setdefault(len(key), []).append((name, key))
+    return {n: (pa.array([name for name, _ in some], pa.string()), Names([key for _, key in some])) for n, some in of.items() if n}
+
+
+def candidate_rows(one: tuple[pa.Array, Names], two: tuple[pa.Array, Names], i: np.ndarray, j: np.ndarray, shared: np.ndarray) -> pa.RecordBatch:
+    """Pairs as rows of ``candidates``."""
+    columns = [x for (names, keys), at in ((one, i), (two, j)) for x in (names.take(pa.array(at)), pa.array([keys.texts[k] for k in at.tolist()], pa.string()))]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(2.0 * shared / (one[1].n + two[1].n))], names=["name1", "k1", "name2", "k2", "bound"])
+
+
+def compared_pairs(left: DataFrame, right: DataFrame, apart: dict[tuple[int, int], int], pairs: int) -> DataFrame:
+    """The rows of ``candidates`` of these lengths, from a comparison of all ``pairs`` pairs: both sides are cut into blocks,
+    and every block of one meets every block of the other. ``apart`` has the most characters without partner."""
+    side_lengths = [sorted({p[k] for p in apart}) for k in (0, 1)]
+    one, two = (df.where(F.length(k).isin(ns)) for df, k, ns in ((left, "k1", side_lengths[0]), (right, "k2", side_lengths[1])))
+    by_pairs = int((pairs / TASK_PAIRS) ** 0.5) + 1
+    cuts = [max(by_pairs, df.count() // TASK_NAMES + 1) for df in (one, two)]
+
+    def blocks(df: DataFrame, side: int) -> DataFrame:
+        own, others = F.pmod(F.xxhash64(f"name{side + 1}"), F.lit(cuts[side])).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(cuts[1 - side] - 1)))
+        cut = df.select(own.alias("own"), others.alias("other"), F.col(f"name{side + 1}").alias("name"), F.col(f"k{side + 1}").alias("k"))
+        part = F.col("own") * cuts[1] + F.col("other") if side == 0 else F.col("other") * cuts[1] + F.col("own")
+        return cut.select(part.alias("part"), F.lit(side).alias("side"), "name", "k")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def matched(held: tuple[list, list]) -> Iterator[pa.RecordBatch]:
+            if held[0] and held[1]:
+                ones, twos = map(by_length, held)
+                for (x, y), most in apart.items():
+                    if x in ones and y in twos:
+                        for found in close_pairs(ones[x][1], twos[y][1], most):
+                            yield candidate_rows(ones[x], twos[y], *found)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[int] = Counter()
+        now, held = None, ([], [])
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total.update(crc32(g.encode()) % COUNTERS for q in range(1, LONGEST_GRAM + 1) for g, _ in grams(text, q))
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], names=["g", "n"])
+            for part, side, name, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != now:
+                    yield from matched(held)
+                    now, held = part, ([], [])
+                held[side].append((name, key))
+        yield from matched(held)
 
-    keys = left.select(F.col("k1").alias("k")).unionByName(right.select(F.col("k2").alias("k")))
-    often = {r["g"]: r["n"] for r in keys.mapInArrow(count, "g int, n bigint").groupBy("g").agg(F.sum("n").alias("n")).collect()}
-    shared = spark.sparkContext.broadcast((often, filters))
+    return blocks(one, 0).unionByName(blocks(two, 1)).repartitionById(cuts[0] * cuts[1], "part").sortWithinPartitions("part").mapInArrow(meet, CANDIDATE)
 
-    def signed(side: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            often, filters = shared.value
-            of_length: dict[int, list] = {}
-            for pair, f in filters.items():
-                of_length.setdefault(pair[side], []).append((pair, *f))
-            for batch in batches:
-                out = []
-                for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    ranked: dict[int, list] = {}
-                    for (x, y), q, c in of_length.get(len(text), ()):
-                        if q not in ranked:
-                            ranked[q] = sorted(grams(text, q), key=lambda g: (often[crc32(g[0].encode()) % COUNTERS], g))
-                        out += [(name, text, f"{x} {y} {n} {g}") for g, n in ranked[q][: len(ranked[q]) - c + 1]]
-                columns = list(zip(*out, strict=True)) or [()] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=[f"name{side + 1}", f"k{side + 1}", "gram"])
 
-        return run
+def candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """(name1, k1, name2, k2, bound): all pairs that can be more alike than the threshold, and how alike they are at most: no
+    comparison matches more characters than their longest common subsequence has. Lengths with very many names are met by
+    shortened forms where these are few (``sides``), all others by a comparison of every pair. With forms, a pair may come
+    twice. A null or empty key is in no pair.
+    """
+    lengths = [{r["n"]: r["c"] for r in df.groupBy(F.length(k).alias("n")).agg(F.count(F.lit(1)).alias("c")).collect() if r["n"]} for df, k in ((left, "k1"), (right, "k2"))]
+    kinds: tuple[dict[int, list[tuple]], dict[int, list[tuple]]] = ({}, {})
+    apart: dict[tuple[int, int], int] = {}
+    pairs = 0
+    for x, one in sorted(lengths[0].items()):
+        for y, two in sorted(lengths[1].items()):
+            if not (how := sides(x, y, threshold)):
+                continue
+            cost = FORM_COST * sum(c * comb(taken, left_out) for c, told in zip((one, two), how[1], strict=True) for _, _, taken, left_out in told)
+            if how[0] == "all" or one * two <= max(MANY, cost):
+                apart[x, y] = x + y - 2 * least_shared(x, y, threshold)
+                pairs += one * two
+                continue
+            for own, n, told in zip(kinds, (x, y), how[1], strict=True):
+                own[n] = list(dict.fromkeys([*own.get(n, ()), *told]))
+    entries = sum(counts[n] * comb(taken, left_out) for counts, own in zip(lengths, kinds, strict=True) for n, told in own.items() for _, _, taken, left_out in told)
 
-    one = left.mapInArrow(signed(0), "name1 string, k1 string, gram string")
-    two = right.mapInArrow(signed(1), "name2 string, k2 string, gram string")
-    return one.join(two, "gram").select("name1", "k1", "name2", "k2").distinct()
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of: dict[tuple[int, int], list[tuple]] = {}
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                of.setdefault((len(row[1]), len(row[3])), []).append(row)
+            for (x, y), rows in of.items():
+                one, two = (by_length([(r[k], r[k + 1]) for r in rows])[n] for k, n in ((0, x), (2, y)))
+                every = np.arange(len(rows))
+                shared = common(one[1], two[1], every, every)
+                near = 2.0 * shared / (x + y) > threshold
+                yield candidate_rows(one, two, every[near], every[near], shared[near])
+
+    found = [shortened_pairs(left, right, kinds, 1 + 8 * entries // PART_BYTES).mapInArrow(bound, CANDIDATE)] if entries else []
+    if apart:
+        found.append(compared_pairs(left, right, apart, pairs))
+    return reduce(DataFrame.unionByName, found) if found else left.sparkSession.createDataFrame([], CANDIDATE)
 
 
 def alike_pairs(left: DataFrame, right: DataFrame, threshold: float = FUZZY) -> DataFrame:
     """(name1, name2, how): of all names of both sides (name1, k1) and (name2, k2) those whose keys are more alike than
-    the threshold, greedily from the most alike. The choice itself is one task over the sorted pairs."""
+    the threshold, greedily from the most alike. The choice itself is one task over the pairs, sorted by how alike they are at most;
+    how alike they are is told for those only whose names are both free when it is their turn."""
     spark = left.sparkSession
 
-    def verify(above: float):
+    def pick(above: float):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            used1, used2 = set(), set()
+            told: list[tuple[float, str, str]] = []  # pairs that are less alike than they can be, or whose turn comes next
+
+            def choose(before: tuple[float, str, str] | None) -> Iterator[tuple[str, str, str]]:
+                while told and (before is None or told[0] < before):
+                    _, x, y = heapq.heappop(told)
+                    if x not in used1 and y not in used2:
+                        used1.add(x)
+                        used2.add(y)
+                        yield x, y, "fuzzy"
+
+            def rows(out: list[tuple[str, str, str]]) -> pa.RecordBatch:
+                columns = list(zip(*out, strict=True)) or [()] * 3
+                return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["name1", "name2", "how"])
+
             for batch in batches:
                 out = []
-                for name1, k1, name2, k2 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    match = difflib.SequenceMatcher(None, k1, k2)
-                    if match.quick_ratio() > above and (score := match.ratio()) > above:
-                        out.append((name1, name2, score))
-                columns = list(zip(*out, strict=True)) or [()] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.float64()), strict=True)], names=["name1", "name2", "score"])
+                for x, k1, y, k2, bound in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    out += choose((-bound, x, y))
+                    if x not in used1 and y not in used2 and (score := difflib.SequenceMatcher(None, k1, k2).ratio()) > above:
+                        heapq.heappush(told, (-score, x, y))
+                yield rows(out)
+            yield rows(list(choose(None)))
 
         return run
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        used1, used2 = set(), set()
-        for batch in batches:
-            out = []
-            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if x not in used1 and y not in used2:
-                    used1.add(x)
-                    used2.add(y)
-                    out.append((x, y, "fuzzy"))
-            columns = list(zip(*out, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["name1", "name2", "how"])
-
     found = spark.createDataFrame([], "name1 string, name2 string, how string")
     left, right = materialize(left), materialize(right)
-    for above in (*(x for x in LEVELS if x > threshold), threshold):
-        scored = candidates(left, right, above).mapInArrow(verify(above), "name1 string, name2 string, score double")
-        chosen = materialize(scored.repartition(1).sortWithinPartitions(F.desc("score"), "name1", "name2").mapInArrow(pick, "name1 string, name2 string, how string"))
+    levels = [*(x for x in LEVELS if x > threshold), threshold]
+    for above in levels:
+        chosen = materialize(candidates(left, right, above).repartition(1).sortWithinPartitions(F.desc("bound"), "name1", "name2").mapInArrow(pick(above), "name1 string, name2 string, how string"))
         found = found.unionByName(chosen)
-        left, right = (materialize(df.join(chosen, n, "left_anti")) for df, n in ((left, "name1"), (right, "name2")))
+        if above != levels[-1]:
+            left, right = (materialize(df.join(chosen, n, "left_anti")) for df, n in ((left, "name1"), (right, "name2")))
     return found
 
 

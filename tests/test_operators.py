@@ -327,6 +327,75 @@ def test_few_pairs_of_numbered_names_are_compared(spark):
         assert want <= got and len(got) < 10 * len(want)
 
 
+def _sides(spark, left, right):
+    return (spark.createDataFrame([(n, n) for n in side], f"name{k} string, k{k} string") for k, side in ((1, left), (2, right)))
+
+
+def _common(a, b):
+    """The length of the longest common subsequence, cell by cell."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+    return row[-1]
+
+
+def test_few_pairs_of_names_with_too_many_forms_are_candidates(spark):
+    rng = random.Random(7)
+    names = sorted({f"pol ir 2022 000007 part {rng.randrange(10**6, 2 * 10**6)}" for _ in range(400)})
+    left, right = names[::2], names[1::2]
+    want = {(x, y) for x in left for y in right if difflib.SequenceMatcher(None, x, y).ratio() > 0.9}
+    got = {(r["name1"], r["name2"]) for r in docdiff.candidates(*_sides(spark, left, right), 0.9).collect()}
+    assert want and want <= got and len(got) < 1.5 * len(want)
+
+
+@pytest.mark.parametrize("task", [300, 10**8])
+def test_every_pair_of_names_is_compared_once(spark, monkeypatch, task):
+    monkeypatch.setattr(docdiff, "TASK_PAIRS", task)
+    rng = random.Random(8)
+    base = ["net access rules for staff 2024", "регламент доступа 2024", "アクセス規則の手順書 第12版", "a" * 70 + " long name " + "b" * 20, "0" * 12 + "777", "x[y]{z}|~ & co", "ab"]
+    names = {"".join(rng.choice([c] * 14 + ["", c + "7", "é"]) for c in b) for b in base for _ in range(12)} - {""}
+    names = sorted(names)
+    left, right = names[::2], names[1::2]
+    for threshold in (0.9, 0.7):
+        bound = {(x, y): 2.0 * _common(x, y) / (len(x) + len(y)) for x in left for y in right}
+        rows = docdiff.candidates(*_sides(spark, [*left, "", None], [*right, "", None]), threshold).collect()
+        got = {(r["name1"], r["name2"]): r["bound"] for r in rows}
+        want = {k: v for k, v in bound.items() if v > threshold}
+        assert len(rows) == len(got) and set(want) <= set(got) and len(got) < 1.1 * len(want)
+        assert all(got[k] >= v for k, v in want.items())
+
+
+def test_close_pairs_in_small_steps(monkeypatch):
+    rng = random.Random(9)
+    one_, two = (docdiff.Names(["".join(rng.choice("ab01") for _ in range(n)) for _ in range(40)]) for n in (9, 10))
+    want = {(i, j, m) for i, x in enumerate(one_.texts) for j, y in enumerate(two.texts) if 19 - 2 * (m := _common(x, y)) <= 5}
+    for at_once, held in ((1 << 15, 1 << 20), (28, 3)):
+        monkeypatch.setattr(docdiff, "AT_ONCE", at_once)
+        monkeypatch.setattr(docdiff, "HELD", held)
+        got = [t for found in docdiff.close_pairs(one_, two, 5) for t in zip(*(x.tolist() for x in found), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_names_paired_by_forms_and_by_comparison_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(10)
+    names = sorted({"".join(rng.choice("aab") for _ in range(rng.randrange(18, 24))) for _ in range(240)})
+    left, right = names[::2], names[1::2]
+    ratio = lambda x, y: difflib.SequenceMatcher(None, x, y).ratio()
+    used, want = set(), set()
+    for score, x, y in sorted((-ratio(x, y), x, y) for x in left for y in right):
+        if -score > 0.9 and (1, x) not in used and (2, y) not in used:
+            used |= {(1, x), (2, y)}
+            want.add((x, y))
+    assert any(2.0 * _common(x, y) / (len(x) + len(y)) > max(0.9, ratio(x, y)) for x in left for y in right)
+    assert {(r["name1"], r["name2"]) for r in docdiff.alike_pairs(*_sides(spark, left, right)).collect()} == want
+    monkeypatch.setattr(docdiff, "MANY", 0)
+    monkeypatch.setattr(docdiff, "FORM_COST", 0)
+    assert {(r["name1"], r["name2"]) for r in docdiff.alike_pairs(*_sides(spark, left, right)).collect()} == want
+
+
 def test_reference_text_is_joined_from_blocks(spark, monkeypatch):
     monkeypatch.setattr(render, "BLOCK", 40)
     rows = [(7, "b", "x", "t", "é"), (7, "b", "x", "t", "é"), (3, None, "y", None, None), (9, "a", "z", "", "d"), (8, "b", "w", "u", "v")] + [(k, "c", f"i{k}", None, "text") for k in range(10, 60)]
